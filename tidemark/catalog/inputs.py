@@ -61,7 +61,7 @@ def trip_lines(spark: SparkSession, folder: str) -> DataFrame:
         text(c("l_tax") * 100),
         F.when(c("l_linenumber") != 7, text(c("l_extendedprice"))),
     ]
-    return table(spark, folder, "lineitem").select(F.concat_ws(",", *fields).alias("value"))
+    return spread(table(spark, folder, "lineitem")).select(F.concat_ws(",", *fields).alias("value"))
 
 
 def tagged_lines(spark: SparkSession, folder: str) -> DataFrame:

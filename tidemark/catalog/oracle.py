@@ -227,8 +227,9 @@ def _scores(metric: str) -> tuple[str, ...]:
     )
     score = "coalesce(dot, 0)" if metric == "dot" else "coalesce(dot, 0) / nullif(dn, 0) / nullif(qn, 0)"
     return dots + (
-        f"scores AS (SELECT query_id, doc_id, round({score}, 12) AS score"
+        f"raw AS (SELECT query_id, doc_id, {score} AS score"
         " FROM query_norms CROSS JOIN doc_norms LEFT JOIN dots USING (query_id, doc_id))",
+        "scores AS (SELECT query_id, doc_id, round(score, 12) AS score FROM raw)",
     )
 
 
@@ -240,11 +241,11 @@ NEAREST = (
 )
 
 ORACLE["knn_scores"] = _with(*TEXT, IDF, FEATS, *QUERIES, *_scores("dot")) + (
-    "SELECT query_id, doc_id, round(score, 9) AS score FROM scores"
+    "SELECT query_id, doc_id, round(score, 9) AS score FROM raw"
 )
 for _name, _metric in (("knn_dot", "dot"), ("knn_cosine", "cosine")):
     ORACLE[_name] = _with(*TEXT, IDF, FEATS, *QUERIES, *_scores(_metric), *NEAREST) + (
-        "SELECT query_id, rank, doc_id, category, round(score, 9) AS score FROM nearest"
+        "SELECT query_id, rank, doc_id, category, score FROM nearest"
     )
 ORACLE["knn_vote"] = _with(*TEXT, IDF, FEATS, *QUERIES, *_scores("dot"), *NEAREST) + """
 SELECT query_id, category, votes, row_number() OVER (PARTITION BY query_id ORDER BY votes DESC, category) AS place

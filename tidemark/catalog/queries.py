@@ -16,6 +16,7 @@ from tidemark.operators import trips as trip
 from tidemark.operators import words as word
 from tidemark.operators.scoring import linear_scores, top_coefficients
 from tidemark.plans import clusters as cluster_plan
+from tidemark.plans import search as search_plan
 from tidemark.plans import sentiment as sentiment_plan
 from tidemark.session import scratch_path
 from tidemark.sources import readers, writers
@@ -368,12 +369,8 @@ def csv_links(spark, d):
 
 
 def _neighbours(spark, d, metric="dot"):
-    vocab, idf, questions = _vocab(spark, d), _idf(spark, d), I.queries(spark, d)
-    vectors_ = similarity.query_vectors(questions, vocab, idf)
-    ids = similarity.query_ids(questions)
-    return similarity.nearest_rows(
-        _tfidf(spark, d), I.links(spark, d), vectors_, ids, NEIGHBOURS, metric
-    )
+    with search_plan.search_index(I.documents(spark, d), T.tokenize(F.col("text")), _n_docs(spark, d)) as index:
+        return index.nearest(I.links(spark, d), I.queries(spark, d), NEIGHBOURS, metric)
 
 
 @query
@@ -385,12 +382,12 @@ def knn_scores(spark, d):
 
 @query
 def knn_dot(spark, d):
-    return rounded(longs(_neighbours(spark, d), "rank"), 9, "score")
+    return longs(_neighbours(spark, d), "rank")
 
 
 @query
 def knn_cosine(spark, d):
-    return rounded(longs(_neighbours(spark, d, "cosine"), "rank"), 9, "score")
+    return longs(_neighbours(spark, d, "cosine"), "rank")
 
 
 @query
@@ -470,17 +467,17 @@ def _gradient(spark, d, loss):
 
 @query
 def logistic_gradient(spark, d):
-    return _gradient(spark, d, classify.logistic_loss)
+    return _gradient(spark, d, classify.LOGISTIC)
 
 
 @query
 def hinge_gradient(spark, d):
-    return _gradient(spark, d, classify.hinge_loss)
+    return _gradient(spark, d, classify.HINGE)
 
 
 @query
 def weighted_hinge_gradient(spark, d):
-    return _gradient(spark, d, classify.weighted_hinge_loss(0.25, 0.75))
+    return _gradient(spark, d, classify.weighted_hinge(0.25, 0.75))
 
 
 def _fitted(spark, d, fit, weighting="tf"):
@@ -497,7 +494,7 @@ def logit_l2_gd(spark, d):
 
 @query
 def logit_sgd(spark, d):
-    fit = _fitted(spark, d, lambda data: classify.fit_sgd(data, "logistic", iterations=30), "tfidf")
+    fit = _fitted(spark, d, lambda data: classify.fit_sgd(data, classify.LOGISTIC, iterations=30), "tfidf")
     return longs(fit.trace_frame(spark), "iteration")
 
 
@@ -510,7 +507,7 @@ def svm_hinge(spark, d):
 
 @query
 def svm_sgd(spark, d):
-    fit = _fitted(spark, d, lambda data: classify.fit_sgd(data, "hinge", iterations=30), "tfidf")
+    fit = _fitted(spark, d, lambda data: classify.fit_sgd(data, classify.HINGE, iterations=30), "tfidf")
     return longs(fit.trace_frame(spark), "iteration")
 
 

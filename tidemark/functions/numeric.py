@@ -12,10 +12,10 @@ def to_number(text: Column) -> Column:
     Java also reads a trailing type letter (``1.0d``); such text is no number here.
     Underscores between digits are allowed.
     """
-    plain = F.when(text.contains("_"), F.regexp_replace(text, "(?<=[0-9])_(?=[0-9])", "")).otherwise(text)
-    last = F.lower(F.substring(F.rtrim(plain), -1, 1))
-    typed = last.isin("d", "f") & ~F.lower(F.rtrim(plain)).endswith("inf")
-    return F.when(~typed, plain.try_cast("double"))
+    value = text.try_cast("double")
+    joined = F.regexp_replace(text, "(?<=[0-9])_(?=[0-9])", "").try_cast("double")
+    typed = F.substring(F.rtrim(text), -1, 1).isin("d", "D", "f", "F") & (F.abs(value) != float("inf"))
+    return F.when(text.contains("_"), joined).when(~typed, value)
 
 
 def is_number(text: Column) -> Column:
@@ -45,14 +45,3 @@ def uniform(*keys: Column, seed: int) -> Column:
 def bucket(*keys: Column, buckets: int, seed: int) -> Column:
     """A bucket number 1..buckets fixed by the keys and the seed."""
     return (F.floor(uniform(*keys, seed=seed) * buckets) + 1).cast("int")
-
-
-def sigmoid(theta: Column) -> Column:
-    """1 / (1 + exp(-theta)) without overflow."""
-    small = F.exp(-F.abs(theta))
-    return F.when(theta >= 0, 1 / (1 + small)).otherwise(small / (1 + small))
-
-
-def softplus(theta: Column) -> Column:
-    """ln(1 + exp(theta)) without overflow."""
-    return F.greatest(theta, F.lit(0.0)) + F.log1p(F.exp(-F.abs(theta)))

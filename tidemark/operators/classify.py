@@ -7,16 +7,15 @@ position. Only weights and costs (at most f numbers) reach the driver.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import sigmoid, softplus
 from tidemark.operators.regression import BoldRate
 from tidemark.operators.words import DICTIONARY_SIZE
 from tidemark.session import cut, keep, small_side
@@ -62,42 +61,42 @@ def training_table(features: DataFrame, labels: DataFrame) -> Iterator[DataFrame
         data.unpersist()
 
 
-def logistic_loss(theta: Column, label: Column) -> tuple[Column, Column]:
-    """ln(1 + e^theta) - y theta and its derivative in theta."""
-    return softplus(theta) - label * theta, sigmoid(theta) - label
+@dataclass(frozen=True)
+class Loss:
+    """Cost of a document and its slope in the margin, as SQL over ``theta`` and ``label`` (0 or 1)."""
 
+    cost: str
+    slope: str
 
-def hinge_loss(theta: Column, label: Column) -> tuple[Column, Column]:
-    """max(0, 1 - s theta) with s = -1 or 1, and its subgradient."""
-    sign = 2 * label - 1
-    gap = 1 - sign * theta
-    return F.greatest(gap, F.lit(0.0)), F.when(gap > 0, -sign).otherwise(0)
 
+# ln(1 + e^theta) - y theta, in forms that do not overflow.
+LOGISTIC = Loss(
+    "greatest(theta, 0D) + log1p(exp(-abs(theta))) - label * theta",
+    "if(theta >= 0, 1D, exp(theta)) / (1 + exp(-abs(theta))) - label",
+)
+# max(0, 1 - s theta) with s = -1 or 1.
+HINGE = Loss(
+    "greatest(1 - (2 * label - 1) * theta, 0D)",
+    "if((2 * label - 1) * theta < 1, 1 - 2 * label, 0)",
+)
 
-def weighted_hinge_loss(positive: float, negative: float) -> Callable:
-    """Hinge loss times a weight per class."""
-
-    def loss(theta: Column, label: Column) -> tuple[Column, Column]:
-        cost, slope = hinge_loss(theta, label)
-        weight = F.when(label == 1, F.lit(positive)).otherwise(F.lit(negative))
-        return cost * weight, slope * weight
 
-    return loss
+def weighted_hinge(positive: float, negative: float) -> Loss:
+    """Hinge loss times a weight per class."""
+    weight = f"if(label = 1, {float(positive)!r}D, {float(negative)!r}D)"
+    return Loss(f"{weight} * {HINGE.cost}", f"{weight} * {HINGE.slope}")
 
 
-def loss_pass(data: DataFrame, weights: DataFrame, loss: Callable, f: int = DICTIONARY_SIZE) -> DataFrame:
+def loss_pass(data: DataFrame, weights: DataFrame, loss: Loss, f: int = DICTIONARY_SIZE) -> DataFrame:
     """``pos, gradient, cost``: summed data gradient, and the cost of documents led by that position."""
-    theta = F.sum(F.col("x") * F.col("weight")).over(Window.partitionBy("doc_id"))
-    rows = data.join(small_side(weights, f), "pos").select("pos", "x", "label", "lead", theta.alias("theta"))
-    cost, slope = loss(F.col("theta"), F.col("label"))
-    return (
-        rows.select("pos", (F.col("x") * slope).alias("g"), F.when(F.col("lead"), cost).alias("c"))
-        .groupBy("pos")
-        .agg(F.sum("g").alias("gradient"), F.coalesce(F.sum("c"), F.lit(0.0)).alias("cost"))
+    margins = data.join(small_side(weights, f), "pos").selectExpr(
+        "pos", "x", "label", "lead", "sum(x * weight) OVER (PARTITION BY doc_id) AS theta"
     )
+    rows = margins.selectExpr("pos", f"x * ({loss.slope}) AS g", f"if(lead, {loss.cost}, 0D) AS c")
+    return rows.groupBy("pos").agg(F.sum("g").alias("gradient"), F.sum("c").alias("cost"))
 
 
-def _sums(data: DataFrame, w: np.ndarray, loss: Callable) -> tuple[float, np.ndarray]:
+def _sums(data: DataFrame, w: np.ndarray, loss: Loss) -> tuple[float, np.ndarray]:
     """Data cost and gradient at w; at most len(w) rows come back."""
     table = loss_pass(data, weights_frame(data.sparkSession, w), loss, len(w)).toPandas()
     gradient = np.zeros(len(w))
@@ -126,7 +125,7 @@ def fit_logistic(
     fit, bold = Fit(_start(f, seed)), BoldRate(rate)
     for i in range(max_iterations):
         w = fit.weights
-        cost, gradient = _sums(data, w, logistic_loss)
+        cost, gradient = _sums(data, w, LOGISTIC)
         cost += l2 * float(w @ w)
         fit.weights = w - bold.rate * (gradient + 2 * l2 * w)
         before, after = float(np.linalg.norm(w)), float(np.linalg.norm(fit.weights))
@@ -154,7 +153,7 @@ def fit_svm(
     fit, bold = Fit(_start(f, seed)), BoldRate(rate, last_cost=999999.0)
     for i in range(max_iterations):
         w = fit.weights
-        hinge, gradient = _sums(data, w, hinge_loss)
+        hinge, gradient = _sums(data, w, HINGE)
         cost = hinge / n_docs + c / (2 * n_docs) * float(w @ w)
         if cost > bold.last_cost:
             break
@@ -181,7 +180,7 @@ def fit_weighted_svm(
 
     Sums, not means, and no penalty. Stops when norm or cost moves less than its tolerance.
     """
-    loss = weighted_hinge_loss(1 - positive_share, positive_share)
+    loss = weighted_hinge(1 - positive_share, positive_share)
     fit, bold = Fit(_start(f, seed)), BoldRate(rate, up=1.005, last_cost=9999999.0)
     for i in range(max_iterations):
         w = fit.weights
@@ -197,23 +196,22 @@ def fit_weighted_svm(
 
 def fit_sgd(
     data: DataFrame,
-    loss: str,
+    loss: Loss,
     f: int = DICTIONARY_SIZE,
     iterations: int = 300,
     step: float = 1.0,
     l2: float = 0.01,
     tolerance: float = 1e-3,
 ) -> Fit:
-    """Full-batch descent on the mean ``logistic`` or ``hinge`` loss with rate step / sqrt(t) and L2 shrinkage.
+    """Full-batch descent on the mean loss with rate step / sqrt(t) and L2 shrinkage.
 
     Stops when the weights move less than tolerance * max(|w|, 1).
     """
-    losses = {"logistic": logistic_loss, "hinge": hinge_loss}
     n = data.filter("lead").count()
     fit = Fit(np.zeros(f))
     for t in range(1, iterations + 1):
         w, rate = fit.weights, step / t**0.5
-        cost, gradient = _sums(data, w, losses[loss])
+        cost, gradient = _sums(data, w, loss)
         fit.weights = w * (1 - rate * l2) - rate * gradient / n
         after = float(np.linalg.norm(fit.weights))
         fit.trace.append((t - 1, cost / n + l2 / 2 * float(w @ w), after, rate))

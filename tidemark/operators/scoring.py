@@ -24,9 +24,7 @@ def dot_products(
     partitioned by the key. Positions without weights add zero.
     """
     side = small_side(weights.select("pos", "w"), f, row_bytes=8 * k + 64)
-    sums = [
-        F.sum(F.col("x") * F.coalesce(F.col("w")[j], F.lit(0.0))).alias(f"score_{j}") for j in range(k)
-    ]
+    sums = [F.expr(f"coalesce(sum(x * w[{j}]), 0D) AS score_{j}") for j in range(k)]
     return features.join(side, "pos", "left").groupBy(key).agg(*sums, *keep)
 
 

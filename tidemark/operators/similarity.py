@@ -35,49 +35,56 @@ def query_ids(queries: DataFrame) -> list:
 
 
 def _block_weights(vectors: DataFrame, ids: list) -> DataFrame:
-    """One row per position with the weights of a block's queries, zero where a query lacks the word."""
-    picked = [F.sum(F.when(F.col("query_id") == q, F.col("x"))) for q in ids]
-    weights = F.array(*[F.coalesce(p, F.lit(0.0)) for p in picked])
-    return vectors.filter(F.col("query_id").isin(ids)).groupBy("pos").agg(weights.alias("w"))
+    """One row per position with the weights of a block's queries, zero where a query lacks the word.
 
+    The gathered list holds at most one entry per query of the block.
+    """
+    place = F.array_position(F.lit(ids), F.col("query_id")).cast("int")
+    filled = F.expr(f"transform(sequence(1, {max(len(ids), 1)}), j -> coalesce(try_element_at(m, j), 0D)) AS w")
+    placed = vectors.withColumn("place", place).filter("place > 0").groupBy("pos")
+    return placed.agg(F.map_from_entries(F.collect_list(F.struct("place", "x"))).alias("m")).select("pos", filled)
+
+
+def _score_rows(
+    features: DataFrame,
+    vectors: DataFrame,
+    ids: list,
+    metric: str,
+    f: int,
+    beside: DataFrame | None = None,
+) -> DataFrame:
+    """``query_id, doc_id, score`` of every query and document, with the columns of ``beside`` joined by document.
 
-def _score_blocks(
-    features: DataFrame, vectors: DataFrame, ids: list, metric: str, f: int
-) -> list[DataFrame]:
-    """Per block of queries, ``doc_id, scores ARRAY<STRUCT<query_id, score>>``."""
+    One aggregation by document scores a block of queries; the scores of a document
+    are spread over rows only after that, inside the task.
+    """
     if metric not in ("dot", "cosine"):
         raise ValueError(f"unknown metric {metric!r}")
     cosine = metric == "cosine"
     if cosine:
         length = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("query_id")))
         vectors = vectors.withColumn("x", F.try_divide(F.col("x"), length))
-    doc_length = [F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("doc_length")] if cosine else []
-    blocks = []
+    doc_length = [F.expr("sqrt(sum(x * x)) AS doc_length")] if cosine else []
+    score = F.expr("try_divide(dot, doc_length)") if cosine else F.col("dot")
+    parts = []
     for start in range(0, max(len(ids), 1), QUERIES_PER_PASS):
         block = ids[start : start + QUERIES_PER_PASS]
-        scored = dot_products(
-            features, _block_weights(vectors, block), len(block), f, keep=doc_length
-        )
-        scores = [F.col(f"score_{j}") for j in range(len(block))]
-        if cosine:
-            scores = [F.try_divide(s, F.col("doc_length")) for s in scores]
-        pairs = F.array(*[
-            F.struct(F.lit(q).alias("query_id"), F.round(s, SCORE_DECIMALS).alias("score"))
-            for q, s in zip(block, scores)
-        ])
-        blocks.append(scored.select("doc_id", pairs.alias("scores")))
-    return blocks
+        scored = dot_products(features, _block_weights(vectors, block), len(block), f, keep=doc_length)
+        if beside is not None:
+            scored = scored.join(beside, "doc_id")
+        dots = F.array(*[f"score_{j}" for j in range(len(block))])
+        others = [c for c in scored.columns if not c.startswith("score_")]
+        rows = scored.select(*others, F.posexplode(dots).alias("place", "dot"))
+        asked = F.get(F.lit(block), F.col("place")).alias("query_id")
+        parts.append(rows.select(asked, *[c for c in others if c != "doc_length"], score.alias("score")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def similarities(
     features: DataFrame, vectors: DataFrame, ids: list, metric: str = "dot", f: int = DICTIONARY_SIZE
 ) -> DataFrame:
     """``query_id, doc_id, score`` of every query and every document, zero scores included."""
-    parts = [
-        block.select("doc_id", F.explode("scores").alias("s")).select("s.query_id", "doc_id", "s.score")
-        for block in _score_blocks(features, vectors, ids, metric, f)
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return _score_rows(features, vectors, ids, metric, f)
 
 
 def _best(df: DataFrame, k: int, *order) -> DataFrame:
@@ -103,14 +110,11 @@ def nearest_rows(
     word get no rows.
     """
     firsts = links.groupBy("doc_id").agg(F.min("category").alias("first_category"))
-    parts = [
-        block.join(firsts, "doc_id")
-        .select("doc_id", "first_category", F.explode("scores").alias("s"))
-        .select("s.query_id", "doc_id", "first_category", "s.score")
-        for block in _score_blocks(features, vectors, ids, metric, f)
-    ]
+    scale = float(10**SCORE_DECIMALS)
+    scored = _score_rows(features, vectors, ids, metric, f, beside=firsts)
+    scored = scored.withColumn("score", F.rint(F.col("score") * scale) / scale)
     score = F.col("score").desc_nulls_last()
-    docs = _best(reduce(DataFrame.unionByName, parts), k, score, "first_category", "doc_id")
+    docs = _best(scored, k, score, "first_category", "doc_id")
     known = small_side(vectors.select("query_id").distinct(), len(ids))
     docs = docs.drop("rank", "first_category").join(known, "query_id", "left_semi")
     rows = links.join(small_side(docs, k * max(len(ids), 1)), "doc_id")
