@@ -42,6 +42,3 @@ def frame_rows(df):
     return sorted(df.columns), rows(df.columns, [tuple(r) for r in df.collect()])
 
 
-def same(a, b) -> bool:
-    """Equal values; a number of one engine may be an int and of the other a float only if types say so."""
-    return type(a) is type(b) and a == b

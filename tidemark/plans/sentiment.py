@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
 from tidemark.functions.numeric import is_number, to_number
+from tidemark.operators import bayes, classify, evaluate, vectors
+from tidemark.operators import features as feat
+from tidemark.operators.scoring import linear_scores
+from tidemark.operators.words import DICTIONARY_SIZE, dictionary, term_counts, words_of
+from tidemark.session import cut
 
 # Fixed value: the points from which a review is positive.
 GOOD_POINTS = 88
@@ -26,3 +33,65 @@ def clean_reviews(reviews: DataFrame, drop_incomplete: bool = False) -> DataFram
     label = F.when(to_number(F.col("points")) < GOOD_POINTS, 0).otherwise(1)
     tokens = T.without_stop_words(T.tokenize(F.col("description")))
     return kept.select(F.col("_c0").alias("doc_id"), label.alias("label"), tokens.alias("tokens"))
+
+
+@dataclass
+class Reports:
+    """Per model name: class report, weighted F1 and confusion on the held-out part."""
+
+    reports: dict[str, DataFrame]
+    f1: dict[str, DataFrame]
+    confusion: dict[str, DataFrame]
+
+
+def review_models(
+    reviews: DataFrame,
+    f: int = DICTIONARY_SIZE,
+    seed: int = 7,
+    lbfgs_iterations: int = 300,
+    sgd_iterations: int = 300,
+    svm_iterations: int = 200,
+) -> Reports:
+    """Train four models on about two thirds of the reviews and report on the rest.
+
+    Models: ``lbfgs`` and ``sgd`` logistic regression, ``svm`` by SGD, ``bayes``. The split
+    is fixed by review id and seed, so no review is in both parts.
+    """
+    spark = reviews.sparkSession
+    rows = cut(evaluate.split_rows(clean_reviews(reviews), seed=seed))
+    words = words_of(rows, F.col("tokens"))
+    vocab = cut(dictionary(words, f))
+    counts = cut(term_counts(words, vocab, f))
+    n_docs = rows.count()
+    idf = cut(feat.inverse_document_frequency(feat.document_frequency(counts), n_docs, smooth=True))
+    x = cut(feat.features(counts, n_docs, idf=idf, f=f))
+    train, test = evaluate.training_rows(rows), evaluate.held_out_rows(rows)
+    told = {}
+    with classify.training_table(x, train) as data:
+        sgd = classify.fit_sgd(data, classify.LOGISTIC, f, sgd_iterations)
+        svm = classify.fit_sgd(data, classify.HINGE, f, svm_iterations)
+        likelihoods = cut(bayes.word_likelihoods(data, vocab, f=f))
+    priors = bayes.class_priors(train)
+    truth = test.select("doc_id", "label")
+    held_out = x.join(truth, "doc_id", "left_semi")
+    for name, fit in (("sgd", sgd), ("svm", svm)):
+        told[name] = linear_scores(held_out, fit.weights_frame(spark), f).join(truth, "doc_id")
+    told["bayes"] = bayes.classify(held_out, likelihoods, priors, f=f).join(truth, "doc_id")
+    told["lbfgs"] = _lbfgs(rows, vocab, idf, lbfgs_iterations)
+    told = {name: cut(df.select("label", "prediction")) for name, df in told.items()}
+    return Reports(
+        reports={n: evaluate.class_report(df) for n, df in told.items()},
+        f1={n: evaluate.f1_weighted(df) for n, df in told.items()},
+        confusion={n: evaluate.confusion(df) for n, df in told.items()},
+    )
+
+
+def _lbfgs(rows: DataFrame, vocab: DataFrame, idf: DataFrame, iterations: int) -> DataFrame:
+    """Held-out ``label, prediction`` of L-BFGS logistic regression on tf-idf vectors."""
+    table = vocab.join(idf, "pos", "left").orderBy("pos").select("word", F.coalesce("idf", F.lit(0.0)))
+    words, scale = zip(*[(r[0], r[1]) for r in table.collect()])
+    shaped = vectors.vectorizer(words, scale).transform(rows)
+    data = shaped.select(F.col("label").cast("double").alias("label"), "features", "part")
+    model = vectors.fit_lbfgs(evaluate.training_rows(data), iterations)
+    scored = model.transform(evaluate.held_out_rows(data))
+    return scored.select(F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"))

@@ -14,9 +14,14 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-def local_session(cores: int | str = 8, shuffle_partitions: int = 8, name: str = "tidemark") -> SparkSession:
-    """A single-JVM session for tests and the bench; clusters bring their own."""
-    spark = (
+def local_session(
+    cores: int | str = 8, shuffle_partitions: int = 8, name: str = "tidemark", **config: str
+) -> SparkSession:
+    """A single-JVM session for tests and the bench; clusters bring their own.
+
+    ``config`` holds further settings, with ``__`` for dots.
+    """
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -27,8 +32,10 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, name: str =
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    for key, value in config.items():
+        builder = builder.config(key.replace("__", "."), value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
