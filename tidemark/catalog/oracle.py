@@ -84,10 +84,14 @@ XS = {
 }
 
 
-def _descent(xs: list[str], weights: list[str], iterations: int, rate: float, half: bool) -> str:
-    """Gradient descent as a recursive query over sums of products."""
-    d = len(xs)
+def _items(xs: list[str]) -> str:
     scaled = ", ".join(f"{XS[x]} AS x{i}" for i, x in enumerate(xs))
+    return f"items AS (SELECT {scaled}, l_extendedprice / 100000 AS y FROM lineitem)"
+
+
+def _descent(items: str, weights: list[str], iterations: int, rate: float, half: bool, digits: int = 9) -> str:
+    """Gradient descent as a recursive query over sums of products of ``items`` (x0, x1, ..., y)."""
+    d = len(weights)
     sums = ["count(*)::DOUBLE AS n", "sum(y) AS sy", "sum(y * y) AS syy"]
     sums += [f"sum(x{i}) AS s{i}, sum(x{i} * y) AS sy{i}" for i in range(d)]
     sums += [f"sum(x{i} * x{j}) AS s{i}_{j}" for i in range(d) for j in range(i, d)]
@@ -100,8 +104,8 @@ def _descent(xs: list[str], weights: list[str], iterations: int, rate: float, ha
     moved = ", ".join(f"w{i} + rate * {step} * {rx[i]} / n AS w{i}" for i in range(d))
     w = ", ".join(f"w{i}" for i in range(d))
     start = ", ".join(f"0.1::DOUBLE AS w{i}" for i in range(d))
-    named = ", ".join(f"round(w{i}, 9) AS {n}" for i, n in enumerate(weights))
-    return f"""WITH RECURSIVE items AS (SELECT {scaled}, l_extendedprice / 100000 AS y FROM lineitem),
+    named = ", ".join(f"round(w{i}, {digits}) AS {n}" for i, n in enumerate(weights))
+    return f"""WITH RECURSIVE {items},
 sums AS (SELECT {", ".join(sums)} FROM items),
 steps AS (
   SELECT -1 AS i, 0::DOUBLE AS cost, 0.1::DOUBLE AS b, {start}, {rate}::DOUBLE AS rate
@@ -111,12 +115,22 @@ steps AS (
   FROM (SELECT i + 1 AS i, cost, rate, {cost} AS new_cost, b + rate * {step} * {r} / n AS new_b,
                {moved.replace(" AS w", " AS new_w")}
         FROM steps, sums WHERE i < {iterations - 1}) t)
-SELECT i::BIGINT AS iteration, round(cost, 9) AS cost, round(b, 9) AS b, {named} FROM steps WHERE i >= 0"""
+SELECT i::BIGINT AS iteration, round(cost, {digits}) AS cost, round(b, {digits}) AS b, {named} FROM steps WHERE i >= 0"""
 
 
-ORACLE["gd_line_trace"] = _descent(["quantity"], ["m"], 100, 1e-4, half=False)
-ORACLE["gd_multi_trace"] = _descent(list(XS), ["w0", "w1", "w2", "w3"], 100, 1e-3, half=True)
-ORACLE["gd_multi_passes"] = _descent(list(XS), ["w0", "w1", "w2", "w3"], 20, 1e-3, half=True)
+PLANE = ["w0", "w1", "w2", "w3"]
+STANDARD_TRIPS = (
+    "items AS (SELECT "
+    + ", ".join(
+        f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS x{i}"
+        for i, c in enumerate(["duration", "distance", "fare", "surcharge"])
+    )
+    + f", amount / 1000 AS y FROM trips WHERE {REGULAR})"
+)
+ORACLE["gd_line_trace"] = _descent(_items(["quantity"]), ["m"], 100, 1e-4, half=False)
+ORACLE["gd_multi_trace"] = _descent(_items(list(XS)), PLANE, 100, 1e-3, half=True)
+ORACLE["gd_multi_passes"] = _descent(_items(list(XS)), PLANE, 20, 1e-3, half=True)
+ORACLE["gd_trip_trace"] = _descent(f"{TRIPS},\n{STANDARD_TRIPS}", PLANE, 100, 1e-3, half=True, digits=6)
 
 # Words and features
 
@@ -329,6 +343,85 @@ ORACLE["logistic_gradient"] = _gradient("ln(1 + exp(theta)) - label * theta", "1
 ORACLE["hinge_gradient"] = _gradient(*HINGE)
 ORACLE["weighted_hinge_gradient"] = _gradient(f"{HINGE[0]} * {CLASS_WEIGHT}", f"({HINGE[1]}) * {CLASS_WEIGHT}")
 
+# Fits: the weights of one step are the working table of a recursive query
+
+
+def _fit(
+    features: tuple[str, ...],
+    loss: tuple[str, str],
+    rate: float,
+    cost: str = "data_cost",
+    penalty: str = "0",
+    divisor: str = "1",
+    up: float = 1.05,
+    last: float = 0.0,
+    break_on_rise: bool = False,
+    cost_stop: float = -1.0,
+    sgd: bool = False,
+    steps: int = 30,
+) -> str:
+    """Trace of a descent. ``cost`` and ``penalty`` may use ``w`` sums: ``ww`` is |w|^2."""
+    if sgd:
+        move = "w * (1 - rate * 0.01) - rate * coalesce(g, 0) / n"
+        # The step shrinks with the root of the step number; the stop looks at the moved weights.
+        next_rate, stop = "1 / sqrt(i + 3)", "(i >= 0 AND moved < 0.001 * greatest(after, 1))"
+    else:
+        move = f"w - rate * (coalesce(g, 0) / {divisor} + {penalty} * w)"
+        next_rate = f"CASE WHEN cost > last THEN rate * 0.5 WHEN cost < last THEN rate * {up} ELSE rate END"
+        stop = f"(abs(after - sqrt(ww)) < 0.001 OR abs(last - cost) < {cost_stop})"
+    halt = "cost > last" if break_on_rise else "false"
+    return _with_recursive(
+        *features,
+        LABELS,
+        "led AS MATERIALIZED (SELECT doc_id, pos, x, label FROM feats JOIN marks USING (doc_id))",
+        "sizes AS MATERIALIZED (SELECT count(DISTINCT doc_id)::DOUBLE AS n,"
+        " (SELECT count(*) FROM documents)::DOUBLE AS all_docs,"
+        " (SELECT avg(label) FROM marks) AS share FROM led)",
+        f"""steps AS (
+  SELECT -1 AS i, pos::BIGINT AS pos, 0::DOUBLE AS w, {rate}::DOUBLE AS rate, {last}::DOUBLE AS last,
+         0::DOUBLE AS cost, 0::DOUBLE AS norm, 0::DOUBLE AS used, false AS stop FROM vocab
+  UNION ALL
+  SELECT i + 1, pos, new_w, {next_rate}, cost, cost, after, rate, {stop}
+  FROM (
+    SELECT *, sqrt(sum(new_w * new_w) OVER ()) AS after, sqrt(sum((new_w - w) * (new_w - w)) OVER ()) AS moved
+    FROM (
+      SELECT s.i, s.pos, s.w, s.rate, s.last, ww, n, {cost} AS cost, {move} AS new_w
+      FROM steps s LEFT JOIN (
+        SELECT pos, sum(x * ({loss[1]})) AS g
+        FROM led JOIN (SELECT doc_id, sum(x * w) AS theta, any_value(share) AS share
+                       FROM led JOIN steps USING (pos), sizes GROUP BY doc_id) USING (doc_id)
+        GROUP BY pos) USING (pos),
+      (SELECT sum({loss[0]}) AS data_cost FROM (
+         SELECT doc_id, any_value(label) AS label, sum(x * w) AS theta, any_value(share) AS share
+         FROM led JOIN steps USING (pos), sizes GROUP BY doc_id)),
+      (SELECT sum(w * w) AS ww FROM steps), sizes
+      WHERE s.i < {steps - 1} AND NOT s.stop))
+  WHERE NOT ({halt}))""",
+    ) + """
+SELECT DISTINCT i::BIGINT AS iteration, round(cost, 6) AS cost, round(norm, 6) AS norm, round(used, 9) AS rate
+FROM steps WHERE i >= 0"""
+
+
+def _with_recursive(*parts: str) -> str:
+    return _with(*parts).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+TF_FEATS = (*TEXT, "feats AS (SELECT doc_id, pos, tf AS x FROM tf)")
+TFIDF_FEATS = (*TEXT, IDF_SMOOTH, FEATS)
+LOGISTIC = ("ln(1 + exp(theta)) - label * theta", "1 / (1 + exp(-theta)) - label")
+SHARE_WEIGHT = "CASE WHEN label = 1 THEN 1 - share ELSE share END"
+ORACLE["logit_l2_gd"] = _fit(TFIDF_FEATS, LOGISTIC, 0.1, cost="data_cost + 0.001 * ww", penalty="0.002")
+ORACLE["logit_sgd"] = _fit(TFIDF_FEATS, LOGISTIC, 1.0, cost="data_cost / n + 0.005 * ww", sgd=True)
+ORACLE["svm_sgd"] = _fit(TFIDF_FEATS, HINGE, 1.0, cost="data_cost / n + 0.005 * ww", sgd=True)
+ORACLE["svm_hinge"] = _fit(
+    TF_FEATS, HINGE, 1.0, cost="data_cost / all_docs + 25 / all_docs * ww", penalty="50 / all_docs",
+    divisor="all_docs", last=999999.0, break_on_rise=True,
+)
+ORACLE["svm_weighted"] = _fit(
+    TF_FEATS, (f"{HINGE[0]} * {SHARE_WEIGHT}", f"({HINGE[1]}) * {SHARE_WEIGHT}"), 1.0,
+    up=1.005, last=9999999.0, cost_stop=0.5,
+)
+
 # Naive Bayes
 
 
@@ -352,6 +445,24 @@ SELECT doc_id, CASE WHEN sum(cnt * w1) + (SELECT ln((count(*) FILTER (label = 1)
                THEN 1 ELSE 0 END::BIGINT AS prediction
 FROM counts JOIN likelihoods USING (pos) GROUP BY doc_id"""
 
+ORACLE["naive_bayes_ml"] = _with(
+    WORDS,
+    VOCAB,
+    "parts AS (SELECT doc_id, quality AS label, floor(" + _uniform("doc_id", "7") + " * 3) + 1 AS part FROM labels)",
+    "marks AS (SELECT doc_id, label FROM parts WHERE part < 3)",
+    COUNTS,
+    TF,
+    *_likelihoods("tf")[1:],
+    "priors AS (SELECT ln((count(*) FILTER (label = 0) + 1) / (count(*) + 2)) AS p0,"
+    " ln((count(*) FILTER (label = 1) + 1) / (count(*) + 2)) AS p1 FROM marks)",
+    "scored AS (SELECT doc_id, any_value(label) AS label, CASE WHEN sum(tf * w1) + any_value(p1)"
+    " > sum(tf * w0) + any_value(p0) THEN 1 ELSE 0 END AS prediction"
+    " FROM tf JOIN likelihoods USING (pos) JOIN parts USING (doc_id), priors WHERE part = 3 GROUP BY doc_id)",
+    *CLASSES,
+) + """
+SELECT label::DOUBLE AS label, round(precision, 12) AS precision, round(recall, 12) AS recall,
+       round(f1, 12) AS f1, support FROM report"""
+
 # Mixture of multinomials
 
 CLUSTERS = f"clusters AS (SELECT doc_id, floor({_uniform('doc_id', '5')} * 6)::BIGINT AS cluster FROM documents)"

@@ -219,12 +219,11 @@ def gd_multi_passes(spark, d):
 
 @query
 def gd_trip_trace(spark, d):
-    """Raw trip columns: the rate shrinks until the descent holds."""
-    regular = trip.regular_trips(_trips(spark, d))
-    return longs(
-        regression.descend_plane(regular, ["duration", "distance", "fare", "surcharge"], "amount", standardize=True),
-        "iteration",
-    )
+    """Standardised trip columns against the amount in thousands."""
+    regular = trip.regular_trips(_trips(spark, d)).withColumn("amount", F.col("amount") / 1000)
+    xs = ["duration", "distance", "fare", "surcharge"]
+    trace = regression.descend_plane(regular, xs, "amount", standardize=True)
+    return rounded(longs(trace, "iteration"), 6, "cost", "b", "w0", "w1", "w2", "w3")
 
 
 # Words and features
@@ -486,36 +485,41 @@ def _fitted(spark, d, fit, weighting="tf"):
         return fit(data)
 
 
+def _trace(spark, fit):
+    trace = longs(fit.trace_frame(spark), "iteration")
+    return rounded(rounded(trace, 6, "cost", "norm"), 9, "rate")
+
+
 @query
 def logit_l2_gd(spark, d):
     fit = _fitted(spark, d, lambda data: classify.fit_logistic(data, max_iterations=30), "tfidf")
-    return longs(fit.trace_frame(spark), "iteration")
+    return _trace(spark, fit)
 
 
 @query
 def logit_sgd(spark, d):
     fit = _fitted(spark, d, lambda data: classify.fit_sgd(data, classify.LOGISTIC, iterations=30), "tfidf")
-    return longs(fit.trace_frame(spark), "iteration")
+    return _trace(spark, fit)
 
 
 @query
 def svm_hinge(spark, d):
     n = I.table(spark, d, "documents").count()
     fit = _fitted(spark, d, lambda data: classify.fit_svm(data, n, max_iterations=30))
-    return longs(fit.trace_frame(spark), "iteration")
+    return _trace(spark, fit)
 
 
 @query
 def svm_sgd(spark, d):
     fit = _fitted(spark, d, lambda data: classify.fit_sgd(data, classify.HINGE, iterations=30), "tfidf")
-    return longs(fit.trace_frame(spark), "iteration")
+    return _trace(spark, fit)
 
 
 @query
 def svm_weighted(spark, d):
     share = I.labels(spark, d).agg(F.avg("label")).first()[0]
     fit = _fitted(spark, d, lambda data: classify.fit_weighted_svm(data, share, max_iterations=30))
-    return longs(fit.trace_frame(spark), "iteration")
+    return _trace(spark, fit)
 
 
 @query
@@ -550,7 +554,8 @@ def _vector_report(spark, d, fit):
         lines = evaluate.class_report(told, (0.0, 1.0)).collect()
     finally:
         data.unpersist()
-    return spark.createDataFrame(lines, "label DOUBLE, precision DOUBLE, recall DOUBLE, f1 DOUBLE, support BIGINT")
+    schema = "label DOUBLE, precision DOUBLE, recall DOUBLE, f1 DOUBLE, support BIGINT"
+    return rounded(spark.createDataFrame(lines, schema), 12, "precision", "recall", "f1")
 
 
 @query
@@ -560,7 +565,7 @@ def logit_lbfgs(spark, d):
 
 @query
 def linear_svc(spark, d):
-    return _vector_report(spark, d, vectors.fit_linear_svc)
+    return _vector_report(spark, d, lambda data: vectors.fit_linear_svc(data, iterations=10))
 
 
 @query
