@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from plans_util import outer_plan
 from tidemark.operators import bayes, classify, evaluate
 from tidemark.operators.regression import BoldRate
 
@@ -110,7 +111,7 @@ def test_no_overflow_at_big_margins(spark):
 def test_steps_shuffle_only_gradients(table, spark):
     """Rows stay where the fit cached them; only sums by position move."""
     plan = classify.loss_pass(table, classify.weights_frame(spark, np.zeros(P)), classify.HINGE, P)
-    text = plan._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+    text = outer_plan(plan)
     assert "Exchange hashpartitioning(pos" in text and "Exchange hashpartitioning(doc_id" not in text
     assert "Sort" not in text
 

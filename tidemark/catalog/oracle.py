@@ -518,6 +518,10 @@ SELECT cluster::VARCHAR AS cluster, size, row_number() OVER (PARTITION BY cluste
        g AS "group", n, n / size AS share
 FROM pairs JOIN sizes USING (cluster) QUALIFY rank <= 3"""
 
+ORACLE["cluster_files"] = _with(CLUSTERS) + "SELECT cluster::VARCHAR AS cluster, count(*) AS n FROM clusters GROUP BY 1"
+ORACLE["report_file"] = ORACLE["topk_count"]
+ORACLE["table_file"] = ORACLE["document_frequency"]
+
 # Reviews
 
 REVIEWS = """reviews AS (

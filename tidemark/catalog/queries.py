@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from tidemark.operators import trips as trip
 from tidemark.operators import words as word
 from tidemark.operators.scoring import linear_scores, top_coefficients
 from tidemark.plans import clusters as cluster_plan
+from tidemark.plans import courts as court_plan
 from tidemark.plans import search as search_plan
 from tidemark.plans import sentiment as sentiment_plan
 from tidemark.session import scratch_path
@@ -655,9 +657,66 @@ def gibbs_mixture(spark, d):
     return longs(sizes, "sweep", "cluster", "n")
 
 
+def _clustered(spark, d):
+    """cluster, header of every tagged line, by the fixed clusters."""
+    lines = I.tagged_lines(spark, d)
+    return lines.join(_fixed_clusters(spark, d), "doc_id").select("cluster", T.header(F.col("value")).alias("header"))
+
+
+@query
+def cluster_files(spark, d):
+    """Assignments written as sorted text lines and counted after reading back."""
+    path = scratch_path(spark, "clusters")
+    writers.write_clusters(_clustered(spark, d), path)
+    cluster = F.regexp_extract("value", "^\\((\\d+), ", 1).alias("cluster")
+    return trip.count_by(readers.read_lines(spark, path).select(cluster), "cluster")
+
+
+@query
+def report_file(spark, d):
+    """A top-k report written as one CSV file and read back."""
+    path = scratch_path(spark, "report")
+    writers.write_report(topk_count(spark, d), path)
+    return spark.read.schema("taxi STRING, trips BIGINT").option("header", True).csv(path)
+
+
+@query
+def table_file(spark, d):
+    """Term counts written as a table and read back."""
+    path = scratch_path(spark, "table")
+    writers.write_table(_counts(spark, d), path)
+    return feat.document_frequency(spark.read.parquet(path)).withColumn("pos", F.col("pos").cast("bigint"))
+
+
+@query
+def train_and_validate(spark, d):
+    """Class by a mark in the document id; two thirds of the lines train, the rest test."""
+    docs = evaluate.split_rows(I.documents(spark, d, "lang"))
+    one_line = F.regexp_replace("text", "[\\r\\n]+", " ")
+    line = F.format_string('<doc id="%s%d" url="u">%s</doc>', F.upper("lang"), F.col("doc_id"), one_line)
+    train, test = evaluate.training_rows(docs), evaluate.held_out_rows(docs)
+    report = court_plan.train_and_score(
+        train.select(line.alias("value")),
+        test.select(line.alias("value")),
+        lambda data, n: classify.fit_logistic(data, max_iterations=10),
+        mark="EN",
+    )
+    return longs(report.confusion, "label", "prediction")
+
+
 # Reviews
 
 
+@query
+def review_models(spark, d):
+    """F1 of the four review models on the held-out part."""
+    made = sentiment_plan.review_models(
+        I.reviews(spark, d), lbfgs_iterations=10, sgd_iterations=10, svm_iterations=10
+    )
+    named = [df.select(F.lit(name).alias("model"), "f1") for name, df in sorted(made.f1.items())]
+    return reduce(DataFrame.unionByName, named)
+
+
 @query
 def review_labels(spark, d):
     rows = sentiment_plan.clean_reviews(I.reviews(spark, d))

@@ -12,10 +12,9 @@ def to_number(text: Column) -> Column:
     Java also reads a trailing type letter (``1.0d``); such text is no number here.
     Underscores between digits are allowed.
     """
-    value = text.try_cast("double")
-    joined = F.regexp_replace(text, "(?<=[0-9])_(?=[0-9])", "").try_cast("double")
-    typed = F.substring(F.rtrim(text), -1, 1).isin("d", "D", "f", "F") & (F.abs(value) != float("inf"))
-    return F.when(text.contains("_"), joined).when(~typed, value)
+    joined = F.regexp_replace(text, "(?<=[0-9])_(?=[0-9])", "")
+    plain = F.when(text.contains("_"), joined).otherwise(text)
+    return F.when(~text.rlike("[0-9.][dDfF]\\s*$"), plain.try_cast("double"))
 
 
 def is_number(text: Column) -> Column:

@@ -43,16 +43,14 @@ def search_index(
 ) -> Iterator[SearchIndex]:
     """Index ``docs``: every later query reads the cached vectors instead of the texts."""
     words = words_of(docs, tokens)
-    held = [keep(dictionary(words, f))]
+    vocab = cut(dictionary(words, f))
+    counts = cut(term_counts(words, vocab, f))
+    idf = cut(feat.inverse_document_frequency(feat.document_frequency(counts), n_docs, smooth))
+    x = keep(feat.features(counts, n_docs, idf=idf, f=f))
     try:
-        held.append(keep(term_counts(words, held[0], f)))
-        df = feat.document_frequency(held[1])
-        held.append(keep(feat.inverse_document_frequency(df, n_docs, smooth)))
-        held.append(keep(feat.features(held[1], n_docs, idf=held[2], f=f)))
-        yield SearchIndex(held[0], held[2], held[3], f)
+        yield SearchIndex(vocab, idf, x, f)
     finally:
-        for frame in held:
-            frame.unpersist()
+        x.unpersist()
 
 
 def search_categories(
