@@ -136,11 +136,12 @@ def test_unknown_weighting(parts):
 
 
 def test_class_shares(spark, parts):
+    """d5 has no word, so it is in no denominator."""
     labels = spark.createDataFrame([("d1", 1), ("d3", 1), ("d2", 0), ("d4", 0), ("d5", 0)], "doc_id STRING, label INT")
     got = {(r.label, r.word): r.share for r in feat.class_shares(parts[0], labels, ["apple", "banana", "zebra"]).collect()}
     assert got == {
         (1, "apple"): 1.0, (1, "banana"): 0.5, (1, "zebra"): 0.0,
-        (0, "apple"): 0.0, (0, "banana"): pytest.approx(1 / 3), (0, "zebra"): 0.0,
+        (0, "apple"): 0.0, (0, "banana"): 0.5, (0, "zebra"): 0.0,
     }
 
 

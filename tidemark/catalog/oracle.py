@@ -170,7 +170,7 @@ ORACLE["class_df_share"] = _with(
     WORDS,
     LABELS,
     "chosen AS (SELECT unnest(['applicant', 'and', 'attack', 'protein', 'court', 'the', 'in']) AS word)",
-    "sizes AS (SELECT label, count(*) AS size FROM marks GROUP BY label)",
+    "sizes AS (SELECT label, count(DISTINCT doc_id) AS size FROM words JOIN marks USING (doc_id) GROUP BY label)",
     "hits AS (SELECT label, word, count(DISTINCT doc_id) AS df FROM words JOIN marks USING (doc_id) GROUP BY ALL)",
 ) + """
 SELECT label::BIGINT AS label, word, coalesce(df, 0) / size AS share
@@ -359,8 +359,11 @@ def _fit(
     cost_stop: float = -1.0,
     sgd: bool = False,
     steps: int = 30,
+    labels: str = "",
+    after: tuple[str, ...] = (),
+    result: str = "",
 ) -> str:
-    """Trace of a descent. ``cost`` and ``penalty`` may use ``w`` sums: ``ww`` is |w|^2."""
+    """A descent and its trace, or ``result`` over it. ``ww`` in ``cost`` is |w|^2."""
     if sgd:
         move = "w * (1 - rate * 0.01) - rate * coalesce(g, 0) / n"
         # The step shrinks with the root of the step number; the stop looks at the moved weights.
@@ -372,7 +375,7 @@ def _fit(
     halt = "cost > last" if break_on_rise else "false"
     return _with_recursive(
         *features,
-        LABELS,
+        labels or LABELS,
         "led AS MATERIALIZED (SELECT doc_id, pos, x, label FROM feats JOIN marks USING (doc_id))",
         "sizes AS MATERIALIZED (SELECT count(DISTINCT doc_id)::DOUBLE AS n,"
         " (SELECT count(*) FROM documents)::DOUBLE AS all_docs,"
@@ -397,7 +400,11 @@ def _fit(
       (SELECT sum(w * w) AS ww FROM steps), sizes
       WHERE s.i < {steps - 1} AND NOT s.stop))
   WHERE NOT ({halt}))""",
-    ) + """
+        *after,
+    ) + (result or TRACE)
+
+
+TRACE = """
 SELECT DISTINCT i::BIGINT AS iteration, round(cost, 6) AS cost, round(norm, 6) AS norm, round(used, 9) AS rate
 FROM steps WHERE i >= 0"""
 
@@ -406,6 +413,10 @@ def _with_recursive(*parts: str) -> str:
     return _with(*parts).replace("WITH ", "WITH RECURSIVE ", 1)
 
 
+GRID = """
+SELECT a.v::BIGINT AS label, p.v::BIGINT AS prediction,
+       (SELECT count(*) FROM scored WHERE label = a.v AND prediction = p.v) AS n
+FROM (SELECT unnest([0, 1]) AS v) a CROSS JOIN (SELECT unnest([0, 1]) AS v) p"""
 TF_FEATS = (*TEXT, "feats AS (SELECT doc_id, pos, tf AS x FROM tf)")
 TFIDF_FEATS = (*TEXT, IDF_SMOOTH, FEATS)
 LOGISTIC = ("ln(1 + exp(theta)) - label * theta", "1 / (1 + exp(-theta)) - label")
@@ -422,6 +433,37 @@ ORACLE["svm_weighted"] = _fit(
     up=1.005, last=9999999.0, cost_stop=0.5,
 )
 
+EN_MARK = "CASE WHEN contains(upper(lang) || doc_id, 'EN') THEN 1 ELSE 0 END AS label"
+ORACLE["train_and_validate"] = _fit(
+    (
+        f"parts AS (SELECT doc_id, {EN_MARK}, floor({_uniform('doc_id', '7')} * 3) + 1 AS part FROM documents)",
+        WORDS.replace("words AS", "all_words AS"),
+        "words AS (SELECT doc_id, word FROM all_words JOIN parts USING (doc_id) WHERE part < 3)",
+        VOCAB,
+        COUNTS,
+        TF,
+        DF,
+        IDF_SMOOTH.replace("FROM documents", "FROM parts WHERE part < 3"),
+        FEATS,
+    ),
+    LOGISTIC,
+    0.1,
+    cost="data_cost + 0.001 * ww",
+    penalty="0.002",
+    steps=10,
+    labels="marks AS (SELECT doc_id, label FROM parts WHERE part < 3)",
+    after=(
+        "test_counts AS (SELECT doc_id, pos, count(*) AS cnt FROM all_words JOIN parts USING (doc_id)"
+        " JOIN vocab USING (word) WHERE part = 3 GROUP BY ALL)",
+        "test_tf AS (SELECT doc_id, pos, cnt / sum(cnt) OVER (PARTITION BY doc_id) AS tf FROM test_counts)",
+        "final AS (SELECT pos, w FROM steps WHERE i = (SELECT max(i) FROM steps))",
+        "scored AS (SELECT doc_id, any_value(label) AS label, CASE WHEN sum(tf * idf * w) < 0 THEN 0 ELSE 1 END"
+        " AS prediction FROM test_tf JOIN idf USING (pos) JOIN final USING (pos) JOIN parts USING (doc_id)"
+        " GROUP BY doc_id)",
+    ),
+    result=GRID,
+)
+
 # Naive Bayes
 
 

@@ -91,7 +91,7 @@ def false_positives(
     first = wrong.orderBy("doc_id").limit(k).select("doc_id")
     words = top_words.agg(F.collect_list(F.struct("pos", "word")).alias("words")).scalar()
     wanted = first.select("doc_id", F.explode(words).alias("t")).select("doc_id", "t.pos", "t.word")
-    found = features.join(F.broadcast(first), "doc_id", "left_semi")
+    found = features.join(small_side(first, k), "doc_id", "left_semi")
     return wanted.join(small_side(found, k * DICTIONARY_SIZE), ["doc_id", "pos"], "left").select(
         "doc_id", "word", "pos", F.coalesce(F.col("x"), F.lit(0.0)).alias("x")
     )

@@ -73,23 +73,18 @@ def class_shares(
 ) -> DataFrame:
     """Share of a class's documents that hold each chosen word: ``label, word, share``.
 
-    Words are looked up by name. Only the chosen words are shuffled; the class
-    sizes are the denominators. Words no document holds get a share of 0.
+    Words are looked up by name; words no document holds get a share of 0. The
+    denominator counts documents with at least one row in ``words`` (join a dictionary
+    first to count only those with a dictionary word). A document is one row before
+    it is shuffled.
     """
-    hits = (
-        words.filter(F.col("word").isin(list(chosen)))
-        .select(key, "word").distinct()
-        .join(labels.select(key, "label"), key)
-    )
-    per_word = [F.count(F.when(F.col("word") == w, 1)).alias(f"w{i}") for i, w in enumerate(chosen)]
-    sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-    found = hits.groupBy("label").agg(*per_word)
+    flags = [F.max(F.when(F.col("word") == w, 1).otherwise(0)).alias(f"w{i}") for i, w in enumerate(chosen)]
+    docs = words.groupBy(key).agg(*flags).join(labels.select(key, "label"), key)
+    totals = [F.sum(f"w{i}").alias(f"w{i}") for i in range(len(chosen))]
+    classes = docs.groupBy("label").agg(F.count(F.lit(1)).alias("size"), *totals)
     pairs = F.array(*[
-        F.struct(F.lit(w).alias("word"), F.coalesce(F.col(f"w{i}"), F.lit(0)).alias("df"))
-        for i, w in enumerate(chosen)
+        F.struct(F.lit(w).alias("word"), F.col(f"w{i}").alias("df")) for i, w in enumerate(chosen)
     ])
-    return (
-        sizes.join(found, "label", "left")
-        .select("label", "size", F.explode(pairs).alias("p"))
-        .select("label", F.col("p.word").alias("word"), (F.col("p.df") / F.col("size")).alias("share"))
+    return classes.select("label", "size", F.explode(pairs).alias("p")).select(
+        "label", F.col("p.word").alias("word"), (F.col("p.df") / F.col("size")).alias("share")
     )

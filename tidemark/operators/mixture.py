@@ -187,7 +187,7 @@ def purity(clusters: DataFrame, biggest: int = 3, groups: int = 3) -> DataFrame:
     sizes = pairs.groupBy("cluster").agg(F.sum("n").alias("size"))
     top = sizes.orderBy(F.col("size").desc(), "cluster").limit(biggest)
     rank = F.row_number().over(Window.partitionBy("cluster").orderBy(F.col("n").desc(), "group"))
-    ranked = pairs.join(F.broadcast(top), "cluster").withColumn("rank", rank)
+    ranked = pairs.join(small_side(top, biggest), "cluster").withColumn("rank", rank)
     return ranked.filter(F.col("rank") <= groups).select(
         "cluster", "size", "rank", "group", "n", (F.col("n") / F.col("size")).alias("share")
     )
