@@ -12,13 +12,13 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.regression import BoldRate
 from tidemark.operators.words import DICTIONARY_SIZE
-from tidemark.session import cut, keep, small_side
+from tidemark.session import cut, group_rows, keep, small_side
 
 
 @dataclass
@@ -37,8 +37,8 @@ class Fit:
 
 def weights_frame(spark: SparkSession, weights: np.ndarray) -> DataFrame:
     """``pos, weight`` from a weight vector."""
-    table = pd.DataFrame({"pos": np.arange(len(weights), dtype="int32"), "weight": weights})
-    return spark.createDataFrame(table, "pos INT, weight DOUBLE")
+    table = pa.table({"pos": np.arange(len(weights), dtype="int32"), "weight": weights})
+    return spark.createDataFrame(table)
 
 
 def labelled(features: DataFrame, labels: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def labelled(features: DataFrame, labels: DataFrame) -> DataFrame:
 @contextmanager
 def training_table(features: DataFrame, labels: DataFrame) -> Iterator[DataFrame]:
     """The labelled features, checkpointed, then grouped by document and cached while a fit reads them."""
-    data = keep(labelled(cut(features), labels))
+    data = keep(labelled(group_rows(cut(features), "doc_id"), labels))
     try:
         yield data
     finally:
@@ -98,10 +98,11 @@ def loss_pass(data: DataFrame, weights: DataFrame, loss: Loss, f: int = DICTIONA
 
 def _sums(data: DataFrame, w: np.ndarray, loss: Loss) -> tuple[float, np.ndarray]:
     """Data cost and gradient at w; at most len(w) rows come back."""
-    table = loss_pass(data, weights_frame(data.sparkSession, w), loss, len(w)).toPandas()
-    gradient = np.zeros(len(w))
-    gradient[table["pos"].to_numpy()] = table["gradient"].to_numpy()
-    return float(table.sort_values("pos")["cost"].sum()), gradient
+    table = loss_pass(data, weights_frame(data.sparkSession, w), loss, len(w)).toArrow()
+    pos = table["pos"].to_numpy()
+    gradient, cost = np.zeros(len(w)), np.zeros(len(w))
+    gradient[pos], cost[pos] = table["gradient"].to_numpy(), table["cost"].to_numpy()
+    return float(cost.sum()), gradient
 
 
 def _start(f: int, seed: int | None) -> np.ndarray:

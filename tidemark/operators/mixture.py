@@ -12,14 +12,14 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import uniform
 from tidemark.operators.scoring import dot_products
 from tidemark.operators.words import DICTIONARY_SIZE, count_by
-from tidemark.session import cut, keep, small_side
+from tidemark.session import cut, group_rows, keep, small_side
 
 # Smallest word probability, so that no draw gives ln 0.
 FLOOR = 1e-300
@@ -45,7 +45,7 @@ def led_counts(counts: DataFrame) -> DataFrame:
 @contextmanager
 def counts_table(counts: DataFrame) -> Iterator[DataFrame]:
     """Led counts, checkpointed and cached while sweeps read them."""
-    data = keep(led_counts(cut(counts)))
+    data = keep(led_counts(group_rows(cut(counts), "doc_id")))
     try:
         yield data
     finally:
@@ -109,8 +109,10 @@ def check_probabilities(log_mu: np.ndarray, log_pi: np.ndarray) -> None:
 
 def log_mu_frame(spark: SparkSession, log_mu: np.ndarray) -> DataFrame:
     """``pos, w`` with the k values of each position."""
-    table = pd.DataFrame({"pos": np.arange(log_mu.shape[1], dtype="int32"), "w": list(log_mu.T.copy())})
-    return spark.createDataFrame(table, "pos INT, w ARRAY<DOUBLE>")
+    k, f = log_mu.shape
+    offsets = np.arange(0, k * f + 1, k, dtype="int32")
+    values = pa.ListArray.from_arrays(offsets, np.ascontiguousarray(log_mu.T).reshape(-1))
+    return spark.createDataFrame(pa.table({"pos": np.arange(f, dtype="int32"), "w": values}))
 
 
 def _log_dirichlet(rng: np.random.Generator, weights: np.ndarray) -> np.ndarray:
@@ -154,7 +156,7 @@ def fit_mixture(
             check_probabilities(log_mu, log_pi)
         given = document_probabilities(data, log_mu_frame(spark, log_mu), list(log_pi), f)
         labels = draw_labels(given, k, sweep, seed)
-        table = cluster_word_counts(data, labels).toPandas()
+        table = cluster_word_counts(data, labels).toArrow()
         counts, docs = np.zeros((k, f)), np.zeros(k)
         cluster, pos = table["cluster"].to_numpy(), table["pos"].to_numpy()
         np.add.at(docs, cluster, table["docs"].to_numpy())

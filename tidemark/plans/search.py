@@ -13,7 +13,7 @@ from tidemark.functions import text as T
 from tidemark.operators import features as feat
 from tidemark.operators import similarity
 from tidemark.operators.words import DICTIONARY_SIZE, dictionary, term_counts, words_of
-from tidemark.session import cut, keep
+from tidemark.session import cut, group_rows, keep
 from tidemark.sources import readers
 
 
@@ -46,7 +46,7 @@ def search_index(
     vocab = cut(dictionary(words, f))
     counts = cut(term_counts(words, vocab, f))
     idf = cut(feat.inverse_document_frequency(feat.document_frequency(counts), n_docs, smooth))
-    x = keep(feat.features(counts, n_docs, idf=idf, f=f))
+    x = keep(feat.features(group_rows(counts, "doc_id"), n_docs, idf=idf, f=f))
     try:
         yield SearchIndex(vocab, idf, x, f)
     finally:

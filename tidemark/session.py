@@ -96,3 +96,14 @@ def keep(df: DataFrame) -> DataFrame:
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     cached.write.format("noop").mode("overwrite").save()
     return cached
+
+
+def group_rows(df: DataFrame, key: str, task_rows: int = 1_000_000) -> DataFrame:
+    """Bring the rows of a key together, in no more tasks than their number calls for.
+
+    Meant for a ``cut`` frame that is read many times; counting it is one cheap scan.
+    Never more tasks than ``spark.sql.shuffle.partitions``, never fewer than the cores.
+    """
+    spark = df.sparkSession
+    wanted = max(spark.sparkContext.defaultParallelism, -(-df.count() // task_rows))
+    return df.repartition(min(wanted, int(spark.conf.get("spark.sql.shuffle.partitions"))), key)
