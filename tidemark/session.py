@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark import StorageLevel
@@ -43,16 +41,11 @@ def local_session(
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors reach, as the session names it in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    Where that is not set, a folder below the warehouse, which executors share too; never a
+    temporary folder of one machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = os.path.join(tempfile.gettempdir(), f"tidemark-{spark.sparkContext.applicationId}")
-    os.makedirs(folder, exist_ok=True)
-    return folder
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
