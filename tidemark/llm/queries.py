@@ -6,9 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, decontaminate, line_dedup, oracle, quality_rules, sharding
+from tidemark.llm import byte_bpe, decontaminate, line_dedup, lm_scoring, oracle, quality_rules, sharding, toxicity, url_filter
 from tidemark.llm.common import table
 
+RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -35,6 +43,13 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", lm_scoring.held_out())
+    model, words = lm_scoring.train(docs.filter(~F.col("held_out")))
+    return lm_scoring.score_texts(docs, model, words)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -46,6 +61,25 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.filter_urls(pages, RULES).drop("url")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_texts(docs.select("doc_id", "text", "lang"), net)
+    return scored.select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        "threshold",
+        "rejected",
+    )
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_benchmark(docs, table(spark, sf_dir, "benchmark"))
@@ -56,7 +90,10 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_sharding": op2_sharding,
     "op3_line_dedup": op3_line_dedup,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_byte_bpe": op6_byte_bpe,
+    "op8_url_filter": op8_url_filter,
+    "op9_toxicity": op9_toxicity,
     "op10_decontaminate": op10_decontaminate,
 }
 
