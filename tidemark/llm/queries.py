@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, decontaminate, line_dedup, lm_scoring, oracle, quality_rules, sharding, toxicity, url_filter
+from tidemark.llm import byte_bpe, decontaminate, line_dedup, lm_scoring, oracle, quality_rules, sharding, suffix_dedup, toxicity, url_filter
 from tidemark.llm.common import table
 
 RULES = [
@@ -61,6 +61,17 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs, width=200).select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        F.aggregate("spans", F.lit(0), lambda s, x: s + x[1] - x[0]).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.filter_urls(pages, RULES).drop("url")
@@ -92,6 +103,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op5_lm_scoring": op5_lm_scoring,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_url_filter": op8_url_filter,
     "op9_toxicity": op9_toxicity,
     "op10_decontaminate": op10_decontaminate,
