@@ -107,3 +107,33 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(hits.n, 0)::BIGINT AS n_h
        coalesce(hits.n, 0) > 0 AND 20 * coalesce(hits.n, 0) >= len(words) AS contaminated
 FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
 """
+
+NGRAM_JOIN = r"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), s AS MATERIALIZED (
+  SELECT DISTINCT r, array_to_string(words[i : i + 4], ' ') AS shingle
+  FROM (SELECT r, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM d WHERE len(words) > 0)
+), n AS MATERIALIZED (
+  SELECT r, count(*) AS size FROM s GROUP BY r
+), common AS MATERIALIZED (
+  SELECT shingle FROM s GROUP BY shingle HAVING count(*) > 1
+), pairs AS (
+  SELECT a.r AS a, b.r AS b, count(*) AS shared
+  FROM (SELECT * FROM s SEMI JOIN common USING (shingle)) a JOIN s b ON a.shingle = b.shingle AND a.r <> b.r
+  GROUP BY a.r, b.r
+), links AS MATERIALIZED (
+  SELECT a, b FROM pairs JOIN n x ON x.r = a JOIN n y ON y.r = b
+  WHERE 100 * shared >= 75 * (x.size + y.size - shared)
+), reach AS (
+  SELECT r AS a, r AS b FROM d
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+), least AS (
+  SELECT a AS r, min(doc_id) AS component_id FROM reach JOIN d ON d.r = reach.b GROUP BY a
+)
+SELECT doc_id, coalesce(size, 0)::BIGINT AS n_shingles, component_id FROM d JOIN least USING (r) LEFT JOIN n USING (r)
+"""

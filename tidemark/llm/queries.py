@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, decontaminate, line_dedup, lm_scoring, oracle, quality_rules, sharding, suffix_dedup, toxicity, url_filter
+from tidemark.llm import byte_bpe, decontaminate, line_dedup, lm_scoring, ngram_join, oracle, quality_rules, sharding, suffix_dedup, toxicity, url_filter
 from tidemark.llm.common import table
 
 RULES = [
@@ -43,6 +43,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_similar(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     docs = docs.withColumn("held_out", lm_scoring.held_out())
@@ -101,6 +105,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_sharding": op2_sharding,
     "op3_line_dedup": op3_line_dedup,
+    "op4_ngram_join": op4_ngram_join,
     "op5_lm_scoring": op5_lm_scoring,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_suffix_dedup": op7_suffix_dedup,
@@ -112,5 +117,6 @@ QUERIES = {
 ORACLE = {
     "op1_quality_rules": oracle.QUALITY_RULES,
     "op3_line_dedup": oracle.LINE_DEDUP,
+    "op4_ngram_join": oracle.NGRAM_JOIN,
     "op10_decontaminate": oracle.DECONTAMINATE,
 }
