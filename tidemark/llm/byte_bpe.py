@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cuts
+from tidemark.llm.common import Plain, cuts
 
 #: Bytes of text whose new pieces are encoded together.
 TEXT_BYTES = 24 << 20
@@ -244,36 +244,33 @@ def vocabulary_bytes(df: DataFrame, path: str) -> bytes:
         return file.read()
 
 
-def encode_texts(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
-    """All columns of ``docs``, then ids (array of int) and decoded (binary, from those ids).
+def encode_texts(docs: DataFrame, path: str, pattern: str, text: str = "text", arrays: bool = True) -> DataFrame:
+    """All columns of ``docs``, then n_tokens, ids_text (decimal ids joined by blanks), decoded (binary, from those ids), ids (array of int).
 
     Every match of ``pattern`` is merged by itself; there are no special tokens. Null and empty texts have no ids.
-    Each row is encoded alone and whole, repeated rows alike; no shuffle.
+    Each row is encoded alone and whole, repeated rows alike; no shuffle. A column named like a result gives way to it. Without ``arrays`` ids is left out.
     """
+    more = [("n_tokens", "bigint"), ("ids_text", "string"), ("decoded", "binary")] + [("ids", "array<int>")] * arrays
 
     def rows(encoder: Encoder, codes: list[str]) -> list[pa.Array]:
-        ids = [[int(x) for x in c.split(" ")] if c else [] for c in codes]
-        return [pa.array(ids, pa.list_(pa.int32())), pa.array([encoder.decode(c) for c in codes], pa.binary())]
-
-    return _encoded(docs, path, pattern, text, [("ids", "array<int>"), ("decoded", "binary")], rows)
-
-
-def encode_digests(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
-    """As ``encode_texts``, but n_tokens, ids_text (decimal ids joined by blanks) and decoded: cheaper to digest."""
-
-    def rows(encoder: Encoder, codes: list[str]) -> list[pa.Array]:
-        counts = [c.count(" ") + 1 if c else 0 for c in codes]
-        decoded = [encoder.decode(c) for c in codes]
-        return [pa.array(counts, pa.int64()), pa.array(codes, pa.string()), pa.array(decoded, pa.binary())]
+        out = [
+            pa.array([c.count(" ") + 1 if c else 0 for c in codes], pa.int64()),
+            pa.array(codes, pa.string()),
+            pa.array([encoder.decode(c) for c in codes], pa.binary()),
+        ]
+        if arrays:
+            ids = [np.fromstring(c, dtype=np.int32, sep=" ") for c in codes]
+            ends = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
+            out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids))))
+        return out
 
-    return _encoded(docs, path, pattern, text, [("n_tokens", "bigint"), ("ids_text", "string"), ("decoded", "binary")], rows)
+    return _encoded(docs, path, pattern, text, more, rows)
 
 
 def _encoded(docs: DataFrame, path: str, pattern: str, text: str, more: list[tuple[str, str]], rows: Callable) -> DataFrame:
     names = [name for name, _ in more]
-    clash = set(names) & set(docs.columns)
-    if clash:
-        raise ValueError(f"rename these columns first: {sorted(clash)}")
+    plain = Plain(docs, *names)
+    docs, text = plain.rows, plain.of(text)
     data = docs.sparkSession.sparkContext.broadcast(vocabulary_bytes(docs, path))
     schema = docs.select("*", *[F.lit(None).cast(kind).alias(name) for name, kind in more]).schema
 
@@ -288,4 +285,4 @@ def _encoded(docs: DataFrame, path: str, pattern: str, text: str, more: list[tup
                 columns = rows(encoder, encoder.encode_all(texts))
                 yield pa.RecordBatch.from_arrays([*part.columns, *columns], [*part.schema.names, *names])
 
-    return docs.mapInArrow(encode, schema)
+    return docs.mapInArrow(encode, schema).select(*plain.rest, *names)

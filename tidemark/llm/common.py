@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
 
@@ -38,6 +39,24 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Plain:
+    """``docs`` under names of our own, so that no name of theirs can clash with one of ours.
+
+    ``rows`` is the frame, ``of`` finds a column in it, and ``rest`` gives the columns their names back, but for those
+    named like one of ``results``: there the result takes the place of the column.
+    """
+
+    def __init__(self, docs: DataFrame, *results: str):
+        taken = {name.lower() for name in results}
+        inner = [f"c{i}" for i in range(len(docs.columns))]
+        self.rows = docs.toDF(*inner)
+        self._inner = {name.lower(): c for name, c in zip(docs.columns, inner)}
+        self.rest = [F.col(c).alias(name) for name, c in zip(docs.columns, inner) if name.lower() not in taken]
+
+    def of(self, name: str) -> str:
+        return self._inner[name.lower()]
+
+
 def byte_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text column on end and the offsets of its rows; null counts as empty."""
     arr = pc.fill_null(column.cast(pa.large_binary()), b"")

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cuts, stage
+from tidemark.llm.common import Plain, cuts, stage
 
 #: Lower-cased ASCII letters, digits and all bytes beyond ASCII stand for themselves, all else for a blank.
 WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
@@ -149,14 +149,13 @@ def find_benchmark(
     Words are runs of ASCII letters, digits and characters beyond ASCII, with A-Z lower-cased. An item
     of fewer than ``width`` words, but not none, is one window. Null and empty texts have no words, hence no
     hits and no windows; repeated items count once by id, items with null id are left out. Whole texts are
-    searched; a repeated row gets its own result.
+    searched; a repeated row gets its own result. A column named like a result gives way to it.
 
     The benchmark is dealt into blocks of about ``PATTERN_BYTES`` by a hash of the item; one block at a time is collected,
     made into tables and broadcast, and all rows are searched for it where they lie.
     """
-    clash = {"n_words", "spans", "items"} & set(docs.columns)
-    if clash:
-        raise ValueError(f"rename these columns first: {sorted(clash)}")
+    plain = Plain(docs, "n_words", "spans", "items")
+    docs, text = plain.rows, plain.of(text)
     known = benchmark.filter(F.col(item).isNotNull() & F.col(item_text).isNotNull()).select(
         F.col(item).cast("string").alias("item"), F.encode(F.col(item_text), "UTF-8").alias("text")
     )
@@ -171,7 +170,7 @@ def find_benchmark(
         out = out.mapInArrow(_scan_with(searcher, text, block > 0), schema)
         if block + 1 < count:
             out = stage(out, "searched")
-    return out
+    return out.select(*plain.rest, "n_words", "spans", "items")
 
 
 def _scan_with(searcher, column: str, add: bool):

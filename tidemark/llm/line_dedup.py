@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stage
+from tidemark.llm.common import Plain, stage
 
 HAS_WORD = r"[^\x20\x09-\x0D]"
 _NULL_ID = -(1 << 63)
@@ -76,13 +76,13 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     worded lines make no window. A null text counts as empty (kept_text is then empty), a null key as the
     smallest. Rows that share a key count as one document between which nothing repeats: each is judged against smaller
     keys and itself. The key is an integer column.
+    A column named like a result gives way to it.
 
     Windows are counted before they are shuffled; the ones found are joined back with a plain join, which
     Spark splits where one window holds many rows.
     """
-    clash = {"kept_text", "n_lines", "n_removed", "n_spans", "_doc", "_text_key", "_at", "_lines", "_worded", "_gone"} & set(docs.columns)
-    if clash:
-        raise ValueError(f"rename these columns first: {sorted(clash)}")
+    plain = Plain(docs, "kept_text", "n_lines", "n_removed", "n_spans")
+    docs, key, text = plain.rows, plain.of(key), plain.of(text)
     windows = stage(line_windows(docs, key, text, width), "windows")
     firsts = windows.filter(~F.col("again")).select("doc", "text_key", "at", "h1", "h2")
     repeated = (
@@ -114,7 +114,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     rest = F.array_join(F.transform("_left", lambda i: F.get("_lines", i)), "\n")
     spans = F.size(F.filter("_covered", lambda c, i: F.coalesce(F.get("_covered", i - 1) != c - 1, F.lit(True))))
     return out.select(
-        *docs.columns,
+        *plain.rest,
         F.when(F.size("_covered") > 0, rest).otherwise(F.coalesce(F.col(text), F.lit(""))).alias("kept_text"),
         F.size("_lines").cast("long").alias("n_lines"),
         F.size("_covered").cast("long").alias("n_removed"),

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, Spans, blocks, row_of, stage, word_bounds
+from tidemark.llm.common import LOWER, Plain, Spans, blocks, row_of, stage, word_bounds
 
 #: Marks the start and the end of a text; no byte of UTF-8 is 255.
 EDGE = 255
@@ -278,7 +278,8 @@ def train(docs: DataFrame, text: str = "text", order: int = ORDER) -> tuple[Mode
     per order, and the ``HEAD_WORDS`` words at most that make up one in so many tokens.
     """
     spark = docs.sparkSession
-    body = docs.select(F.coalesce(F.col(text), F.lit("")).alias(text))
+    body = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
+    text = "text"
     first = stage(body.mapInArrow(_first_counts(text), _COUNTS).groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
     texts = first.filter(F.col("kind") == _TEXTS).agg(F.sum("n")).first()[0] or 0
     words = first.filter(F.col("kind") == _WORD).select("key", "n")
@@ -353,12 +354,11 @@ def score_texts(docs: DataFrame, model: Model, words: DataFrame, text: str = "te
 
     score is the PPM log10 probability of the text's bytes and its end. base_score sums
     log10((c + 0.5) / (N + 0.5 (V + 1))) over the words and the end. Null and empty texts consist of the end alone. Repeated
-    rows are scored one by one. Frequent words are looked up within the task; each text's other words meet
+    rows are scored one by one; a column named like a result gives way to it. Frequent words are looked up within the task; each text's other words meet
     ``words`` in a join, and only sums by row come back.
     """
-    clash = {"n_tokens", "n_known", "train_tokens", "base_score", "score", "_rare", "_times", "_row"} & set(docs.columns)
-    if clash:
-        raise ValueError(f"rename these columns first: {sorted(clash)}")
+    plain = Plain(docs, text, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    docs, text = plain.rows, plain.of(text)
     known = docs.sparkSession.sparkContext.broadcast(model)
     others = [c for c in docs.columns if c != text]
     kinds = {"n_tokens": "bigint", "n_known": "bigint", "base_score": "double", "score": "double", "_rare": "array<bigint>", "_times": "array<int>"}
@@ -377,7 +377,7 @@ def score_texts(docs: DataFrame, model: Model, words: DataFrame, text: str = "te
     )
     out = rows.drop("_rare", "_times").join(sums, "_row", "left")
     return out.select(
-        *others,
+        *plain.rest,
         "n_tokens",
         (F.col("n_known") + F.coalesce("_more", F.lit(0))).alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),

@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, NumericType, StringType
 
-from tidemark.llm.common import LOWER, Spans, blocks, mix, stage, word_bounds
+from tidemark.llm.common import LOWER, Plain, Spans, blocks, mix, stage, word_bounds
 from tidemark.llm.components import components
 
 #: Sets whose ids every task may hold, 16 bytes each; more of them meet the texts in a shuffle.
@@ -69,7 +70,8 @@ def _items(width: int):
         for batch in batches:
             sets = [(len(t), set_id(t) if len(t) else None) for _, t in _rows_of(batch, width)]
             more = [pa.array([s[0] for s in sets], pa.int64()), pa.array([s[1] for s in sets], pa.int64())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("doc_id"), *more], ["doc", "doc_id", "n_shingles", "set_id"])
+            names = ["doc", "doc_id", "text_key"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], *more], [*names, "n_shingles", "set_id"])
 
     return find
 
@@ -307,6 +309,20 @@ def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     return stage(old.union(fresh.select(F.col("node").alias("set_id"), "label")).distinct(), "labels")
 
 
+def _labelled_items(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
+    """Per row: doc, doc_id, text_key, n_shingles, and label, equal for rows that links connect (null without words)."""
+    texts = docs.select(
+        F.coalesce(F.col(key).cast("long"), F.lit(_NULL_ID)).alias("doc"),
+        F.col(key).cast("long").alias("doc_id"),
+        F.xxhash64(text).alias("text_key"),
+        F.col(text).alias("text"),
+    )
+    kinds = "doc bigint, doc_id bigint, text_key bigint, n_shingles bigint, set_id bigint"
+    items = stage(texts.mapInArrow(_items(width), kinds), "items")
+    labels = link_sets(similar_candidates(texts.select("doc", "text"), items, width))
+    return items.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
+
+
 def join_similar(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the smallest doc_id that links lead to, itself included).
 
@@ -316,13 +332,27 @@ def join_similar(docs: DataFrame, key: str = "doc_id", text: str = "text", width
     paired; rows that share a doc_id are rows of their own. A null doc_id is passed over for component_id, which
     is null only if all the component's are. The key is an integer column. Shingles and sets are known by 64-bit fingerprints.
     """
-    texts = docs.select(
-        F.coalesce(F.col(key).cast("long"), F.lit(_NULL_ID)).alias("doc"), F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")
-    )
-    items = stage(texts.mapInArrow(_items(width), "doc bigint, doc_id bigint, n_shingles bigint, set_id bigint"), "items")
-    labels = link_sets(similar_candidates(texts.select("doc", "text"), items, width))
-    found = items.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
+    found = _labelled_items(docs, key, text, width)
     least = found.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     return found.join(least, "label", "left").select(
         "doc_id", "n_shingles", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5) -> DataFrame:
+    """The rows of ``docs``, but of each group that links connect only one of the smallest key.
+
+    A null key counts as the smallest. Among rows of that key the text of the least hash stays, and one of equal rows. Rows
+    without words are in no group and all stay.
+    """
+    plain = Plain(docs)
+    docs, key, text = plain.rows, plain.of(key), plain.of(text)
+    found = _labelled_items(docs, key, text, width)
+    first = found.filter("label is not null").groupBy("label").agg(F.min(F.struct("doc", "text_key")).alias("one"))
+    bare = found.filter("label is null").select("doc", "text_key").distinct()
+    stay = first.select("one.doc", "one.text_key", F.lit(True).alias("_worded")).union(bare.select("*", F.lit(False)))
+    marked = docs.withColumn("_doc", F.coalesce(F.col(key).cast("long"), F.lit(_NULL_ID))).withColumn("_text_key", F.xxhash64(text))
+    kept = marked.join(stay.withColumnsRenamed({"doc": "_doc", "text_key": "_text_key"}), ["_doc", "_text_key"])
+    other = [f.name for f in docs.schema if f.name != text and isinstance(f.dataType, (NumericType, StringType, BooleanType))]
+    nth = F.row_number().over(Window.partitionBy("_doc", "_text_key").orderBy(*other, F.lit(0)))
+    return kept.withColumn("_nth", nth).filter("_nth = 1 or not _worded").select(*plain.rest)

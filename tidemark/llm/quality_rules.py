@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stage
+from tidemark.llm.common import Plain, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = r"[^#*$%&|<>]+"
@@ -16,15 +16,14 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
 
     A null text counts as empty; an empty one has zero of everything. Repeated words are the words of
     three-word windows that the text holds twice or more: the windows are fingerprinted (64 bits), sorted
-    within the row, and their covered positions merged, so a row costs n log n and nothing is shuffled.
+    within the row, and their covered positions merged, so a row costs n log n and nothing is shuffled. A column
+    named like a result gives way to it.
     """
-    inner = [c for c in ("_text", "_words", "_sorted", "_starts", "_lines") if c in docs.columns]
-    if inner:
-        raise ValueError(f"rename these columns first: {inner}")
+    plain = Plain(docs, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     n = F.size("_words")
     three = lambda i: F.xxhash64(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2))
     twin = lambda x, j: F.coalesce(F.get("_sorted", j)["h"] == x["h"], F.lit(False))
-    out = docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
+    out = plain.rows.withColumn("_text", F.coalesce(F.col(plain.of(text)), F.lit("")))
     out = out.withColumn("_words", F.regexp_extract_all("_text", F.lit(WORD), F.lit(0)))
     out = out.withColumn(
         "_sorted",
@@ -47,7 +46,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         lambda s: s["sum"],
     )
     return out.select(
-        *docs.columns,
+        *plain.rest,
         n.cast("long").alias("n_words"),
         F.char_length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         F.char_length(F.regexp_replace("_text", SYMBOLS, "")).cast("long").alias("n_symbols"),

@@ -57,7 +57,7 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return byte_bpe.encode_digests(docs, path, public_tokenizers.PATTERN).select(
+    return byte_bpe.encode_texts(docs, path, public_tokenizers.PATTERN, arrays=False).select(
         "doc_id",
         "n_tokens",
         F.sha2(F.encode("ids_text", "UTF-8"), 256).alias("ids_sha256"),

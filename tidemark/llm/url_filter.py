@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, Spans, byte_column, row_of
+from tidemark.llm.common import LOWER, Plain, Spans, byte_column, row_of
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -134,11 +134,10 @@ def filter_urls(
     are (verdict, host, path): a rule fits its host and all subdomains if the url's path starts with its path; of
     several the longest (host and path together) wins, the first of equally long ones. Without a rule, the
     model trained on ``labels`` (url, 1 for blocked) blocks at ``threshold``; score is its probability in any case.
-    Repeated rows get the same verdict; no shuffle.
+    Repeated rows get the same verdict; no shuffle. A column named like a result gives way to it.
     """
-    clash = {"host", "path", "rule", "score", "verdict"} & set(pages.columns)
-    if clash:
-        raise ValueError(f"rename these columns first: {sorted(clash)}")
+    plain = Plain(pages, "host", "path", "rule", "score", "verdict")
+    pages, url = plain.rows, plain.of(url)
     address = F.coalesce(F.col(url), F.lit(""))
     cut = pages.withColumn("host", F.translate(F.regexp_extract(address, PARTS, 1), UPPER, UPPER.lower()))
     cut = cut.withColumn("path", F.regexp_extract(address, PARTS, 2))
@@ -158,4 +157,4 @@ def filter_urls(
 
     scored = cut.mapInArrow(score, schema).withColumn("rule", rule)
     judged = F.when(F.col("score") >= threshold, "block").otherwise("allow")
-    return scored.withColumn("verdict", F.coalesce(given, judged)).select(*pages.columns, "host", "path", "rule", "score", "verdict")
+    return scored.withColumn("verdict", F.coalesce(given, judged)).select(*plain.rest, "host", "path", "rule", "score", "verdict")
