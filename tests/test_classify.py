@@ -30,10 +30,15 @@ def table(spark, data):
     cells = [(d, p, float(x[d, p])) for d in range(N) for p in range(P) if x[d, p]]
     features = spark.createDataFrame(cells, "doc_id INT, pos INT, x DOUBLE")
     labels = spark.createDataFrame([(d, int(y[d])) for d in range(N)], "doc_id INT, label INT")
-    with classify.training_table(features, labels) as held:
+    with classify.training_table(classify.with_labels(features, labels)) as held:
         yield held
 
 
+@pytest.fixture(scope="module")
+def long_rows(table):
+    return table.select("doc_id", "label", F.explode(F.arrays_zip("pos", "x")).alias("c")).select("doc_id", "label", "c.pos", "c.x")
+
+
 def plain_logistic(x, y, steps, rate=0.1, l2=1e-3):
     w, bold, rows = np.zeros(P), BoldRate(rate), []
     for i in range(steps):
@@ -110,13 +115,34 @@ def test_no_overflow_at_big_margins(spark):
 
 def test_steps_shuffle_only_gradients(table, spark):
     """Rows stay where the fit cached them; only sums by position move."""
-    plan = classify.loss_pass(table, classify.weights_frame(spark, np.zeros(P)), classify.HINGE, P)
-    text = outer_plan(plan)
+    weights = spark.sparkContext.broadcast(np.zeros(P))
+    step = table.mapInArrow(classify._step(weights, classify.HINGE), "pos int, value double")
+    text = outer_plan(step.groupBy("pos").agg(F.sum("value")))
     assert "Exchange hashpartitioning(pos" in text and "Exchange hashpartitioning(doc_id" not in text
     assert "Sort" not in text
 
 
-def test_naive_bayes_matches_package(spark, data, table):
+@pytest.mark.parametrize("loss", [classify.LOGISTIC, classify.HINGE, classify.weighted_hinge(0.3, 0.7)])
+def test_steps_match_the_sql_form(spark, table, long_rows, loss):
+    w = np.random.default_rng(3).normal(size=P)
+    cost, gradient = classify._sums(table, w, loss)
+    rows = classify.loss_pass(classify.labelled(long_rows), classify.weights_frame(spark, w), loss, P).collect()
+    assert cost == pytest.approx(sum(r.cost for r in rows))
+    for r in rows:
+        assert gradient[r.pos] == pytest.approx(r.gradient, abs=1e-12)
+
+
+def test_repeated_ids_are_one_document(spark):
+    """An id with a third of all lines and several labels is one row of the table."""
+    features = spark.range(300).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("doc_id")).distinct()
+    features = features.select("doc_id", F.lit(0).alias("pos"), F.lit(1.0).alias("x"))
+    labels = spark.range(300).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("doc_id"), (F.col("id") % 2).alias("label"))
+    with classify.training_table(classify.with_labels(features, labels)) as data:
+        assert data.count() == 201 and data.agg(F.max(F.size("pos"))).first()[0] == 1
+        assert data.filter("doc_id = -1").first().label == 1
+
+
+def test_naive_bayes_matches_package(spark, data, table, long_rows):
     from pyspark.ml.classification import NaiveBayes
     from pyspark.ml.linalg import Vectors
 
@@ -124,14 +150,14 @@ def test_naive_bayes_matches_package(spark, data, table):
     ml = spark.createDataFrame([(float(b), Vectors.dense(a.tolist())) for a, b in zip(x, y)], ["label", "features"])
     model = NaiveBayes(smoothing=1.0).fit(ml)
     vocab = spark.createDataFrame([(p,) for p in range(P)], "pos INT")
-    rows = bayes.word_likelihoods(table, vocab, f=P).collect()
+    rows = bayes.word_likelihoods(long_rows, vocab, f=P).collect()
     theta = model.theta.toArray()
     for r in rows:
         np.testing.assert_allclose(r.w, theta[:, r.pos], rtol=1e-9)
-    labels = table.filter("lead").select("doc_id", "label")
+    labels = table.select("doc_id", "label")
     prior = bayes.class_priors(labels).first().prior
     np.testing.assert_allclose(prior, model.pi.toArray(), rtol=1e-9)
-    found = bayes.classify(table, bayes.word_likelihoods(table, vocab, f=P), bayes.class_priors(labels), f=P)
+    found = bayes.classify(long_rows, bayes.word_likelihoods(long_rows, vocab, f=P), bayes.class_priors(labels), f=P)
     told = {r.doc_id: r.prediction for r in found.collect()}
     wanted = [int(r.prediction) for r in model.transform(ml).collect()]
     assert [told[d] for d in range(N)] == wanted

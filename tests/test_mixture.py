@@ -81,8 +81,34 @@ def test_cluster_counts_sum_to_the_corpus(parts, docs):
     assert tuple(row) == (60 * 30, 61)
 
 
+def test_sweeps_match_the_column_functions(spark, parts):
+    """One sweep on arrays draws the labels and counts of the column functions; ids with many lines count once."""
+    rng = np.random.default_rng(4)
+    log_mu, log_pi = np.log(rng.dirichlet(np.ones(9), K)), np.log([0.5, 0.3, 0.2])
+    with mixture.counts_table(parts[1]) as data:
+        given = mixture.document_probabilities(data, mixture.log_mu_frame(spark, log_mu), list(log_pi), 9)
+        wanted = {r.doc_id: r.cluster for r in mixture.draw_labels(given, K, 5, 11).collect()}
+    with mixture.sweep_table(parts[1]) as data:
+        got = {r.doc_id: r.cluster for r in mixture.sweep_labels(data, log_mu, log_pi, 5, 11).collect()}
+        counts = mixture.sweep_counts(data, log_mu, log_pi, 5, 11).collect()
+    assert got == wanted
+    sizes = {r.cluster: r.cnt for r in counts if r.pos == mixture.NO_WORD}
+    assert sizes == {c: list(wanted.values()).count(c) for c in set(wanted.values())}
+    assert sum(r.cnt for r in counts if r.pos != mixture.NO_WORD) == 60 * 30
+
+
+def test_one_mark_per_document(spark):
+    hot = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("doc_id")
+    docs = spark.range(900).select(hot, F.lit("red cat").alias("text"))
+    vocab = spark.createDataFrame([("red", 0), ("cat", 1)], "word STRING, pos INT")
+    counts = mixture.count_rows(docs, T.tokenize(F.col("text")), vocab, 2)
+    assert counts.groupBy("doc_id").count().agg(F.max("count")).first()[0] == 3
+    assert counts.filter("doc_id = -1 AND pos = 0").first().cnt == 300
+    assert counts.filter("pos = -1").count() == 601
+
+
 def test_sampler_finds_the_groups(docs):
-    sizes, words, labels = cluster_documents(docs, T.tokenize(F.col("text")), clusters=K, sweeps=15, seed=2)
+    sizes, words, labels = cluster_documents(docs, T.tokenize(F.col("text")), clusters=K, sweeps=15, seed=2, check=True)
     rows = [tuple(r) for r in sizes.collect()]
     assert len(rows) == 15 * K
     assert all(sum(n for s, _, n in rows if s == sweep) == 61 for sweep in range(15))

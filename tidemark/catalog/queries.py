@@ -78,7 +78,7 @@ def _fixed_weights(spark, d):
 def _scored(spark, d):
     """doc_id, label, score, prediction under the fixed weights."""
     scores = linear_scores(_tfidf(spark, d, smooth=True), _fixed_weights(spark, d))
-    return scores.join(I.labels(spark, d), "doc_id")
+    return classify.with_labels(scores, I.labels(spark, d))
 
 
 def _trips(spark, d):
@@ -129,6 +129,15 @@ def topk_count(spark, d):
     return trip.top_k(counts, 10, "trips", "taxi")
 
 
+@query
+def trip_files(spark, d):
+    """Trip lines written as bzip2 text, read back and ranked."""
+    path = scratch_path(spark, "trips")
+    I.trip_lines(spark, d).write.option("compression", "bzip2").text(path)
+    counts = trip.count_by(trip.basic_trips(readers.read_trips(spark, path)), "taxi", name="trips")
+    return trip.top_k(counts, 10, "trips", "taxi")
+
+
 @query
 def bottomk_count(spark, d):
     counts = trip.count_by(trip.basic_trips(_trips(spark, d)), "taxi", name="trips")
@@ -200,14 +209,14 @@ def ols_trip_line(spark, d):
 
 @query
 def gd_line_trace(spark, d):
-    trace = regression.descend_line(_scaled_items(spark, d), "quantity", "price")
+    trace = regression.descend_line(_scaled_items(spark, d), "quantity", "price", method="moments")
     return rounded(longs(trace, "iteration"), 9, "cost", "b", "m")
 
 
 @query
 def gd_multi_trace(spark, d):
     xs = ["quantity", "discount", "tax", "line"]
-    trace = regression.descend_plane(_scaled_items(spark, d), xs, "price")
+    trace = regression.descend_plane(_scaled_items(spark, d), xs, "price", method="moments")
     return rounded(longs(trace, "iteration"), 9, "cost", "b", "w0", "w1", "w2", "w3")
 
 
@@ -215,7 +224,7 @@ def gd_multi_trace(spark, d):
 def gd_multi_passes(spark, d):
     """The residual form, one job per iteration."""
     xs = ["quantity", "discount", "tax", "line"]
-    trace = regression.descend_plane(_scaled_items(spark, d), xs, "price", iterations=20, method="passes")
+    trace = regression.descend_plane(_scaled_items(spark, d), xs, "price")
     return rounded(longs(trace, "iteration"), 9, "cost", "b", "w0", "w1", "w2", "w3")
 
 
@@ -224,7 +233,7 @@ def gd_trip_trace(spark, d):
     """Standardised trip columns against the amount in thousands."""
     regular = trip.regular_trips(_trips(spark, d)).withColumn("amount", F.col("amount") / 1000)
     xs = ["duration", "distance", "fare", "surcharge"]
-    trace = regression.descend_plane(regular, xs, "amount", standardize=True)
+    trace = regression.descend_plane(regular, xs, "amount", method="moments", standardize=True)
     return rounded(longs(trace, "iteration"), 6, "cost", "b", "w0", "w1", "w2", "w3")
 
 
@@ -299,7 +308,7 @@ def tfidf_smooth(spark, d):
 @query
 def class_df_share(spark, d):
     chosen = ["applicant", "and", "attack", "protein", "court", "the", "in"]
-    return longs(feat.class_shares(_words(spark, d), I.labels(spark, d), chosen), "label")
+    return longs(feat.class_shares(I.documents(spark, d), T.tokenize(F.col("text")), I.labels(spark, d), chosen), "label")
 
 
 # Text parsing
@@ -376,9 +385,9 @@ def _neighbours(spark, d, metric="dot"):
 
 @query
 def knn_scores(spark, d):
+    """Scores of the pairs that share a word; all others are zero."""
     vectors_ = similarity.query_vectors(I.queries(spark, d), _vocab(spark, d), _idf(spark, d))
-    ids = similarity.query_ids(I.queries(spark, d))
-    return rounded(similarity.similarities(_tfidf(spark, d), vectors_, ids), 9, "score")
+    return rounded(similarity.similarities(_tfidf(spark, d), vectors_), 9, "score")
 
 
 @query
@@ -458,7 +467,7 @@ def positive_share(spark, d):
 def _led_labels(spark, d, weighting="tfidf"):
     counts = _counts(spark, d)
     x = feat.features(counts, _n_docs(spark, d), weighting, smooth=True)
-    return classify.labelled(x, I.labels(spark, d))
+    return classify.labelled(classify.with_labels(x, I.labels(spark, d)))
 
 
 def _gradient(spark, d, loss):
@@ -483,7 +492,7 @@ def weighted_hinge_gradient(spark, d):
 
 def _fitted(spark, d, fit, weighting="tf"):
     x = feat.features(_counts(spark, d), _n_docs(spark, d), weighting, smooth=True)
-    with classify.training_table(x, I.labels(spark, d)) as data:
+    with classify.training_table(classify.with_labels(x, I.labels(spark, d))) as data:
         return fit(data)
 
 
@@ -526,7 +535,7 @@ def svm_weighted(spark, d):
 
 @query
 def naive_bayes_likelihoods(spark, d):
-    rows = feat.features(_counts(spark, d), _n_docs(spark, d), "tf").join(I.labels(spark, d), "doc_id")
+    rows = classify.with_labels(feat.features(_counts(spark, d), _n_docs(spark, d), "tf"), I.labels(spark, d))
     table = bayes.word_likelihoods(rows, _vocab(spark, d))
     return rounded(
         longs(table.select("pos", F.col("w")[0].alias("w0"), F.col("w")[1].alias("w1")), "pos"), 9, "w0", "w1"
@@ -537,7 +546,7 @@ def naive_bayes_likelihoods(spark, d):
 def naive_bayes(spark, d):
     """Predictions for all documents from the labelled ones, on counts."""
     x = feat.features(_counts(spark, d), _n_docs(spark, d), "count")
-    rows = x.join(I.labels(spark, d), "doc_id")
+    rows = classify.with_labels(x, I.labels(spark, d))
     table = bayes.word_likelihoods(rows, _vocab(spark, d))
     found = bayes.classify(x, table, bayes.class_priors(I.labels(spark, d)))
     return longs(found.select("doc_id", "prediction"), "prediction")
@@ -546,7 +555,7 @@ def naive_bayes(spark, d):
 def _vector_report(spark, d, fit):
     """Train on parts 1 and 2, report on part 3."""
     words = [r["word"] for r in _vocab(spark, d).orderBy("pos").select("word").toLocalIterator()]
-    docs = I.documents(spark, d).join(I.labels(spark, d), "doc_id")
+    docs = classify.with_labels(I.documents(spark, d), I.labels(spark, d))
     rows = docs.select("doc_id", F.col("label").cast("double").alias("label"), T.tokenize(F.col("text")).alias("tokens"))
     data = evaluate.split_rows(vectors.vectorizer(words).transform(rows)).select("label", "features", "part")
     data = data.persist()
@@ -704,6 +713,24 @@ def train_and_validate(spark, d):
     return longs(report.confusion, "label", "prediction")
 
 
+@query
+def repeated_ids_report(spark, d):
+    """As ``train_and_validate``, but a third of the lines share one id: each id is one document."""
+    docs = evaluate.split_rows(I.documents(spark, d, "lang"))
+    own = F.concat(F.upper("lang"), F.col("doc_id").cast("string"))
+    folded = F.when(F.col("doc_id") % 3 == 0, "EN").otherwise(own)
+    one_line = F.regexp_replace("text", "[\\r\\n]+", " ")
+    line = F.format_string('<doc id="%s" url="u">%s</doc>', folded, one_line).alias("value")
+    report = court_plan.train_and_score(
+        evaluate.training_rows(docs).select(line),
+        evaluate.held_out_rows(docs).select(line),
+        lambda data, n: classify.fit_logistic(data, max_iterations=10),
+        mark="EN",
+    )
+    f1 = rounded(report.f1, 12, "f1")
+    return longs(report.confusion, "label", "prediction").select("*", f1.select("f1").scalar().alias("f1"))
+
+
 # Reviews
 
 

@@ -6,11 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The review stop words.
-STOP_WORDS = (
-    "i me my myself we our ours ourselves you you're you've you'll you'd your yours yourself "
-    "yourselves he him his himself she she's her hers herself it it's its itself they them their "
-    "theirs themselves what which who whom this that that'll these those am is are was were be"
-).split()
+STOP_WORDS = [
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "you're", "you've",
+    "you'll", "you'd", "your", "yours", "yourself", "yourselves", "he", "him", "his", "himself",
+    "she", "she's", "her", "hers", "herself", "it", "it's", "its", "itself", "they", "them",
+    "their", "theirs", "themselves", "what", "which", "who", "whom", "this", "that", "that'll",
+    "these", "those", "am", "is", "are", "was", "were", "be",
+]
 
 # Characters cut from both ends of a corpus token.
 EDGE_MARKS = ".,<>()-[]:;?!"
@@ -34,8 +36,7 @@ def tokenize(text: Column) -> Column:
 
 def without_stop_words(tokens: Column, stop_words: list[str] = STOP_WORDS) -> Column:
     """Drop stop words; repeated words stay repeated."""
-    stop = F.array(*[F.lit(w) for w in stop_words])
-    return F.filter(tokens, lambda w: ~F.array_contains(stop, w))
+    return F.filter(tokens, lambda w: ~w.isin(*stop_words))
 
 
 def split_on_space(text: Column) -> Column:

@@ -1,13 +1,13 @@
-"""Linear classifiers by gradient descent over sparse long-form features.
+"""Linear classifiers by gradient descent over sparse features.
 
-Every step is one job: rows meet the broadcast weights, the margin of a document
-is a window sum over its rows, and the gradient is a partial-then-final sum by
-position. Only weights and costs (at most f numbers) reach the driver.
+Training documents are cached as one row each, with the positions and values of their words. A step is one
+job: each task computes the margins and the gradient of its documents in numpy and sends one number per
+position, which are summed by position. At most f of them reach the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.regression import BoldRate
 from tidemark.operators.words import DICTIONARY_SIZE
-from tidemark.session import cut, group_rows, keep, small_side
+from tidemark.session import cut, keep, small_side
 
 
 @dataclass
@@ -41,50 +41,79 @@ def weights_frame(spark: SparkSession, weights: np.ndarray) -> DataFrame:
     return spark.createDataFrame(table)
 
 
-def labelled(features: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, pos, x, label, lead`` with one leading row per document.
+def with_labels(features: DataFrame, labels: DataFrame) -> DataFrame:
+    """The features of documents with a label. Several labels of an id count as the largest, so no row repeats."""
+    return features.join(labels.groupBy("doc_id").agg(F.max("label").alias("label")), "doc_id")
+
+
+def labelled(rows: DataFrame) -> DataFrame:
+    """``doc_id, pos, x, label, lead`` of labelled features, with one leading row per document.
 
     The window leaves the rows partitioned by document and sorted, which is what each step needs.
     """
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("pos")) == 1
-    rows = features.join(labels.select("doc_id", "label"), "doc_id")
     return rows.select("doc_id", "pos", "x", F.col("label").cast("int").alias("label"), first.alias("lead"))
 
 
 @contextmanager
-def training_table(features: DataFrame, labels: DataFrame) -> Iterator[DataFrame]:
-    """The labelled features, checkpointed, then grouped by document and cached while a fit reads them."""
-    data = keep(labelled(group_rows(cut(features), "doc_id"), labels))
+def training_table(rows: DataFrame) -> Iterator[DataFrame]:
+    """``doc_id, label, pos, x`` with the arrays of a document, cached while a fit reads them.
+
+    ``rows`` are labelled features; a document's list holds at most one entry per dictionary word.
+    """
+    cells = F.sort_array(F.collect_list(F.struct("pos", "x")))
+    docs = rows.groupBy("doc_id").agg(F.max("label").cast("int").alias("label"), cells.alias("cells"))
+    data = keep(cut(docs.select("doc_id", "label", F.col("cells.pos").alias("pos"), F.col("cells.x").alias("x"))))
     try:
         yield data
     finally:
         data.unpersist()
 
 
+def _logistic(theta: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    small = np.exp(-np.abs(theta))
+    cost = np.maximum(theta, 0) + np.log1p(small) - label * theta
+    return cost, np.where(theta >= 0, 1, small) / (1 + small) - label
+
+
+def _hinge(theta: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    sign = 2 * label - 1
+    return np.maximum(1 - sign * theta, 0), np.where(sign * theta < 1, -sign, 0)
+
+
 @dataclass(frozen=True)
 class Loss:
-    """Cost of a document and its slope in the margin, as SQL over ``theta`` and ``label`` (0 or 1)."""
+    """Cost of a document and its slope in the margin, as SQL over ``theta`` and ``label`` (0 or 1) and on arrays."""
 
     cost: str
     slope: str
+    on: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 # ln(1 + e^theta) - y theta, in forms that do not overflow.
 LOGISTIC = Loss(
     "greatest(theta, 0D) + log1p(exp(-abs(theta))) - label * theta",
     "if(theta >= 0, 1D, exp(theta)) / (1 + exp(-abs(theta))) - label",
+    _logistic,
 )
 # max(0, 1 - s theta) with s = -1 or 1.
 HINGE = Loss(
     "greatest(1 - (2 * label - 1) * theta, 0D)",
     "if((2 * label - 1) * theta < 1, 1 - 2 * label, 0)",
+    _hinge,
 )
 
 
 def weighted_hinge(positive: float, negative: float) -> Loss:
     """Hinge loss times a weight per class."""
     weight = f"if(label = 1, {float(positive)!r}D, {float(negative)!r}D)"
-    return Loss(f"{weight} * {HINGE.cost}", f"{weight} * {HINGE.slope}")
+
+    def on(theta: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        times = np.where(label == 1, positive, negative)
+        cost, slope = _hinge(theta, label)
+        return times * cost, times * slope
+
+    return Loss(f"{weight} * {HINGE.cost}", f"{weight} * {HINGE.slope}", on)
 
 
 def loss_pass(data: DataFrame, weights: DataFrame, loss: Loss, f: int = DICTIONARY_SIZE) -> DataFrame:
@@ -96,13 +125,39 @@ def loss_pass(data: DataFrame, weights: DataFrame, loss: Loss, f: int = DICTIONA
     return rows.groupBy("pos").agg(F.sum("g").alias("gradient"), F.sum("c").alias("cost"))
 
 
+def _step(weights, loss: Loss):
+    """Per task: the gradient at each position of its documents, and their cost at position -1."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = weights.value
+        gradient, cost = np.zeros(len(w)), 0.0
+        for batch in batches:
+            lists = batch.column("pos")
+            row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+            pos, x = lists.flatten().to_numpy(), batch.column("x").flatten().to_numpy()
+            theta = np.bincount(row, weights=x * w[pos], minlength=batch.num_rows)
+            costs, slope = loss.on(theta, batch.column("label").to_numpy())
+            gradient += np.bincount(pos, weights=x * slope[row], minlength=len(w))
+            cost += float(costs.sum())
+        used = np.flatnonzero(gradient)
+        columns = [np.append(used, -1).astype(np.int32), np.append(gradient[used], cost)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["pos", "value"])
+
+    return step
+
+
 def _sums(data: DataFrame, w: np.ndarray, loss: Loss) -> tuple[float, np.ndarray]:
-    """Data cost and gradient at w; at most len(w) rows come back."""
-    table = loss_pass(data, weights_frame(data.sparkSession, w), loss, len(w)).toArrow()
-    pos = table["pos"].to_numpy()
-    gradient, cost = np.zeros(len(w)), np.zeros(len(w))
-    gradient[pos], cost[pos] = table["gradient"].to_numpy(), table["cost"].to_numpy()
-    return float(cost.sum()), gradient
+    """Data cost and gradient at w; at most len(w) + 1 rows come back."""
+    weights = data.sparkSession.sparkContext.broadcast(w)
+    try:
+        parts = data.select("label", "pos", "x").mapInArrow(_step(weights, loss), "pos int, value double")
+        table = parts.groupBy("pos").agg(F.sum("value").alias("value")).toArrow()
+    finally:
+        weights.unpersist()
+    pos, value = table["pos"].to_numpy(), table["value"].to_numpy()
+    gradient = np.zeros(len(w))
+    gradient[pos[pos >= 0]] = value[pos >= 0]
+    return float(value[pos < 0].sum()), gradient
 
 
 def _start(f: int, seed: int | None) -> np.ndarray:
@@ -208,7 +263,7 @@ def fit_sgd(
 
     Stops when the weights move less than tolerance * max(|w|, 1).
     """
-    n = data.filter("lead").count()
+    n = data.count()
     fit = Fit(np.zeros(f))
     for t in range(1, iterations + 1):
         w, rate = fit.weights, step / t**0.5

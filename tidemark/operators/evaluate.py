@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import bucket
-from tidemark.operators.words import DICTIONARY_SIZE
-from tidemark.session import small_side
 
 
 def split_rows(df: DataFrame, key: str = "doc_id", seed: int = 7, parts: int = 3) -> DataFrame:
@@ -91,7 +89,7 @@ def false_positives(
     first = wrong.orderBy("doc_id").limit(k).select("doc_id")
     words = top_words.agg(F.collect_list(F.struct("pos", "word")).alias("words")).scalar()
     wanted = first.select("doc_id", F.explode(words).alias("t")).select("doc_id", "t.pos", "t.word")
-    found = features.join(small_side(first, k), "doc_id", "left_semi")
-    return wanted.join(small_side(found, k * DICTIONARY_SIZE), ["doc_id", "pos"], "left").select(
+    found = features.join(first, "doc_id", "left_semi")
+    return wanted.join(found, ["doc_id", "pos"], "left").select(
         "doc_id", "word", "pos", F.coalesce(F.col("x"), F.lit(0.0)).alias("x")
     )

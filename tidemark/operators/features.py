@@ -69,17 +69,20 @@ def features(
 
 
 def class_shares(
-    words: DataFrame, labels: DataFrame, chosen: list[str], key: str = "doc_id"
+    docs: DataFrame, tokens: Column, labels: DataFrame, chosen: list[str], key: str = "doc_id"
 ) -> DataFrame:
     """Share of a class's documents that hold each chosen word: ``label, word, share``.
 
-    Words are looked up by name; words no document holds get a share of 0. The
-    denominator counts documents with at least one row in ``words`` (join a dictionary
-    first to count only those with a dictionary word). A document is one row before
-    it is shuffled.
+    Words no document holds get a share of 0. The denominator counts documents with a token at least.
+    Each line becomes one row of flags before anything is shuffled; lines that share an id are
+    one document, and several labels of an id count as the largest.
     """
-    flags = [F.max(F.when(F.col("word") == w, 1).otherwise(0)).alias(f"w{i}") for i, w in enumerate(chosen)]
-    docs = words.groupBy(key).agg(*flags).join(labels.select(key, "label"), key)
+    flagged = docs.select(key, tokens.alias("tokens")).filter(F.size("tokens") > 0)
+    flagged = flagged.select(
+        key, *[F.array_contains("tokens", w).cast("int").alias(f"w{i}") for i, w in enumerate(chosen)]
+    )
+    once = flagged.groupBy(key).agg(*[F.max(f"w{i}").alias(f"w{i}") for i in range(len(chosen))])
+    docs = once.join(labels.groupBy(key).agg(F.max("label").alias("label")), key)
     totals = [F.sum(f"w{i}").alias(f"w{i}") for i in range(len(chosen))]
     classes = docs.groupBy("label").agg(F.count(F.lit(1)).alias("size"), *totals)
     pairs = F.array(*[

@@ -1,12 +1,14 @@
 """Mixture of multinomials by Gibbs sampling.
 
 State between sweeps is the ln word probabilities (k x f) and ln class shares (k)
-on the driver; documents and labels stay on the executors. A sweep is one job
-over the checkpointed counts, so lineage does not grow.
+on the driver; documents and labels stay on the executors. A sweep is one job over cached
+documents, one row each: tasks draw the labels of their documents in numpy and send the counts by cluster and position,
+which are summed. The column functions do the same for frames of any layout.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -18,22 +20,27 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import uniform
 from tidemark.operators.scoring import dot_products
-from tidemark.operators.words import DICTIONARY_SIZE, count_by
-from tidemark.session import cut, group_rows, keep, small_side
+from tidemark.operators.words import DICTIONARY_SIZE, count_by, known_words
+from tidemark.session import cut, keep, small_side
 
 # Smallest word probability, so that no draw gives ln 0.
 FLOOR = 1e-300
+# Fixed value: how far the word probabilities of a class may be from 1 in all.
+MASS_ERROR = 0.001
 # The position that stands for "no dictionary word".
 NO_WORD = -1
 
 
 def count_rows(docs: DataFrame, tokens: Column, vocab: DataFrame, f: int = DICTIONARY_SIZE) -> DataFrame:
-    """``doc_id, pos, cnt``, with one row (NO_WORD, 0) for each document, so none is lost."""
-    words = docs.select("doc_id", F.explode(tokens).alias("word"))
-    side = small_side(vocab.filter(F.col("pos") < f).select("word", "pos"), f)
-    counted = words.join(side, "word").groupBy("doc_id", "pos").agg(F.count(F.lit(1)).alias("cnt"))
-    marks = docs.select("doc_id", F.lit(NO_WORD).alias("pos"), F.lit(0).cast("bigint").alias("cnt"))
-    return counted.unionByName(marks)
+    """``doc_id, pos, cnt``, with one row (NO_WORD, 0) for each document, so none is lost.
+
+    Lines that share an id are one document. Marks are counted with the words, before
+    the shuffle, so an id with very many lines adds one row per task and position.
+    """
+    words = known_words(docs.select("doc_id", F.explode(tokens).alias("word")), vocab, f)
+    seen = words.select("doc_id", "pos", F.lit(1).alias("n"))
+    marks = docs.select("doc_id", F.lit(NO_WORD).alias("pos"), F.lit(0).alias("n"))
+    return seen.unionByName(marks).groupBy("doc_id", "pos").agg(F.sum("n").alias("cnt"))
 
 
 def led_counts(counts: DataFrame) -> DataFrame:
@@ -45,13 +52,84 @@ def led_counts(counts: DataFrame) -> DataFrame:
 @contextmanager
 def counts_table(counts: DataFrame) -> Iterator[DataFrame]:
     """Led counts, checkpointed and cached while sweeps read them."""
-    data = keep(led_counts(group_rows(cut(counts), "doc_id")))
+    data = keep(led_counts(cut(counts).repartition("doc_id")))
     try:
         yield data
     finally:
         data.unpersist()
 
 
+@contextmanager
+def sweep_table(counts: DataFrame) -> Iterator[DataFrame]:
+    """``doc_id, pos, x`` with the arrays of a document (empty without a dictionary word), cached while sweeps read them."""
+    word = F.when(F.col("pos") != NO_WORD, F.struct("pos", F.col("cnt").cast("double").alias("x")))
+    docs = counts.groupBy("doc_id").agg(F.sort_array(F.collect_list(word)).alias("cells"))
+    data = keep(cut(docs.select("doc_id", F.col("cells.pos").alias("pos"), F.col("cells.x").alias("x"))))
+    try:
+        yield data
+    finally:
+        data.unpersist()
+
+
+#: Documents whose words are weighed at once within a task.
+SWEPT_ROWS = 256
+
+
+def _drawn(batches: Iterator[pa.RecordBatch], log_mu: np.ndarray, log_pi: np.ndarray, sweep: int, seed: int):
+    """Per slice of documents: their ids, drawn clusters, and the row, position and count of each word.
+
+    The same draws as ``draw_labels``: a digest of document, sweep and seed.
+    """
+    by_pos = np.ascontiguousarray(log_mu.T)
+    for whole in batches:
+        for first in range(0, whole.num_rows, SWEPT_ROWS):
+            batch = whole.slice(first, SWEPT_ROWS)
+            n = batch.num_rows
+            lists = batch.column("pos")
+            row = np.repeat(np.arange(n), lists.value_lengths().to_numpy())
+            pos, x = lists.flatten().to_numpy(), batch.column("x").flatten().to_numpy()
+            scores = np.tile(log_pi, (n, 1))
+            np.add.at(scores, row, x[:, None] * by_pos[pos])
+            raised = np.exp(scores - scores.max(axis=1, keepdims=True))
+            running = np.cumsum(raised / raised.sum(axis=1, keepdims=True), axis=1)
+            ids = batch.column("doc_id")
+            digests = [hashlib.md5(f"{i}:{sweep}:{seed}".encode()).hexdigest()[:13] for i in ids.to_pylist()]
+            at = np.array([int(h, 16) for h in digests]) / 2.0**52
+            yield ids, (running[:, :-1] <= at[:, None]).sum(axis=1).astype(np.int32), row, pos, x
+
+
+def sweep_counts(data: DataFrame, log_mu: np.ndarray, log_pi: np.ndarray, sweep: int, seed: int) -> DataFrame:
+    """``cluster, pos, cnt`` after one draw for each document of a ``sweep_table``: words by position, documents at NO_WORD."""
+    state = data.sparkSession.sparkContext.broadcast((log_mu, log_pi))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mu, pi = state.value
+        k, f = mu.shape
+        total = np.zeros(k * (f + 1))
+        for _, label, row, pos, x in _drawn(batches, mu, pi, sweep, seed):
+            np.add.at(total, label[row] * (f + 1) + pos, x)
+            np.add.at(total, label * (f + 1) + f, 1.0)
+        used = np.flatnonzero(total)
+        pos = used % (f + 1)
+        columns = [(used // (f + 1)).astype(np.int32), np.where(pos == f, NO_WORD, pos).astype(np.int32), total[used]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["cluster", "pos", "cnt"])
+
+    parts = data.mapInArrow(count, "cluster int, pos int, cnt double")
+    return parts.groupBy("cluster", "pos").agg(F.sum("cnt").alias("cnt"))
+
+
+def sweep_labels(data: DataFrame, log_mu: np.ndarray, log_pi: np.ndarray, sweep: int, seed: int) -> DataFrame:
+    """``doc_id, cluster`` of one draw."""
+    state = data.sparkSession.sparkContext.broadcast((log_mu, log_pi))
+    schema = data.select("doc_id", F.lit(0).alias("cluster")).schema
+
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, drawn, *_ in _drawn(batches, *state.value, sweep, seed):
+            yield pa.RecordBatch.from_arrays([ids, pa.array(drawn)], ["doc_id", "cluster"])
+
+    return data.mapInArrow(label, schema)
+
+
 def class_probabilities(scores: list[Column]) -> list[Column]:
     """exp(s - max) / sum exp(s - max) over the classes."""
     top = F.greatest(*scores) if len(scores) > 1 else scores[0]
@@ -99,12 +177,12 @@ def cluster_sizes(labels: DataFrame) -> DataFrame:
 
 
 def check_probabilities(log_mu: np.ndarray, log_pi: np.ndarray) -> None:
-    """Raise unless shapes fit and every row of probabilities sums to 1."""
-    if log_pi.shape[0] != log_mu.shape[0]:
-        raise ValueError("number of classes does not match")
-    sums = np.exp(log_mu).sum(axis=1)
-    if not np.all((sums >= 0.999) & (sums <= 1.001)):
-        raise ValueError("word probabilities of a class do not sum to 1")
+    """Raise unless there is one share per class and each class spreads its whole mass over the words."""
+    if len(log_pi) != len(log_mu):
+        raise ValueError(f"{len(log_pi)} class shares for {len(log_mu)} classes")
+    off = np.abs(np.exp(log_mu).sum(axis=1) - 1)
+    if off.max() > MASS_ERROR:
+        raise ValueError(f"the words of class {int(off.argmax())} have a mass {off.max():.4f} away from 1")
 
 
 def log_mu_frame(spark: SparkSession, log_mu: np.ndarray) -> DataFrame:
@@ -140,13 +218,12 @@ def fit_mixture(
     resample_pi: bool = True,
     check: bool = False,
 ) -> tuple[Mixture, DataFrame]:
-    """Run the sweeps over a ``counts_table``; returns the state and the last labels (lazy).
+    """Run the sweeps over a ``sweep_table``; returns the state and the last labels (lazy).
 
     ``f`` is the number of dictionary words. The driver holds k x f numbers and
     draws from seeded generators; labels depend on document, sweep and seed only.
     With ``resample_pi`` off the class shares keep their first draw.
     """
-    spark = data.sparkSession
     rng = np.random.default_rng(seed)
     log_pi = _log_dirichlet(rng, np.full(k, alpha))
     log_mu = _log_dirichlet(rng, np.full((k, f), beta))
@@ -154,14 +231,14 @@ def fit_mixture(
     for sweep in range(sweeps):
         if check:
             check_probabilities(log_mu, log_pi)
-        given = document_probabilities(data, log_mu_frame(spark, log_mu), list(log_pi), f)
-        labels = draw_labels(given, k, sweep, seed)
-        table = cluster_word_counts(data, labels).toArrow()
+        if sweep + 1 == sweeps:
+            labels = sweep_labels(data, log_mu, log_pi, sweep, seed)
+        table = sweep_counts(data, log_mu, log_pi, sweep, seed).toArrow()
+        cluster, pos, n = (table[c].to_numpy() for c in ("cluster", "pos", "cnt"))
         counts, docs = np.zeros((k, f)), np.zeros(k)
-        cluster, pos = table["cluster"].to_numpy(), table["pos"].to_numpy()
-        np.add.at(docs, cluster, table["docs"].to_numpy())
         known = pos != NO_WORD
-        counts[cluster[known], pos[known]] = table["cnt"].to_numpy()[known]
+        counts[cluster[known], pos[known]] = n[known]
+        docs[cluster[~known]] = n[~known]
         sizes.append(docs)
         log_mu = _log_dirichlet(rng, beta + counts)
         if resample_pi:

@@ -142,13 +142,14 @@ def descend_line(
     iterations: int = 100,
     rate: float = 1e-4,
     start: float = 0.1,
-    method: str = "moments",
+    method: str = "passes",
     standardize: bool = False,
 ) -> DataFrame:
     """Trace ``iteration, cost, b, m`` of a line fitted to the mean squared error.
 
-    ``moments`` reads the rows once, whatever the number of iterations; ``passes``
-    runs one job per iteration on the residuals themselves.
+    ``passes`` runs one job per iteration on the residuals themselves; ``moments`` reads the rows
+    once, whatever the number of iterations, and is meant for columns of similar scale: where the
+    descent diverges, its rounding errors do too.
     """
     kw = dict(iterations=iterations, rate=BoldRate(rate), half=False, start=start)
     return _trace(df, [x], y, method, standardize, ["b", "m"], **kw)
@@ -161,7 +162,7 @@ def descend_plane(
     iterations: int = 100,
     rate: float = 1e-3,
     start: float = 0.1,
-    method: str = "moments",
+    method: str = "passes",
     standardize: bool = False,
 ) -> DataFrame:
     """Trace ``iteration, cost, b, w0, w1, ...`` of a plane fitted to half the mean squared error."""

@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
 from tidemark.operators.features import term_frequency, weigh
-from tidemark.operators.scoring import dot_products
 from tidemark.operators.words import DICTIONARY_SIZE, term_counts, words_of
-from tidemark.session import small_side
+from tidemark.session import cut
 
-# Queries scored in one pass over the documents.
-QUERIES_PER_PASS = 64
+# One part in so many of the documents gives the first bound of each query's scores.
+BOUND_PARTS = 16
 # Scores are compared at this many decimals, so that the order of summation cannot
 # decide between documents with equal words.
 SCORE_DECIMALS = 12
@@ -29,62 +26,22 @@ def query_vectors(
     return weigh(tf, idf, f).select("query_id", "pos", F.col("tfidf").alias("x"))
 
 
-def query_ids(queries: DataFrame) -> list:
-    """The ids of the query texts, in order."""
-    return [r[0] for r in queries.select("query_id").distinct().orderBy("query_id").collect()]
-
-
-def _block_weights(vectors: DataFrame, ids: list) -> DataFrame:
-    """One row per position with the weights of a block's queries, zero where a query lacks the word.
-
-    The gathered list holds at most one entry per query of the block.
-    """
-    place = F.array_position(F.lit(ids), F.col("query_id")).cast("int")
-    filled = F.expr(f"transform(sequence(1, {max(len(ids), 1)}), j -> coalesce(try_element_at(m, j), 0D)) AS w")
-    placed = vectors.withColumn("place", place).filter("place > 0").groupBy("pos")
-    return placed.agg(F.map_from_entries(F.collect_list(F.struct("place", "x"))).alias("m")).select("pos", filled)
-
-
-def _score_rows(
-    features: DataFrame,
-    vectors: DataFrame,
-    ids: list,
-    metric: str,
-    f: int,
-    beside: DataFrame | None = None,
-) -> DataFrame:
-    """``query_id, doc_id, score`` of every query and document, with the columns of ``beside`` joined by document.
+def similarities(features: DataFrame, vectors: DataFrame, metric: str = "dot") -> DataFrame:
+    """``query_id, doc_id, score`` of the queries and documents that share a word.
 
-    One aggregation by document scores a block of queries; the scores of a document
-    are spread over rows only after that, inside the task.
+    All other scores are zero and get no row. The words of the queries are postings that meet the documents' words, in one
+    pass for any number of queries; the products are summed where the documents lie.
     """
     if metric not in ("dot", "cosine"):
         raise ValueError(f"unknown metric {metric!r}")
-    cosine = metric == "cosine"
-    if cosine:
-        length = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("query_id")))
-        vectors = vectors.withColumn("x", F.try_divide(F.col("x"), length))
-    doc_length = [F.expr("sqrt(sum(x * x)) AS doc_length")] if cosine else []
-    score = F.expr("try_divide(dot, doc_length)") if cosine else F.col("dot")
-    parts = []
-    for start in range(0, max(len(ids), 1), QUERIES_PER_PASS):
-        block = ids[start : start + QUERIES_PER_PASS]
-        scored = dot_products(features, _block_weights(vectors, block), len(block), f, keep=doc_length)
-        if beside is not None:
-            scored = scored.join(beside, "doc_id")
-        dots = F.array(*[f"score_{j}" for j in range(len(block))])
-        others = [c for c in scored.columns if not c.startswith("score_")]
-        rows = scored.select(*others, F.posexplode(dots).alias("place", "dot"))
-        asked = F.get(F.lit(block), F.col("place")).alias("query_id")
-        parts.append(rows.select(asked, *[c for c in others if c != "doc_length"], score.alias("score")))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def similarities(
-    features: DataFrame, vectors: DataFrame, ids: list, metric: str = "dot", f: int = DICTIONARY_SIZE
-) -> DataFrame:
-    """``query_id, doc_id, score`` of every query and every document, zero scores included."""
-    return _score_rows(features, vectors, ids, metric, f)
+    asked = vectors.select("query_id", "pos", F.col("x").alias("qx"))
+    if metric == "cosine":
+        length = F.sqrt(F.sum(F.col("qx") * F.col("qx")).over(Window.partitionBy("query_id")))
+        asked = asked.withColumn("qx", F.try_divide(F.col("qx"), length))
+        own = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("doc_id")))
+        features = features.withColumn("x", F.try_divide(F.col("x"), own))
+    shared = features.join(asked, "pos")
+    return shared.groupBy("query_id", "doc_id").agg(F.sum(F.col("x") * F.col("qx")).alias("score"))
 
 
 def _best(df: DataFrame, k: int, *order) -> DataFrame:
@@ -97,30 +54,60 @@ def nearest_rows(
     features: DataFrame,
     links: DataFrame,
     vectors: DataFrame,
-    ids: list,
     k: int,
     metric: str = "dot",
-    f: int = DICTIONARY_SIZE,
 ) -> DataFrame:
     """The k best (document, category) rows per query: ``query_id, rank, doc_id, category, score``.
 
     Documents repeat once per category; equal scores go by category, then document.
-    Only the k best documents (by score, first category, id) can hold the k best
-    rows, so categories are joined to those alone. Queries without a dictionary
-    word get no rows.
+    Queries without a dictionary word get no rows; documents have a word each.
+
+    The k-th best score among some of the documents is a bound that none of the k best of all falls short of, so only scores that reach
+    it are ranked, and categories are joined to those alone. Documents without a shared word score zero; they are ranked
+    only for queries with fewer than k documents above zero.
     """
-    firsts = links.groupBy("doc_id").agg(F.min("category").alias("first_category"))
     scale = float(10**SCORE_DECIMALS)
-    scored = _score_rows(features, vectors, ids, metric, f, beside=firsts)
-    scored = scored.withColumn("score", F.rint(F.col("score") * scale) / scale)
+    scored = similarities(features, vectors, metric).withColumn("score", F.rint(F.col("score") * scale) / scale)
+    some = scored.filter(F.pmod(F.xxhash64("doc_id"), F.lit(BOUND_PARTS)) == 0)
     score = F.col("score").desc_nulls_last()
-    docs = _best(scored, k, score, "first_category", "doc_id")
-    known = small_side(vectors.select("query_id").distinct(), len(ids))
-    docs = docs.drop("rank", "first_category").join(known, "query_id", "left_semi")
-    rows = links.join(small_side(docs, k * max(len(ids), 1)), "doc_id")
-    return _best(rows, k, score, "category", "doc_id").select(
-        "query_id", "rank", "doc_id", "category", "score"
+    bounds = _best(some, k, score).filter((F.col("rank") == k) & (F.col("score") > 0))
+    bounds = bounds.select("query_id", F.col("score").alias("bound"))
+    reached = F.col("bound").isNull() | (F.col("score") >= F.col("bound"))
+    found = cut(scored.join(bounds, "query_id", "left").filter(reached).drop("bound"))
+    asked = vectors.select("query_id").distinct()
+    above = found.filter("score > 0").groupBy("query_id").agg(F.count(F.lit(1)).alias("above"))
+    seen = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("seen"))
+    short = cut(
+        asked.join(above, "query_id", "left").join(seen, "query_id", "left")
+        .filter(F.coalesce("above", F.lit(0)) < k)
+        .select("query_id", F.coalesce("seen", F.lit(0)).alias("seen"))
     )
+    most = short.agg(F.max("seen")).first()[0]
+    if most is not None:
+        found = found.unionByName(_zero_rows(features, links, found, short, k + most))
+    rows = links.join(_first_categories(found, links, k, score), "doc_id")
+    return _best(rows, k, score, "category", "doc_id").select("query_id", "rank", "doc_id", "category", "score")
+
+
+def _first_categories(found: DataFrame, links: DataFrame, k: int, score: Column) -> DataFrame:
+    """The k best documents per query by score, first category and id: only they can hold the k best rows."""
+    firsts = links.groupBy("doc_id").agg(F.min("category").alias("first_category"))
+    best = _best(found.join(firsts, "doc_id"), k, score, "first_category", "doc_id")
+    return best.select("query_id", "doc_id", "score")
+
+
+def _zero_rows(features: DataFrame, links: DataFrame, found: DataFrame, short: DataFrame, enough: int) -> DataFrame:
+    """Score 0 for the documents that come first by category and id and share no word with a ``short`` query.
+
+    Of the first ``enough`` documents at least k share none: ``found`` holds all documents that share a word with a
+    query that is short of hits, as it has no bound.
+    """
+    firsts = links.join(features.select("doc_id").distinct(), "doc_id", "left_semi")
+    firsts = firsts.groupBy("doc_id").agg(F.min("category").alias("first_category"))
+    early = firsts.orderBy("first_category", "doc_id").limit(enough).select("doc_id")
+    ids = short.agg(F.collect_set("query_id").alias("ids")).scalar()
+    pairs = early.select(F.explode(ids).alias("query_id"), "doc_id")
+    return pairs.join(found, ["query_id", "doc_id"], "left_anti").withColumn("score", F.lit(0.0))
 
 
 def category_vote(rows: DataFrame, k: int) -> DataFrame:

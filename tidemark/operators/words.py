@@ -32,9 +32,15 @@ def dictionary(words: DataFrame, f: int = DICTIONARY_SIZE) -> DataFrame:
     """The f most frequent words with their rank: ``word, pos, cnt``, pos from 0.
 
     Equal counts go by the word. A corpus with fewer words gives a shorter
-    dictionary. The ranking window sees at most f rows, after the limit.
+    dictionary. The count of the f-th word is found first, from the numbers of words by
+    count, so that only f words and those tied with the last one are ordered.
     """
-    best = top_k(word_counts(words), f, "cnt", "word")
+    counts = word_counts(words)
+    # How many words are at least as frequent, by count: one row per distinct count.
+    tallies = counts.groupBy("cnt").agg(F.count(F.lit(1)).alias("n"))
+    reached = F.sum("n").over(Window.orderBy(F.col("cnt").desc()))
+    least = tallies.withColumn("reached", reached).filter(F.col("reached") >= f).agg(F.max("cnt")).scalar()
+    best = top_k(counts.filter(F.col("cnt") >= F.coalesce(least, F.lit(0))), f, "cnt", "word")
     rank = F.row_number().over(Window.orderBy(F.col("cnt").desc(), "word")) - 1
     return best.select("word", rank.alias("pos"), "cnt")
 
@@ -45,5 +51,16 @@ def term_counts(words: DataFrame, vocab: DataFrame, f: int = DICTIONARY_SIZE, ke
     Documents without a dictionary word vanish. A document adds at most f rows
     to the shuffle, however often its words repeat.
     """
-    side = small_side(vocab.filter(F.col("pos") < f).select("word", "pos"), f)
-    return count_by(words.join(side, "word"), key, "pos", name="cnt")
+    return count_by(known_words(words, vocab, f), key, "pos", name="cnt")
+
+
+def known_words(words: DataFrame, vocab: DataFrame, f: int = DICTIONARY_SIZE) -> DataFrame:
+    """The rows of ``words`` whose word is in the dictionary, with its ``pos`` in the word's place.
+
+    Words meet the dictionary by 128 bits of fingerprint, so the side that is broadcast has f rows of numbers,
+    whatever the words' lengths.
+    """
+    prints = [F.xxhash64("word").alias("h1"), F.xxhash64(F.lit(1), F.col("word")).alias("h2")]
+    side = small_side(vocab.filter(F.col("pos") < f).select(*prints, "pos"), f)
+    others = [c for c in words.columns if c != "word"]
+    return words.select(*others, *prints).join(side, ["h1", "h2"]).select(*others, "pos")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import mixture
 from tidemark.operators.words import DICTIONARY_SIZE, dictionary, words_of
-from tidemark.session import keep
+from tidemark.session import cut, keep
 
 
 def cluster_documents(
@@ -19,6 +19,7 @@ def cluster_documents(
     f: int = DICTIONARY_SIZE,
     seed: int = 7,
     resample_pi: bool = True,
+    check: bool = False,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Gibbs sampling over ``docs`` (doc_id and text columns).
 
@@ -29,10 +30,11 @@ def cluster_documents(
     vocab = keep(dictionary(words_of(docs, tokens if vocab_tokens is None else vocab_tokens), f))
     try:
         size = vocab.count()
-        with mixture.counts_table(mixture.count_rows(docs, tokens, vocab, f)) as data:
+        with mixture.sweep_table(mixture.count_rows(docs, tokens, vocab, f)) as data:
             state, labels = mixture.fit_mixture(
-                data, size, k=clusters, sweeps=sweeps, seed=seed, resample_pi=resample_pi
+                data, size, k=clusters, sweeps=sweeps, seed=seed, resample_pi=resample_pi, check=check
             )
+            labels = cut(labels)
         log_mu = mixture.log_mu_frame(spark, state.log_mu)
         weights = log_mu.select("pos", F.posexplode("w").alias("cluster", "weight"))
         words = spark.createDataFrame(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
@@ -20,10 +20,12 @@ from tidemark.sources import readers
 POSITIVE_MARK = "AU"
 
 
-def label_by_id(docs: DataFrame, mark: str = POSITIVE_MARK) -> DataFrame:
-    """``doc_id, label``: 1 when the id holds the mark anywhere, case-sensitive."""
-    hit = F.contains(F.col("doc_id"), F.lit(mark))
-    return docs.select("doc_id", F.when(hit, 1).otherwise(0).alias("label"))
+def label_of(doc_id: str = "doc_id", mark: str = POSITIVE_MARK) -> Column:
+    """1 when the id holds the mark anywhere, case-sensitive, else 0.
+
+    A function of the id alone, so lines that share an id are one document with one label.
+    """
+    return F.when(F.contains(F.col(doc_id), F.lit(mark)), 1).otherwise(0)
 
 
 @dataclass
@@ -50,7 +52,7 @@ def train_and_score(
 ) -> Report:
     """Dictionary and weights from the training lines, evaluation on the test lines.
 
-    ``fit`` gets the training table and the number of all training lines. Test
+    Lines that share an id are one document. ``fit`` gets the training table and the number of all training lines. Test
     documents use the training dictionary, and the training idf unless
     ``refit_idf`` asks for their own. Documents without a dictionary word vanish.
     """
@@ -64,7 +66,7 @@ def train_and_score(
     try:
         idf = cut(feat.inverse_document_frequency(feat.document_frequency(counts), n_train, smooth=True))
         x = feat.features(counts, n_train, weighting, idf=idf, f=f)
-        with classify.training_table(x, label_by_id(train, mark)) as data:
+        with classify.training_table(x.withColumn("label", label_of(mark=mark))) as data:
             fitted = fit(data, n_train)
     finally:
         counts.unpersist()
@@ -79,7 +81,7 @@ def train_and_score(
             f=f,
         )
     )
-    scored = cut(linear_scores(x_test, weights, f).join(label_by_id(test, mark), "doc_id"))
+    scored = cut(linear_scores(x_test, weights, f).withColumn("label", label_of(mark=mark)))
     return Report(
         top_words=best,
         trace=fitted.trace_frame(spark),
@@ -102,7 +104,7 @@ def svm(data: DataFrame, n_docs: int) -> classify.Fit:
 
 def weighted_svm(data: DataFrame, n_docs: int) -> classify.Fit:
     """SVM with class weights from the share of positives among all lines."""
-    share = data.filter("lead AND label = 1").count() / n_docs
+    share = data.filter("label = 1").count() / n_docs
     return classify.fit_weighted_svm(data, share)
 
 
@@ -120,7 +122,7 @@ def lbfgs_report(
     shape = vectors.vectorizer(words)
 
     def ready(docs: DataFrame) -> DataFrame:
-        label = F.contains(F.col("doc_id"), F.lit(mark)).cast("double").alias("label")
+        label = label_of(mark=mark).cast("double").alias("label")
         rows = docs.select(label, T.tokenize(F.col("text")).alias("tokens"))
         return shape.transform(rows).select("label", "features")
 

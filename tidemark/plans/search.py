@@ -13,7 +13,7 @@ from tidemark.functions import text as T
 from tidemark.operators import features as feat
 from tidemark.operators import similarity
 from tidemark.operators.words import DICTIONARY_SIZE, dictionary, term_counts, words_of
-from tidemark.session import cut, group_rows, keep
+from tidemark.session import cut, keep
 from tidemark.sources import readers
 
 
@@ -29,8 +29,7 @@ class SearchIndex:
     def nearest(self, links: DataFrame, queries: DataFrame, k: int = 10, metric: str = "dot") -> DataFrame:
         """The k nearest (document, category) rows per query, computed now: at most k rows per query."""
         vectors = similarity.query_vectors(queries, self.vocab, self.idf, self.f)
-        ids = similarity.query_ids(queries)
-        return cut(similarity.nearest_rows(self.features, links, vectors, ids, k, metric, self.f))
+        return cut(similarity.nearest_rows(self.features, links, cut(vectors), k, metric))
 
 
 @contextmanager
@@ -46,7 +45,7 @@ def search_index(
     vocab = cut(dictionary(words, f))
     counts = cut(term_counts(words, vocab, f))
     idf = cut(feat.inverse_document_frequency(feat.document_frequency(counts), n_docs, smooth))
-    x = keep(feat.features(group_rows(counts, "doc_id"), n_docs, idf=idf, f=f))
+    x = keep(feat.features(counts.repartition("doc_id"), n_docs, idf=idf, f=f))
     try:
         yield SearchIndex(vocab, idf, x, f)
     finally:

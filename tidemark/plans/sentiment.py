@@ -35,6 +35,62 @@ def clean_reviews(reviews: DataFrame, drop_incomplete: bool = False) -> DataFram
     return kept.select(F.col("_c0").alias("doc_id"), label.alias("label"), tokens.alias("tokens"))
 
 
+#: The models by name; L-BFGS and SGD are logistic regressions, the SVM is trained by SGD.
+MODELS = ("lbfgs", "sgd", "svm", "bayes")
+
+
+@dataclass
+class Prepared:
+    """Reviews split in training and held-out part, with dictionary, idf and weights of their words."""
+
+    rows: DataFrame
+    known: DataFrame
+    vocab: DataFrame
+    idf: DataFrame
+    x: DataFrame
+    f: int
+
+
+def prepare(reviews: DataFrame, f: int = DICTIONARY_SIZE, seed: int = 7, drop_incomplete: bool = False) -> Prepared:
+    """About two thirds of the reviews train; the split is fixed by review id and seed.
+
+    Reviews that share an id are one for the word weights, with the larger label.
+    """
+    rows = cut(evaluate.split_rows(clean_reviews(reviews, drop_incomplete), seed=seed))
+    known = cut(rows.groupBy("doc_id").agg(F.max("label").alias("label"), F.max("part").alias("part")))
+    words = words_of(rows, F.col("tokens"))
+    vocab = cut(dictionary(words, f))
+    counts = cut(term_counts(words, vocab, f))
+    n_docs = rows.count()
+    idf = cut(feat.inverse_document_frequency(feat.document_frequency(counts), n_docs, smooth=True))
+    return Prepared(rows, known, vocab, idf, cut(feat.features(counts, n_docs, idf=idf, f=f)), f)
+
+
+def told_by(made: Prepared, name: str, iterations: int | None = None) -> DataFrame:
+    """``label, prediction`` of the held-out reviews by the model trained on the others.
+
+    The default iterations are 300 for both logistic regressions and 200 for the SVM.
+    """
+    spark = made.rows.sparkSession
+    if name == "lbfgs":
+        return cut(_lbfgs(made.rows, made.vocab, made.idf, iterations or 300))
+    train, test = evaluate.training_rows(made.known), evaluate.held_out_rows(made.known)
+    truth = test.select("doc_id", "label")
+    held_out = made.x.join(truth, "doc_id", "left_semi")
+    rows = classify.with_labels(made.x, train)
+    if name == "bayes":
+        likelihoods = bayes.word_likelihoods(rows, made.vocab, f=made.f)
+        found = bayes.classify(held_out, likelihoods, bayes.class_priors(train), f=made.f)
+    elif name in ("sgd", "svm"):
+        loss, steps = (classify.LOGISTIC, 300) if name == "sgd" else (classify.HINGE, 200)
+        with classify.training_table(rows) as data:
+            fit = classify.fit_sgd(data, loss, made.f, iterations or steps)
+        found = linear_scores(held_out, fit.weights_frame(spark), made.f)
+    else:
+        raise ValueError(f"unknown model {name!r}")
+    return cut(found.join(truth, "doc_id").select("label", "prediction"))
+
+
 @dataclass
 class Reports:
     """Per model name: class report, weighted F1 and confusion on the held-out part."""
@@ -52,33 +108,10 @@ def review_models(
     sgd_iterations: int = 300,
     svm_iterations: int = 200,
 ) -> Reports:
-    """Train four models on about two thirds of the reviews and report on the rest.
-
-    Models: ``lbfgs`` and ``sgd`` logistic regression, ``svm`` by SGD, ``bayes``. The split
-    is fixed by review id and seed, so no review is in both parts.
-    """
-    spark = reviews.sparkSession
-    rows = cut(evaluate.split_rows(clean_reviews(reviews), seed=seed))
-    words = words_of(rows, F.col("tokens"))
-    vocab = cut(dictionary(words, f))
-    counts = cut(term_counts(words, vocab, f))
-    n_docs = rows.count()
-    idf = cut(feat.inverse_document_frequency(feat.document_frequency(counts), n_docs, smooth=True))
-    x = cut(feat.features(counts, n_docs, idf=idf, f=f))
-    train, test = evaluate.training_rows(rows), evaluate.held_out_rows(rows)
-    told = {}
-    with classify.training_table(x, train) as data:
-        sgd = classify.fit_sgd(data, classify.LOGISTIC, f, sgd_iterations)
-        svm = classify.fit_sgd(data, classify.HINGE, f, svm_iterations)
-        likelihoods = cut(bayes.word_likelihoods(data, vocab, f=f))
-    priors = bayes.class_priors(train)
-    truth = test.select("doc_id", "label")
-    held_out = x.join(truth, "doc_id", "left_semi")
-    for name, fit in (("sgd", sgd), ("svm", svm)):
-        told[name] = linear_scores(held_out, fit.weights_frame(spark), f).join(truth, "doc_id")
-    told["bayes"] = bayes.classify(held_out, likelihoods, priors, f=f).join(truth, "doc_id")
-    told["lbfgs"] = _lbfgs(rows, vocab, idf, lbfgs_iterations)
-    told = {name: cut(df.select("label", "prediction")) for name, df in told.items()}
+    """Train all models on the same part of the reviews and report on the rest."""
+    made = prepare(reviews, f, seed)
+    steps = {"lbfgs": lbfgs_iterations, "sgd": sgd_iterations, "svm": svm_iterations, "bayes": None}
+    told = {name: told_by(made, name, steps[name]) for name in MODELS}
     return Reports(
         reports={n: evaluate.class_report(df) for n, df in told.items()},
         f1={n: evaluate.f1_weighted(df) for n, df in told.items()},

@@ -8,6 +8,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Paths that scratch_path has given out.
+_made: list[str] = []
+
 # A side is broadcast only when its proven bound stays below this many bytes.
 BROADCAST_BYTES = 256 * 1024 * 1024
 
@@ -50,38 +53,37 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this driver has staged; frames that read it are of no use afterwards."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(hadoop).delete(path, True)
 
 
 def small_side(df: DataFrame, rows: int, row_bytes: int = 64) -> DataFrame:
     """Mark ``df`` for broadcast when its proven bound of ``rows`` fits, else leave it to the optimizer.
 
-    ``rows`` must hold by construction (a LIMIT, or a key with that many values).
+    ``rows`` must hold by construction (a LIMIT, or a key with that many values), and the columns
+    must be numbers that fit ``row_bytes``.
     """
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
-def spread(df: DataFrame, task_bytes: int = 32 * 1024 * 1024) -> DataFrame:
-    """Deal the rows of a small input over all cores.
-
-    A small file is often one row group, hence one task. Inputs that already give
-    each core ``task_bytes`` of work stay as they are, so nothing big is shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * task_bytes else df
-
-
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to a reliable checkpoint and read on from there.
+    """Write ``df`` as a table below the shared folder and read on from there.
 
-    A lost executor then costs a re-read of these files, not a recomputation from
-    the raw text.
+    Later scans prune columns and push filters, and a lost executor costs a re-read of
+    these files, not a recomputation from the raw text. ``clear_scratch`` deletes them.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def keep(df: DataFrame) -> DataFrame:
@@ -89,14 +91,3 @@ def keep(df: DataFrame) -> DataFrame:
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     cached.write.format("noop").mode("overwrite").save()
     return cached
-
-
-def group_rows(df: DataFrame, key: str, task_rows: int = 1_000_000) -> DataFrame:
-    """Bring the rows of a key together, in no more tasks than their number calls for.
-
-    Meant for a ``cut`` frame that is read many times; counting it is one cheap scan.
-    Never more tasks than ``spark.sql.shuffle.partitions``, never fewer than the cores.
-    """
-    spark = df.sparkSession
-    wanted = max(spark.sparkContext.defaultParallelism, -(-df.count() // task_rows))
-    return df.repartition(min(wanted, int(spark.conf.get("spark.sql.shuffle.partitions"))), key)
