@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.session import scratch_path
 
 #: Bytes of text that one numpy pass takes at once; a longer text makes a pass of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 #: Upper to lower case for the ASCII letters, everything else as it is.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32

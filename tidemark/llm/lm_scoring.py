@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -40,19 +40,33 @@ class Trie:
     """Nodes of the context trie: all contexts of two bytes, and the frequent ones of three and more.
 
     ``steps[k]`` leads from a node of order k + 2 and the next byte to a node of order k + 3, 0 meaning none. Order 3
-    is entered from three bytes, so its step is a table over their 24 bits.
+    is entered from three bytes, so its step is a table over their 24 bits. Only the ``codes`` of the nodes travel; each
+    process makes the tables for itself.
     """
 
     def __init__(self) -> None:
+        self.codes: list[np.ndarray] = []
         self.steps: list[np.ndarray] = []
-        self.sizes: list[int] = []
 
-    def grow(self, keys: np.ndarray, size: int) -> None:
-        """Add an order whose nodes are the given (node, byte) keys of the order below, numbered from 1."""
-        step = np.zeros(size, dtype=np.uint16)
-        step[keys] = np.arange(1, len(keys) + 1)
+    def __getstate__(self) -> list[np.ndarray]:
+        return self.codes
+
+    def __setstate__(self, codes: list[np.ndarray]) -> None:
+        self.__init__()
+        for code in codes:
+            self.grow(code)
+
+    @property
+    def size(self) -> int:
+        """Nodes of the highest order, with the one that stands for none; before any, the pairs of bytes."""
+        return len(self.codes[-1]) + 1 if self.codes else 1 << 16
+
+    def grow(self, code: np.ndarray) -> None:
+        """Add an order whose nodes are the given (node, byte) codes of the order below, numbered from 1."""
+        step = np.zeros(self.size * 256, dtype=np.uint16)
+        step[code] = np.arange(1, len(code) + 1)
+        self.codes.append(code)
         self.steps.append(step)
-        self.sizes.append(len(keys) + 1)
 
     def nodes(self, text: np.ndarray) -> Iterator[np.ndarray]:
         """For each order from 3, the node of the context before each place."""
@@ -71,19 +85,27 @@ class Trie:
 
 @dataclass
 class Model:
-    """The trie, log10 probabilities of each byte after each state, and the words that every task knows."""
+    """The trie with its counts, and the words that every task knows.
+
+    ``logs`` holds the log10 probabilities of each byte after each state; each process works them out from the counts.
+    """
 
     order: int
     trie: Trie
-    logs: np.ndarray
-    pair_state: np.ndarray
-    first_state: list[int]
+    grams: tuple[np.ndarray, np.ndarray]
+    deeper: list[tuple[np.ndarray, np.ndarray]]
     words: np.ndarray
     word_counts: np.ndarray
     tokens: int
     types: int
     texts: int
 
+    def __post_init__(self) -> None:
+        self.logs, self.pair_state, self.first_state = _probabilities(self.grams, self.deeper, self.trie.codes)
+
+    def __reduce__(self):
+        return Model, tuple(getattr(self, f.name) for f in fields(self))
+
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """log10 of the probability of each text, its end included."""
         if len(offsets) < 2:
@@ -129,7 +151,7 @@ def _dense(keys: np.ndarray, counts: np.ndarray, rows: int) -> np.ndarray:
     return out.reshape(rows, 256)
 
 
-def _probabilities(grams: tuple[np.ndarray, np.ndarray], trie: Trie, deeper: list[tuple[np.ndarray, np.ndarray]], codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[int]]:
+def _probabilities(grams: tuple[np.ndarray, np.ndarray], deeper: list[tuple[np.ndarray, np.ndarray]], codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[int]]:
     """All states' log10 rows, the state of each pair of bytes, and before which state each deeper order starts.
 
     ``codes`` are the (node below, byte) keys of each deeper order's nodes; ``deeper`` their (node, byte) counts.
@@ -242,7 +264,7 @@ def _deeper_counts(text: str, trie):
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = trie.value
-        cells = np.zeros(known.sizes[-1] * 256, dtype=np.int64)
+        cells = np.zeros(known.size * 256, dtype=np.int64)
         for batch in batches:
             for _, data, offsets in blocks(batch, text):
                 whole, starts, _ = stream(data, offsets, ORDER)
@@ -289,26 +311,22 @@ def train(docs: DataFrame, text: str = "text", order: int = ORDER) -> tuple[Mode
     grams = _pull(first.filter(F.col("kind") == _GRAM))
     trie = Trie()
     deeper: list[tuple[np.ndarray, np.ndarray]] = []
-    codes: list[np.ndarray] = []
     positions = int(grams[1].sum())
-    cells, size = grams, 1 << 24
+    cells = grams
     for _ in range(3, order + 1):
         # a node needs its context without the oldest byte as a node too, which is at least as frequent;
         # contexts that hold the edge mark have no node: they stand at the start of texts only
         keys = cells[0][(cells[1] * NODES > positions) & (cells[0] & 255 != EDGE)]
-        if size == 1 << 24:
+        if not trie.codes:
             keys = keys[(keys >> 16 != EDGE) & ((keys >> 8) & 255 != EDGE)]
         if not len(keys):
             break
-        trie.grow(keys, size)
-        size = trie.sizes[-1] * 256
-        codes.append(keys)
+        trie.grow(keys)
         known = spark.sparkContext.broadcast(trie)
         cells = _pull(body.mapInArrow(_deeper_counts(text, known), _COUNTS).groupBy("kind", "key").agg(F.sum("n").alias("n")))
         deeper.append(cells)
-    logs, pair_state, first_state = _probabilities(grams, trie, deeper, codes)
-    model = Model(ORDER, trie, logs, pair_state, first_state, head[0], head[1], tokens, types, texts)
-    return model, words
+        known.destroy()
+    return Model(ORDER, trie, grams, deeper, head[0], head[1], tokens, types, texts), words
 
 
 def _score_rows(model, text: str):
