@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import Plain, cuts
 
 #: Bytes of text whose new pieces are encoded together.
-TEXT_BYTES = 24 << 20
+TEXT_BYTES = 8 << 20
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -84,10 +84,10 @@ class Encoder:
     the pieces do not touch each other, and within each the merges come in the order of their ranks.
     """
 
-    #: Pieces whose codes are remembered before the memory is emptied; results do not depend on it.
-    REMEMBERED = 500_000
+    #: Pieces whose codes are remembered, beside those of the last texts; results do not depend on it.
+    REMEMBERED = 150_000
     #: Bytes of pieces that share a queue; a longer piece has a queue of its own.
-    QUEUE_BYTES = 8 << 20
+    QUEUE_BYTES = 2 << 20
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
@@ -95,7 +95,7 @@ class Encoder:
         self.size = max(ranks.values(), default=0) + 1
         self.names = [str(i) for i in range(self.size)]
         self.bytes_of = {str(rank): token for token, rank in ranks.items()}
-        self.byte_ids = np.array([ranks.get(bytes([b]), -1) for b in range(256)])
+        self.byte_ids = np.array([ranks.get(bytes([b]), -1) for b in range(256)], dtype=np.int32)
         if (self.byte_ids < 0).any():
             raise ValueError("the vocabulary lacks single bytes")
         # two neighbours merge if their bytes make a token; its rank is that of the merge
@@ -117,7 +117,7 @@ class Encoder:
         """Rank of each two neighbours, -1 where they do not merge."""
         if not len(self.pair):
             return np.full(len(left), -1)
-        wanted = left * self.size + right
+        wanted = left.astype(np.int64) * self.size + right
         at = np.minimum(np.searchsorted(self.pair, wanted), len(self.pair) - 1)
         return np.where(self.pair[at] == wanted, self.rank[at], -1)
 
@@ -147,13 +147,13 @@ class Encoder:
         ends = np.cumsum(sizes)
         n = int(ends[-1])
         ids = self.byte_ids[np.frombuffer(b"".join([pieces[k] for k in rest]), dtype=np.uint8)]
-        owner = np.repeat(np.arange(len(rest)), sizes)
+        owner = np.repeat(np.arange(len(rest), dtype=np.int32), sizes)
         # one place beyond the last stands for every wall
-        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
         after[ends - 1] = n
         before[ends - sizes] = n
-        ids = np.append(ids, -1)
-        rank_at = np.full(n + 1, -1)
+        ids = np.append(ids, np.int32(-1))
+        rank_at = np.full(n + 1, -1, dtype=np.int32)
         inner = np.flatnonzero(after[:n] < n)
         rank_at[inner] = self._pair_ranks(ids[inner], ids[inner + 1])
         queue = RankQueue(self.size)
@@ -203,8 +203,6 @@ class Encoder:
 
     def encode_all(self, texts: list[str]) -> list[str]:
         """Per text its ids in decimal, joined by single blanks."""
-        if len(self.codes) > self.REMEMBERED:
-            self.codes.clear()
         codes, same = self.codes, {}
         split_texts = []
         for text in texts:
@@ -217,7 +215,10 @@ class Encoder:
         for first, end in cuts(offsets, self.QUEUE_BYTES):
             for piece, ids in zip(new[first:end], self.encode_pieces(raw[first:end])):
                 codes[piece] = " ".join([names[i] for i in ids])
-        return [" ".join(map(codes.__getitem__, pieces)) for pieces in split_texts]
+        out = [" ".join(map(codes.__getitem__, pieces)) for pieces in split_texts]
+        if len(codes) > self.REMEMBERED:
+            self.codes = {piece: codes[piece] for piece in same}  # those of the last texts come again most likely
+        return out
 
     def encode(self, text: str) -> str:
         return self.encode_all([text])[0]
