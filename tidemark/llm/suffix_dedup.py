@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Spans, blocks, byte_column, mix, stage
+from tidemark.llm.common import Spans, blocks, byte_column, cuts, mix, stage
 
 #: Groups of suffixes up to this size meet in one task; the windows of larger ones are counted before they are shuffled.
 LIGHT = 2000
@@ -79,69 +79,157 @@ def window_anchors(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[n
 
 
 def _anchor_rows(text: str, width: int):
-    """Per anchor: key, pos, seed (its first bucket) and around (all bytes that its windows can reach, and its place in them)."""
+    """Per anchor: key, pos, seed (its first bucket), around (all bytes that its windows can reach, and its place in them), direct.
+
+    Anchors of a bucket that has several in one batch are ``direct``: they are known as shared. Other batches hear of
+    the bucket by one row without place (pos -1), so a bucket that very many texts share makes one such row per batch.
+    """
     q = seed_width(width)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column("key").to_numpy()
+            parts = []
             for row, data, offsets in blocks(batch, text, TEXT_BYTES):
                 _, anchors, level = window_anchors(data, offsets, width)
-                if not len(anchors):
-                    continue
                 at = np.unique(anchors)
                 of = np.searchsorted(offsets, at, side="right") - 1
                 left = np.maximum(offsets[of], at - (width - q))
                 right = np.minimum(offsets[of + 1], at + width)
                 around = mix(Spans(data)(left, right) + (at - left).astype(np.uint64))
-                columns = [keys[row + of], (at - offsets[of]).astype(np.int32), level[q][at].view(np.int64), around.view(np.int64)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "pos", "seed", "around"])
+                parts.append((keys[row + of], (at - offsets[of]).astype(np.int32), level[q][at].view(np.int64), around.view(np.int64)))
+            if not parts:
+                continue
+            key, pos, seed, around = (np.concatenate(x) for x in zip(*parts))
+            values, back, times = np.unique(seed, return_inverse=True, return_counts=True)
+            heard = values[times > 1]
+            none = np.zeros(len(heard), np.int64)
+            columns = [
+                np.append(key, none),
+                np.append(pos, none.astype(np.int32) - 1),
+                np.append(seed, heard),
+                np.append(around, none),
+                np.append(times[back] > 1, none > 0),
+            ]
+            for a in range(0, len(columns[0]), 1 << 16):
+                cut = [pa.array(c[a : a + (1 << 16)]) for c in columns]
+                yield pa.RecordBatch.from_arrays(cut, ["key", "pos", "seed", "around", "direct"])
 
     return find
 
 
+def _owned(batch: pa.RecordBatch, text: str, places: str, width: int) -> Iterator[tuple]:
+    """Per block with wanted anchors: key of each row, offsets, bytes, starts and anchors of the windows of the wanted ones, identifiers."""
+    keys = batch.column("key").to_numpy()
+    lists = batch.column(places)
+    flat = lists.flatten().to_numpy()
+    ends = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())])
+    for row, data, offsets in blocks(batch, text, TEXT_BYTES):
+        n = len(offsets) - 1
+        wanted = np.zeros(len(data) + 1, dtype=bool)
+        base = np.repeat(offsets[:-1], np.diff(ends[row : row + n + 1]))
+        wanted[base + flat[ends[row] : ends[row + n]]] = True
+        if wanted.any():
+            starts, anchors, level = window_anchors(data, offsets, width)
+            own = wanted[anchors]
+            yield keys[row : row + n], offsets, data, starts[own], anchors[own], level
+
+
 def _window_rows(text: str, places: str, width: int):
     """The windows whose anchors are among a row's ``places``: whole (the bucket of all their bytes), key, start."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column("key").to_numpy()
-            lists = batch.column(places)
-            flat = lists.flatten().to_numpy()
-            ends = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())])
-            for row, data, offsets in blocks(batch, text, TEXT_BYTES):
-                n = len(offsets) - 1
-                wanted = np.zeros(len(data) + 1, dtype=bool)
-                own = slice(ends[row], ends[row + n])
-                base = np.repeat(offsets[:-1], np.diff(ends[row : row + n + 1]))
-                wanted[base + flat[own]] = True
-                if not wanted.any():
-                    continue
-                starts, anchors, level = window_anchors(data, offsets, width)
-                at = starts[wanted[anchors]]
+            for keys, offsets, _, at, _, level in _owned(batch, text, places, width):
                 of = np.searchsorted(offsets, at, side="right") - 1
-                columns = [level[width][at].view(np.int64), keys[row + of], (at - offsets[of]).astype(np.int32)]
+                columns = [level[width][at].view(np.int64), keys[of], (at - offsets[of]).astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["whole", "key", "start"])
 
     return find
 
 
+def _stretch_rows(text: str, places: str, width: int):
+    """Per anchor among a row's ``places`` the bytes that its windows span: seed, key, start of the first window, body."""
+    q = seed_width(width)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for keys, offsets, data, at, anchors, level in _owned(batch, text, places, width):
+                # the windows of an anchor start at places in a row
+                first = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]])) if len(at) else np.empty(0, np.int64)
+                begin, end = at[first], at[np.append(first[1:], len(at)) - 1] + width if len(at) else at
+                of = np.searchsorted(offsets, begin, side="right") - 1
+                size = np.concatenate([[0], np.cumsum(end - begin)])
+                inside = np.arange(size[-1]) + np.repeat(begin - size[:-1], end - begin)
+                buffers = [None, pa.py_buffer(size.astype(np.int32).tobytes()), pa.py_buffer(data[inside].tobytes())]
+                bodies = pa.Array.from_buffers(pa.binary(), len(first), buffers)
+                columns = [level[q][anchors[first]].view(np.int64), keys[of], (begin - offsets[of]).astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in columns], bodies], ["seed", "key", "start", "body"])
+
+    return find
+
+
+def _repeated_runs(width: int):
+    """Over stretches in the order of their seeds: runs (key, first, last) of the starts of windows that occur twice.
+
+    Equal windows have the same seed, so only the rows of one seed are kept until the next batch.
+    """
+
+    def runs(batch: pa.RecordBatch) -> pa.RecordBatch:
+        data, offsets = byte_column(batch.column("body"))
+        whole = buckets(data, width)[width]
+        windows = np.diff(offsets) - width + 1
+        row = np.repeat(np.arange(len(windows)), windows)
+        ends = np.cumsum(windows)
+        nth = np.arange(len(row)) - (ends - windows)[row]
+        _, back, times = np.unique(whole[offsets[:-1][row] + nth], return_inverse=True, return_counts=True)
+        hit = times[back] > 1
+        new = np.concatenate([[True], row[1:] != row[:-1]]) if len(row) else hit
+        first = np.flatnonzero(hit & (new | ~np.concatenate([[False], hit[:-1]])))
+        last = np.flatnonzero(hit & np.concatenate([new[1:] | ~hit[1:], [True]])) if len(hit) else first
+        keys, starts = batch.column("key").to_numpy(), batch.column("start").to_numpy()
+        columns = [keys[row[first]], (starts[row[first]] + nth[first]).astype(np.int32), (starts[row[last]] + nth[last]).astype(np.int32)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "first", "last"])
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: pa.RecordBatch | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            whole = batch if kept is None else pa.concat_batches([kept, batch])
+            seeds = whole.column("seed").to_numpy()
+            done = int(np.searchsorted(seeds, seeds[-1]))
+            if done:
+                yield runs(whole.slice(0, done))
+            kept = whole.slice(done)
+        if kept is not None:
+            yield runs(kept)
+
+    return find
+
+
+def _parts(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """The batches in slices with about ``TEXT_BYTES`` of text."""
+    for batch in batches:
+        _, offsets = byte_column(batch.column(text))
+        for first, end in cuts(offsets, TEXT_BYTES):
+            yield batch.slice(first, end - first)
+
+
 def _cut(text: str, width: int):
-    """Remove what the windows at ``starts`` and the surroundings of the ``covered`` anchors span."""
+    """Remove what the windows from ``firsts`` to ``lasts`` and the surroundings of the ``covered`` anchors span."""
     q = seed_width(width)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches, text):
             data, offsets = byte_column(batch.column(text))
             n = batch.num_rows
             change = np.zeros(len(data) + 1, dtype=np.int32)
-            for name, back, on in (("starts", 0, width), ("covered", width - q, width)):
-                lists = batch.column(name)
-                places = lists.flatten().to_numpy()
-                lengths = lists.value_lengths().fill_null(0).to_numpy()
+            for begins, ends, back in (("firsts", "lasts", 0), ("covered", "covered", width - q)):
+                lengths = batch.column(begins).value_lengths().to_numpy()
                 first, end = np.repeat(offsets[:-1], lengths), np.repeat(offsets[1:], lengths)
-                np.add.at(change, np.maximum(first + places - back, first), 1)
-                np.add.at(change, np.minimum(first + places + on, end), -1)
+                np.add.at(change, np.maximum(first + batch.column(begins).flatten().to_numpy() - back, first), 1)
+                np.add.at(change, np.minimum(first + batch.column(ends).flatten().to_numpy() + width, end), -1)
             gone = np.cumsum(change[:-1]) > 0
             # runs of removed bytes, which end with their text
             before = np.concatenate([[False], gone[:-1]])
@@ -161,7 +249,7 @@ def _cut(text: str, width: int):
             size = np.concatenate([[0], np.cumsum(~gone)])[offsets]
             buffers = [None, pa.py_buffer(size.astype(np.int32).tobytes()), pa.py_buffer(kept.tobytes())]
             keeps = pa.Array.from_buffers(pa.binary(), n, buffers)
-            names = [name for name in batch.schema.names if name not in ("starts", "covered")]
+            names = [name for name in batch.schema.names if name not in ("firsts", "lasts", "covered")]
             yield pa.RecordBatch.from_arrays([*[batch.column(name) for name in names], spans, keeps], [*names, "spans", "kept"])
 
     return cut
@@ -181,38 +269,54 @@ def remove_repeats(docs: DataFrame, width: int = 200, key: str = "doc_id", text:
        surroundings are covered; one of each such class goes on for the others.
     3. The windows of what is left are refined to ``width`` bytes, the identifiers of each length giving those
        of the double; windows in a bucket with another one are repeated.
-    Small buckets of step 1 meet in a window of bounded size, large ones are counted before the shuffle and
-    joined back, which Spark may split. Only fingerprints move, but for one exchange of the texts, which the plan uses again.
+    For step 3 small buckets of step 1 come together with the bytes that their windows span, in the order of the buckets; the
+    windows of large ones are counted before the shuffle and joined back, which Spark may split. Otherwise only
+    fingerprints move, but for one exchange of the texts, which the plan uses again.
     """
     rows = docs.select(
         F.col(key).alias("doc_id"), F.xxhash64(F.col(key), F.col(text)).alias("key"), F.col(text).alias("text")
     )
-    anchors = rows.select("key", "text").mapInArrow(_anchor_rows("text", width), "key bigint, pos int, seed bigint, around bigint")
-    seeds = anchors.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = stage(anchors.join(seeds, "seed").select("key", "pos", "around", (F.col("n") > LIGHT).alias("heavy")), "anchors")
-    classes = shared.groupBy("around").agg(F.count("*").alias("n"), F.min("key").alias("speaker"))
-    told = shared.join(classes, "around").select(
-        "key", "pos", "heavy", (F.col("n") > 1).alias("twin"), ((F.col("n") == 1) | (F.col("key") == F.col("speaker"))).alias("goes_on")
+    kinds = "key bigint, pos int, seed bigint, around bigint, direct boolean"
+    anchors = rows.select("key", "text").mapInArrow(_anchor_rows("text", width), kinds)
+    # direct rows need no company, so they are dealt out by themselves
+    deal = F.when(F.col("direct"), F.xxhash64("key", "pos")).otherwise(F.col("seed"))
+    holders = F.sum(F.when(F.col("direct"), 0).otherwise(1)).over(Window.partitionBy("deal"))
+    known = F.col("direct") | ((F.col("pos") >= 0) & (F.col("holders") > 1))
+    shared = stage(
+        anchors.withColumn("deal", deal).withColumn("holders", holders).filter(known).select("key", "pos", "seed", "around"), "anchors"
+    )
+    classes = shared.groupBy("around").agg(F.count("*").alias("n"), F.min("key").alias("speaker")).filter("n > 1")
+    goes_on = F.col("n").isNull() | (F.col("key") == F.col("speaker"))
+    told = stage(
+        shared.join(classes, "around", "left").select("key", "pos", "seed", F.col("n").isNotNull().alias("twin"), goes_on.alias("goes_on")), "told"
     )
+    groups = told.filter("goes_on").groupBy("seed").agg(F.count("*").alias("n"))
+    large = groups.filter(F.col("n") > LIGHT).select("seed", F.lit(True).alias("large"))
+    sized = told.join(large, "seed", "left")
     pick = lambda c: F.collect_set(F.when(c, F.col("pos")))
     lists = stage(
-        told.groupBy("key").agg(
-            pick(F.col("goes_on") & ~F.col("heavy")).alias("light"),
-            pick(F.col("goes_on") & F.col("heavy")).alias("heavy"),
+        sized.groupBy("key").agg(
+            pick(F.col("goes_on") & F.col("large").isNull()).alias("light"),
+            pick(F.col("goes_on") & F.col("large").isNotNull()).alias("heavy"),
             pick(F.col("twin")).alias("covered"),
         ),
         "places",
     )
     open_rows = rows.join(lists.drop("covered"), "key")
-    kinds = "whole bigint, key bigint, start int"
-    light = open_rows.mapInArrow(_window_rows("text", "light", width), kinds)
-    heavy = open_rows.mapInArrow(_window_rows("text", "heavy", width), kinds)
-    found = light.withColumn("n", F.count("*").over(Window.partitionBy("whole"))).filter("n > 1").select("key", "start")
+    stretches = open_rows.mapInArrow(_stretch_rows("text", "light", width), "seed bigint, key bigint, start int, body binary")
+    runs = stretches.repartition("seed").sortWithinPartitions("seed").mapInArrow(_repeated_runs(width), "key bigint, first int, last int")
+    heavy = open_rows.filter(F.size("heavy") > 0).mapInArrow(_window_rows("text", "heavy", width), "whole bigint, key bigint, start int")
     twice = heavy.groupBy("whole").agg(F.count("*").alias("n")).filter("n > 1").select("whole")
-    found = found.union(heavy.join(twice, "whole").select("key", "start"))
-    starts = found.groupBy("key").agg(F.collect_set("start").alias("starts"))
+    runs = runs.union(heavy.join(twice, "whole").select("key", F.col("start").alias("first"), F.col("start").alias("last")))
+    found = runs.groupBy("key").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
     none = F.array().cast("array<int>")
-    whole = rows.join(lists.select("key", "covered"), "key", "left").join(starts, "key", "left")
-    whole = whole.select("doc_id", "text", F.coalesce("starts", none).alias("starts"), F.coalesce("covered", none).alias("covered"))
+    whole = rows.join(lists.select("key", "covered"), "key", "left").join(found, "key", "left")
+    whole = whole.select(
+        "doc_id",
+        "text",
+        F.coalesce("runs.first", none).alias("firsts"),
+        F.coalesce("runs.last", none).alias("lasts"),
+        F.coalesce("covered", none).alias("covered"),
+    )
     schema = whole.select("doc_id", "text", F.array(F.array(F.lit(0))).alias("spans"), F.encode(F.lit(""), "UTF-8").alias("kept")).schema
     return whole.mapInArrow(_cut("text", width), schema)
