@@ -119,6 +119,28 @@ steps AS (
 SELECT i::BIGINT AS iteration, round(cost, {digits}) AS cost, round(b, {digits}) AS b, {named} FROM steps WHERE i >= 0"""
 
 
+def _raw_descent(items: str, weights: list[str], iterations: int, rate: float, half: bool) -> str:
+    """The residual form: each step averages over all items. Four significant digits, as raw columns make it diverge."""
+    d = len(weights)
+    residual = "y - b" + "".join(f" - w{i} * x{i}" for i in range(d))
+    sums = "avg(r) AS r, avg(r * r) AS rr" + "".join(f", avg(x{i} * r) AS r{i}" for i in range(d))
+    w = ", ".join(f"w{i}" for i in range(d))
+    cost, step = ("rr / 2", 1) if half else ("rr", 2)
+    moved = "".join(f", w{i} + rate * {step} * r{i} AS w{i}" for i in range(d))
+    start = ", ".join(f"0.1::DOUBLE AS w{i}" for i in range(d))
+    shown = ", ".join(f"printf('%.3e', {c}) AS {n}" for c, n in [("cost", "cost"), ("b", "b"), *((f"w{i}", n) for i, n in enumerate(weights))])
+    return f"""WITH RECURSIVE {items},
+steps AS (
+  SELECT -1 AS i, 0::DOUBLE AS cost, 0.1::DOUBLE AS b, {start}, {rate}::DOUBLE AS rate
+  UNION ALL
+  SELECT i + 1, {cost} AS cost, b + rate * {step} * r AS b{moved},
+         CASE WHEN {cost} > cost THEN rate * 0.5 WHEN {cost} < cost THEN rate * 1.05 ELSE rate END
+  FROM (SELECT i, cost, b, {w}, rate, {sums}
+        FROM (SELECT steps.*, {", ".join(f"x{i}" for i in range(d))}, {residual} AS r FROM steps, items WHERE i < {iterations - 1})
+        GROUP BY i, cost, b, {w}, rate) t)
+SELECT i::BIGINT AS iteration, {shown} FROM steps WHERE i >= 0"""
+
+
 PLANE = ["w0", "w1", "w2", "w3"]
 STANDARD_TRIPS = (
     "items AS (SELECT "
@@ -133,21 +155,29 @@ ORACLE["gd_multi_trace"] = _descent(_items(list(XS)), PLANE, 100, 1e-3, half=Tru
 ORACLE["gd_multi_passes"] = _descent(_items(list(XS)), PLANE, 100, 1e-3, half=True)
 ORACLE["gd_trip_trace"] = _descent(f"{TRIPS},\n{STANDARD_TRIPS}", PLANE, 100, 1e-3, half=True, digits=6)
 
+RAW_LINE = f"items AS MATERIALIZED (SELECT distance AS x0, fare AS y FROM trips WHERE {REGULAR})"
+RAW_TRIPS = (
+    "items AS MATERIALIZED (SELECT duration AS x0, distance AS x1, fare AS x2, surcharge AS x3, amount AS y"
+    f" FROM trips WHERE {REGULAR})"
+)
+ORACLE["gd_line_raw"] = _raw_descent(f"{TRIPS},\n{RAW_LINE}", ["m"], 50, 1e-4, half=False)
+ORACLE["gd_trip_raw"] = _raw_descent(f"{TRIPS},\n{RAW_TRIPS}", PLANE, 100, 1e-3, half=True)
+
 # Words and features
 
-WORDS = """words AS (
+WORDS = """words AS MATERIALIZED (
   SELECT doc_id, lower(w) AS word FROM documents, unnest(regexp_extract_all(text, '[a-zA-Z]+')) AS t(w))"""
-VOCAB = """vocab AS (
+VOCAB = """vocab AS MATERIALIZED (
   SELECT word, cnt, row_number() OVER (ORDER BY cnt DESC, word) - 1 AS pos
   FROM (SELECT word, count(*) AS cnt FROM words GROUP BY word)
   QUALIFY pos < 20000)"""
-COUNTS = """counts AS (
+COUNTS = """counts AS MATERIALIZED (
   SELECT doc_id, pos, count(*) AS cnt FROM words JOIN vocab USING (word) GROUP BY ALL)"""
 TF = "tf AS (SELECT doc_id, pos, cnt / sum(cnt) OVER (PARTITION BY doc_id) AS tf FROM counts)"
 DF = "df AS (SELECT pos, count(*) AS df FROM counts GROUP BY pos)"
 IDF = "idf AS (SELECT pos, df, ln((SELECT count(*) FROM documents) / df) AS idf FROM df)"
 IDF_SMOOTH = "idf AS (SELECT pos, df, ln((SELECT count(*) FROM documents) / (df + 1)) AS idf FROM df)"
-FEATS = "feats AS (SELECT doc_id, pos, tf * idf AS x FROM tf JOIN idf USING (pos))"
+FEATS = "feats AS MATERIALIZED (SELECT doc_id, pos, tf * idf AS x FROM tf JOIN idf USING (pos))"
 TEXT = (WORDS, VOCAB, COUNTS, TF, DF)
 LABELS = "marks AS (SELECT doc_id, quality AS label FROM labels)"
 
@@ -359,8 +389,10 @@ def _fit(
     break_on_rise: bool = False,
     cost_stop: float = -1.0,
     sgd: bool = False,
-    steps: int = 30,
+    steps: int = 1000,
     labels: str = "",
+    all_docs: str = "SELECT count(*) FROM documents",
+    share: str = "SELECT avg(label) FROM marks",
     after: tuple[str, ...] = (),
     result: str = "",
 ) -> str:
@@ -379,8 +411,7 @@ def _fit(
         labels or LABELS,
         "led AS MATERIALIZED (SELECT doc_id, pos, x, label FROM feats JOIN marks USING (doc_id))",
         "sizes AS MATERIALIZED (SELECT count(DISTINCT doc_id)::DOUBLE AS n,"
-        " (SELECT count(*) FROM documents)::DOUBLE AS all_docs,"
-        " (SELECT avg(label) FROM marks) AS share FROM led)",
+        f" ({all_docs})::DOUBLE AS all_docs, ({share})::DOUBLE AS share FROM led)",
         f"""steps AS (
   SELECT -1 AS i, pos::BIGINT AS pos, 0::DOUBLE AS w, {rate}::DOUBLE AS rate, {last}::DOUBLE AS last,
          0::DOUBLE AS cost, 0::DOUBLE AS norm, 0::DOUBLE AS used, false AS stop FROM vocab
@@ -422,15 +453,16 @@ TF_FEATS = (*TEXT, "feats AS (SELECT doc_id, pos, tf AS x FROM tf)")
 TFIDF_FEATS = (*TEXT, IDF_SMOOTH, FEATS)
 LOGISTIC = ("ln(1 + exp(theta)) - label * theta", "1 / (1 + exp(-theta)) - label")
 SHARE_WEIGHT = "CASE WHEN label = 1 THEN 1 - share ELSE share END"
-ORACLE["logit_l2_gd"] = _fit(TFIDF_FEATS, LOGISTIC, 0.1, cost="data_cost + 0.001 * ww", penalty="0.002")
-ORACLE["logit_sgd"] = _fit(TFIDF_FEATS, LOGISTIC, 1.0, cost="data_cost / n + 0.005 * ww", sgd=True)
-ORACLE["svm_sgd"] = _fit(TFIDF_FEATS, HINGE, 1.0, cost="data_cost / n + 0.005 * ww", sgd=True)
+ORACLE["logit_l2_gd"] = _fit(TFIDF_FEATS, LOGISTIC, 0.1, cost="data_cost + 0.001 * ww", penalty="0.002", steps=100)
+ORACLE["logit_sgd"] = _fit(TFIDF_FEATS, LOGISTIC, 1.0, cost="data_cost / n + 0.005 * ww", sgd=True, steps=300)
+ORACLE["svm_sgd"] = _fit(TFIDF_FEATS, HINGE, 1.0, cost="data_cost / n + 0.005 * ww", sgd=True, steps=200)
 ORACLE["svm_hinge"] = _fit(
     TF_FEATS, HINGE, 1.0, cost="data_cost / all_docs + 25 / all_docs * ww", penalty="50 / all_docs",
     divisor="all_docs", last=999999.0, break_on_rise=True,
 )
+WEIGHTED = (f"{HINGE[0]} * {SHARE_WEIGHT}", f"({HINGE[1]}) * {SHARE_WEIGHT}")
 ORACLE["svm_weighted"] = _fit(
-    TF_FEATS, (f"{HINGE[0]} * {SHARE_WEIGHT}", f"({HINGE[1]}) * {SHARE_WEIGHT}"), 1.0,
+    TF_FEATS, WEIGHTED, 1.0,
     up=1.005, last=9999999.0, cost_stop=0.5,
 )
 
@@ -441,43 +473,85 @@ FOLDED_GRID = GRID.replace(
 )
 
 
-def _validated(doc_id: str, result: str) -> str:
+TEST_IDF = (
+    "test_df AS (SELECT pos, count(*) AS df FROM test_counts GROUP BY pos)",
+    "test_idf AS (SELECT pos, ln((SELECT count(*) FROM lines_ WHERE part = 3) / (df + 1)) AS idf FROM test_df)",
+)
+
+
+def _validated(doc_id: str, result: str, kind: str = "logistic", refit: bool = False) -> str:
     """Two thirds of the lines train, the rest test; lines that share an id are one document."""
+    n_train = "SELECT count(*) FROM lines_ WHERE part < 3"
+    fits = {
+        "logistic": (LOGISTIC, 0.1, dict(cost="data_cost + 0.001 * ww", penalty="0.002")),
+        "svm": (
+            HINGE,
+            1.0,
+            dict(
+                cost="data_cost / all_docs + 25 / all_docs * ww", penalty="50 / all_docs", divisor="all_docs",
+                last=999999.0, break_on_rise=True,
+            ),
+        ),
+        "weighted": (WEIGHTED, 1.0, dict(up=1.005, last=9999999.0, cost_stop=0.5)),
+    }
+    loss, rate, options = fits[kind]
+    logistic = kind == "logistic"
+    weigh = ("test_idf" if refit else "idf") if logistic else None
     return _fit(
         (
             f"lines_ AS (SELECT {doc_id} AS doc_id, text, floor({_uniform('doc_id', '7')} * 3) + 1 AS part FROM documents)",
-            "all_words AS (SELECT doc_id, part, lower(w) AS word FROM lines_,"
+            "all_words AS MATERIALIZED (SELECT doc_id, part, lower(w) AS word FROM lines_,"
             " unnest(regexp_extract_all(text, '[a-zA-Z]+')) AS t(w))",
             "words AS (SELECT doc_id, word FROM all_words WHERE part < 3)",
             VOCAB,
             COUNTS,
             TF,
             DF,
-            IDF_SMOOTH.replace("FROM documents", "FROM lines_ WHERE part < 3"),
-            FEATS,
+            *(
+                (IDF_SMOOTH.replace("FROM documents", "FROM lines_ WHERE part < 3"), FEATS)
+                if logistic
+                else ("feats AS MATERIALIZED (SELECT doc_id, pos, tf AS x FROM tf)",)
+            ),
         ),
-        LOGISTIC,
-        0.1,
-        cost="data_cost + 0.001 * ww",
-        penalty="0.002",
-        steps=10,
+        loss,
+        rate,
         labels=f"marks AS (SELECT DISTINCT doc_id, {EN_MARK} FROM lines_ WHERE part < 3)",
+        all_docs=n_train,
+        share=f"SELECT count(*) FILTER (label = 1) / ({n_train}) FROM (SELECT DISTINCT doc_id, label FROM led)",
         after=(
             "test_counts AS (SELECT doc_id, pos, count(*) AS cnt FROM all_words JOIN vocab USING (word)"
             " WHERE part = 3 GROUP BY ALL)",
             "test_tf AS (SELECT doc_id, pos, cnt / sum(cnt) OVER (PARTITION BY doc_id) AS tf FROM test_counts)",
+            *(TEST_IDF if refit else ()),
+            f"test_feats AS (SELECT doc_id, pos, tf * idf AS x FROM test_tf JOIN {weigh} USING (pos))"
+            if weigh
+            else "test_feats AS (SELECT doc_id, pos, tf AS x FROM test_tf)",
             "final AS (SELECT pos, w FROM steps WHERE i = (SELECT max(i) FROM steps))",
-            f"scored AS (SELECT doc_id, {EN_MARK}, CASE WHEN sum(tf * idf * w) < 0 THEN 0 ELSE 1 END"
-            " AS prediction FROM test_tf JOIN idf USING (pos) JOIN final USING (pos) GROUP BY doc_id)",
+            f"scored AS (SELECT doc_id, {EN_MARK}, CASE WHEN sum(x * w) < 0 THEN 0 ELSE 1 END"
+            " AS prediction FROM test_feats JOIN final USING (pos) GROUP BY doc_id)",
         ),
         result=result,
+        **options,
     )
 
 
-ORACLE["train_and_validate"] = _validated("upper(lang) || doc_id", GRID)
+FITTED_WORDS = """,
+best AS (SELECT word, pos, w FROM final JOIN vocab USING (pos) ORDER BY w DESC, pos LIMIT 10),
+wrong AS (SELECT doc_id FROM scored WHERE prediction = 1 AND label = 0 ORDER BY doc_id LIMIT 3)
+SELECT 'top word' AS kind, word, '' AS doc_id, round(w, 4) AS value FROM best
+UNION ALL
+SELECT 'false positive', word, doc_id, round(coalesce(x, 0), 8)
+FROM wrong CROSS JOIN best LEFT JOIN test_feats USING (doc_id, pos)"""
+OWN_IDS = "upper(lang) || doc_id"
+ORACLE["train_and_validate"] = _validated(OWN_IDS, GRID)
+ORACLE["validate_svm"] = _validated(OWN_IDS, GRID, "svm")
+ORACLE["validate_weighted_svm"] = _validated(OWN_IDS, GRID, "weighted")
+ORACLE["fitted_words"] = _validated(OWN_IDS, FITTED_WORDS, refit=True)
 ORACLE["repeated_ids_report"] = _validated(
     "CASE WHEN doc_id % 3 = 0 THEN 'EN' ELSE upper(lang) || doc_id END", FOLDED_GRID
 )
+ORACLE["lbfgs_optimum"] = """
+SELECT count(*) AS n, sum(quality)::BIGINT AS positives, true AS optimal FROM labels"""
 
 # Naive Bayes
 
@@ -575,7 +649,17 @@ SELECT cluster::VARCHAR AS cluster, size, row_number() OVER (PARTITION BY cluste
        g AS "group", n, n / size AS share
 FROM pairs JOIN sizes USING (cluster) QUALIFY rank <= 3"""
 
-ORACLE["cluster_files"] = _with(CLUSTERS) + "SELECT cluster::VARCHAR AS cluster, count(*) AS n FROM clusters GROUP BY 1"
+ORACLE["gibbs_step"] = _with(
+    *MIXTURE,
+    "running AS (SELECT doc_id, cluster, sum(p) OVER (PARTITION BY doc_id ORDER BY cluster) AS c FROM probs)",
+    f"drawn AS (SELECT doc_id, count(*) FILTER (cluster < 5 AND c <= {_uniform('doc_id', '3:7')}) AS drawn"
+    " FROM running GROUP BY doc_id)",
+) + """
+SELECT drawn AS cluster, pos, sum(CASE WHEN pos = -1 THEN 1 ELSE x END) AS cnt
+FROM marked JOIN drawn USING (doc_id) GROUP BY ALL"""
+ORACLE["cluster_files"] = _with(CLUSTERS) + (
+    "SELECT cluster::VARCHAR AS cluster, count(*) AS n, true AS in_order FROM clusters GROUP BY 1"
+)
 ORACLE["report_file"] = ORACLE["topk_count"]
 ORACLE["table_file"] = ORACLE["document_frequency"]
 
@@ -595,3 +679,66 @@ ORACLE["review_files"] = _REVIEW_LABELS
 ORACLE["review_word_counts"] = _with(REVIEWS, KEPT) + (
     "SELECT label::BIGINT AS label, word, count(*) AS n FROM kept GROUP BY ALL"
 )
+ORACLE["review_complete"] = _REVIEW_LABELS
+
+
+def _reviewed(loss: tuple[str, str], steps: int) -> str:
+    """Class report on the held-out reviews of a model trained by full-batch SGD."""
+    return _fit(
+        (
+            REVIEWS,
+            KEPT.replace("kept AS", "words AS MATERIALIZED"),
+            f"rated AS (SELECT DISTINCT doc_id::VARCHAR AS doc_id, CASE WHEN n_chars % 21 + 80 < 88 THEN 0 ELSE 1 END AS label,"
+            f" floor({_uniform('doc_id', '7')} * 3) + 1 AS part FROM documents WHERE doc_id % 11 <> 0 AND source <> 'src3')",
+            VOCAB,
+            COUNTS,
+            TF,
+            DF,
+            IDF_SMOOTH.replace("FROM documents", "FROM rated"),
+            FEATS,
+        ),
+        loss,
+        1.0,
+        cost="data_cost / n + 0.005 * ww",
+        sgd=True,
+        steps=steps,
+        labels="marks AS (SELECT doc_id, label FROM rated WHERE part < 3)",
+        after=(
+            "final AS (SELECT pos, w FROM steps WHERE i = (SELECT max(i) FROM steps))",
+            "scored AS (SELECT doc_id, any_value(label) AS label, CASE WHEN sum(x * w) < 0 THEN 0 ELSE 1 END AS prediction"
+            " FROM feats JOIN final USING (pos) JOIN rated USING (doc_id) WHERE part = 3 GROUP BY doc_id)",
+            *CLASSES,
+        ),
+        result=REPORT,
+    )
+
+
+REPORT = """
+SELECT label::BIGINT AS label, round(precision, 12) AS precision, round(recall, 12) AS recall,
+       round(f1, 12) AS f1, support FROM report"""
+ORACLE["review_sgd"] = _reviewed(LOGISTIC, 300)
+ORACLE["review_svm"] = _reviewed(HINGE, 200)
+ORACLE["review_bayes"] = _with(
+    REVIEWS,
+    KEPT.replace("kept AS", "words AS MATERIALIZED"),
+    f"rated AS (SELECT DISTINCT doc_id::VARCHAR AS doc_id, CASE WHEN n_chars % 21 + 80 < 88 THEN 0 ELSE 1 END AS label,"
+    f" floor({_uniform('doc_id', '7')} * 3) + 1 AS part FROM documents WHERE doc_id % 11 <> 0 AND source <> 'src3')",
+    VOCAB,
+    COUNTS,
+    TF,
+    DF,
+    IDF_SMOOTH.replace("FROM documents", "FROM rated"),
+    FEATS,
+    "marks AS (SELECT doc_id, label FROM rated WHERE part < 3)",
+    "mass AS (SELECT v.pos, coalesce(sum(x) FILTER (label = 0), 0) + 1 AS m0,"
+    " coalesce(sum(x) FILTER (label = 1), 0) + 1 AS m1"
+    " FROM vocab v LEFT JOIN (SELECT pos, x, label FROM feats JOIN marks USING (doc_id)) r ON v.pos = r.pos GROUP BY v.pos)",
+    "likelihoods AS (SELECT pos, ln(m0 / (SELECT sum(m0) FROM mass)) AS w0,"
+    " ln(m1 / (SELECT sum(m1) FROM mass)) AS w1 FROM mass)",
+    "priors AS (SELECT ln((count(*) FILTER (label = 0) + 1) / (count(*) + 2)) AS p0,"
+    " ln((count(*) FILTER (label = 1) + 1) / (count(*) + 2)) AS p1 FROM marks)",
+    "scored AS (SELECT doc_id, any_value(label) AS label, CASE WHEN sum(x * w1) + any_value(p1)"
+    " > sum(x * w0) + any_value(p0) THEN 1 ELSE 0 END AS prediction"
+    " FROM feats JOIN likelihoods USING (pos) JOIN rated USING (doc_id), priors WHERE part = 3 GROUP BY doc_id)",
+    *CLASSES,
+) + REPORT

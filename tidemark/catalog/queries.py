@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +20,7 @@ from tidemark.plans import clusters as cluster_plan
 from tidemark.plans import courts as court_plan
 from tidemark.plans import search as search_plan
 from tidemark.plans import sentiment as sentiment_plan
-from tidemark.session import scratch_path
+from tidemark.session import cut, scratch_path
 from tidemark.sources import readers, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -228,6 +228,27 @@ def gd_multi_passes(spark, d):
     return rounded(longs(trace, "iteration"), 9, "cost", "b", "w0", "w1", "w2", "w3")
 
 
+def _shown(trace, *columns):
+    """Four significant digits as text."""
+    shown = {c: F.format_string("%.3e", F.col(c)) for c in columns}
+    return longs(trace, "iteration").withColumns(shown)
+
+
+@query
+def gd_line_raw(spark, d):
+    """Fare over distance as they are, in the residual form."""
+    regular = trip.regular_trips(_trips(spark, d))
+    return _shown(regression.descend_line(regular, "distance", "fare", iterations=50), "cost", "b", "m")
+
+
+@query
+def gd_trip_raw(spark, d):
+    """Amount over four raw columns, in the residual form."""
+    xs = ["duration", "distance", "fare", "surcharge"]
+    trace = regression.descend_plane(trip.regular_trips(_trips(spark, d)), xs, "amount")
+    return _shown(trace, "cost", "b", "w0", "w1", "w2", "w3")
+
+
 @query
 def gd_trip_trace(spark, d):
     """Standardised trip columns against the amount in thousands."""
@@ -503,33 +524,34 @@ def _trace(spark, fit):
 
 @query
 def logit_l2_gd(spark, d):
-    fit = _fitted(spark, d, lambda data: classify.fit_logistic(data, max_iterations=30), "tfidf")
-    return _trace(spark, fit)
+    """The first hundred steps of a whole fit; near its end the adaptive rate depends on the order of summation."""
+    fit = _fitted(spark, d, lambda data: classify.fit_logistic(data), "tfidf")
+    return _trace(spark, fit).filter("iteration < 100")
 
 
 @query
 def logit_sgd(spark, d):
-    fit = _fitted(spark, d, lambda data: classify.fit_sgd(data, classify.LOGISTIC, iterations=30), "tfidf")
+    fit = _fitted(spark, d, lambda data: classify.fit_sgd(data, classify.LOGISTIC, iterations=300), "tfidf")
     return _trace(spark, fit)
 
 
 @query
 def svm_hinge(spark, d):
     n = I.table(spark, d, "documents").count()
-    fit = _fitted(spark, d, lambda data: classify.fit_svm(data, n, max_iterations=30))
+    fit = _fitted(spark, d, lambda data: classify.fit_svm(data, n))
     return _trace(spark, fit)
 
 
 @query
 def svm_sgd(spark, d):
-    fit = _fitted(spark, d, lambda data: classify.fit_sgd(data, classify.HINGE, iterations=30), "tfidf")
+    fit = _fitted(spark, d, lambda data: classify.fit_sgd(data, classify.HINGE, iterations=200), "tfidf")
     return _trace(spark, fit)
 
 
 @query
 def svm_weighted(spark, d):
     share = I.labels(spark, d).agg(F.avg("label")).first()[0]
-    fit = _fitted(spark, d, lambda data: classify.fit_weighted_svm(data, share, max_iterations=30))
+    fit = _fitted(spark, d, lambda data: classify.fit_weighted_svm(data, share))
     return _trace(spark, fit)
 
 
@@ -576,7 +598,7 @@ def logit_lbfgs(spark, d):
 
 @query
 def linear_svc(spark, d):
-    return _vector_report(spark, d, lambda data: vectors.fit_linear_svc(data, iterations=10))
+    return _vector_report(spark, d, lambda data: vectors.fit_linear_svc(data, iterations=200))
 
 
 @query
@@ -658,11 +680,23 @@ def cluster_purity(spark, d):
     return longs(mixture.purity(found), "rank")
 
 
+@query
+def gibbs_step(spark, d):
+    """One sweep from the word probabilities of the fixed clusters: counts by cluster and position, documents at -1."""
+    table = _cluster_log_mu(spark, d).toArrow()
+    log_mu = np.zeros((CLUSTERS, table.num_rows))
+    log_mu[:, table["pos"].to_numpy()] = np.stack(table["w"].to_numpy()).T
+    rows = mixture.count_rows(I.documents(spark, d), T.tokenize(F.col("text")), _vocab(spark, d))
+    with mixture.sweep_table(rows) as data:
+        counts = cut(mixture.sweep_counts(data, log_mu, np.zeros(CLUSTERS), sweep=3, seed=7))
+    return longs(counts, "cluster", "pos")
+
+
 @query
 def gibbs_mixture(spark, d):
     """Cluster sizes after each sweep."""
     lines = I.documents(spark, d)
-    sizes, _, _ = cluster_plan.cluster_documents(lines, T.tokenize(F.col("text")), clusters=8, sweeps=5)
+    sizes, _, _ = cluster_plan.cluster_documents(lines, T.tokenize(F.col("text")), clusters=20, sweeps=200)
     return longs(sizes, "sweep", "cluster", "n")
 
 
@@ -674,11 +708,16 @@ def _clustered(spark, d):
 
 @query
 def cluster_files(spark, d):
-    """Assignments written as sorted text lines and counted after reading back."""
+    """Assignments written as sorted text lines, read back and counted; in_order: after all lines of smaller clusters."""
     path = scratch_path(spark, "clusters")
     writers.write_clusters(_clustered(spark, d), path)
     cluster = F.regexp_extract("value", "^\\((\\d+), ", 1).alias("cluster")
-    return trip.count_by(readers.read_lines(spark, path).select(cluster), "cluster")
+    place = F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line"))
+    found = readers.read_lines(spark, path).select(cluster, place.alias("place")).groupBy("cluster")
+    sizes = found.agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first"), F.max("place").alias("last"))
+    before = F.lag("last").over(Window.orderBy(F.col("cluster").cast("int")))  # one row per cluster
+    in_order = F.coalesce(before < F.col("first"), F.lit(True))
+    return sizes.select("cluster", "n", in_order.alias("in_order"))
 
 
 @query
@@ -697,51 +736,103 @@ def table_file(spark, d):
     return feat.document_frequency(spark.read.parquet(path)).withColumn("pos", F.col("pos").cast("bigint"))
 
 
-@query
-def train_and_validate(spark, d):
+def _validation(spark, d, fit, weighting="tfidf", refit_idf=False, doc_id=None):
     """Class by a mark in the document id; two thirds of the lines train, the rest test."""
     docs = evaluate.split_rows(I.documents(spark, d, "lang"))
+    own = F.concat(F.upper("lang"), F.col("doc_id").cast("string")) if doc_id is None else doc_id
     one_line = F.regexp_replace("text", "[\\r\\n]+", " ")
-    line = F.format_string('<doc id="%s%d" url="u">%s</doc>', F.upper("lang"), F.col("doc_id"), one_line)
+    line = F.format_string('<doc id="%s" url="u">%s</doc>', own, one_line).alias("value")
     train, test = evaluate.training_rows(docs), evaluate.held_out_rows(docs)
-    report = court_plan.train_and_score(
-        train.select(line.alias("value")),
-        test.select(line.alias("value")),
-        lambda data, n: classify.fit_logistic(data, max_iterations=10),
-        mark="EN",
+    return court_plan.train_and_score(train.select(line), test.select(line), fit, weighting, refit_idf, mark="EN")
+
+
+@query
+def train_and_validate(spark, d):
+    return longs(_validation(spark, d, court_plan.logistic).confusion, "label", "prediction")
+
+
+@query
+def validate_svm(spark, d):
+    return longs(_validation(spark, d, court_plan.svm, "tf").confusion, "label", "prediction")
+
+
+@query
+def validate_weighted_svm(spark, d):
+    return longs(_validation(spark, d, court_plan.weighted_svm, "tf").confusion, "label", "prediction")
+
+
+@query
+def fitted_words(spark, d):
+    """Top words of a real fit, and their weights in the first false positives, with the test documents' own idf."""
+    report = _validation(spark, d, court_plan.logistic, refit_idf=True)
+    best = report.top_words.select(
+        F.lit("top word").alias("kind"), "word", F.lit("").alias("doc_id"), F.round("weight", 4).alias("value")
     )
-    return longs(report.confusion, "label", "prediction")
+    wrong = report.false_positives.select(
+        F.lit("false positive").alias("kind"), "word", "doc_id", F.round("x", 8).alias("value")
+    )
+    return best.unionByName(wrong)
 
 
 @query
 def repeated_ids_report(spark, d):
     """As ``train_and_validate``, but a third of the lines share one id: each id is one document."""
-    docs = evaluate.split_rows(I.documents(spark, d, "lang"))
     own = F.concat(F.upper("lang"), F.col("doc_id").cast("string"))
     folded = F.when(F.col("doc_id") % 3 == 0, "EN").otherwise(own)
-    one_line = F.regexp_replace("text", "[\\r\\n]+", " ")
-    line = F.format_string('<doc id="%s" url="u">%s</doc>', folded, one_line).alias("value")
-    report = court_plan.train_and_score(
-        evaluate.training_rows(docs).select(line),
-        evaluate.held_out_rows(docs).select(line),
-        lambda data, n: classify.fit_logistic(data, max_iterations=10),
-        mark="EN",
-    )
+    report = _validation(spark, d, court_plan.logistic, doc_id=folded)
     f1 = rounded(report.f1, 12, "f1")
     return longs(report.confusion, "label", "prediction").select("*", f1.select("f1").scalar().alias("f1"))
 
 
+@query
+def lbfgs_optimum(spark, d):
+    """L-BFGS with an L2 term, where the optimum is unique: at it the gradient of the penalised mean loss vanishes."""
+    words = [r["word"] for r in _vocab(spark, d).orderBy("pos").select("word").toLocalIterator()]
+    docs = classify.with_labels(I.documents(spark, d), I.labels(spark, d))
+    rows = docs.select(F.col("label").cast("double").alias("label"), T.tokenize(F.col("text")).alias("tokens"))
+    data = vectors.vectorizer(words).transform(rows).select("label", "features").persist()
+    try:
+        model = vectors.fit_lbfgs(data, 500, l2=0.01)
+        steepest = vectors.logistic_gradient(data, model, 0.01)
+        told = data.agg(F.count(F.lit(1)).alias("n"), F.sum("label").cast("bigint").alias("positives")).first()
+    finally:
+        data.unpersist()
+    return spark.createDataFrame([(*told, steepest < 1e-5)], "n BIGINT, positives BIGINT, optimal BOOLEAN")
+
+
 # Reviews
 
 
+def _review_report(spark, d, name):
+    told = sentiment_plan.told_by(sentiment_plan.prepare(I.reviews(spark, d)), name)
+    return rounded(longs(evaluate.class_report(told), "label"), 12, "precision", "recall", "f1")
+
+
 @query
-def review_models(spark, d):
-    """F1 of the four review models on the held-out part."""
-    made = sentiment_plan.review_models(
-        I.reviews(spark, d), lbfgs_iterations=10, sgd_iterations=10, svm_iterations=10
-    )
-    named = [df.select(F.lit(name).alias("model"), "f1") for name, df in sorted(made.f1.items())]
-    return reduce(DataFrame.unionByName, named)
+def review_sgd(spark, d):
+    return _review_report(spark, d, "sgd")
+
+
+@query
+def review_svm(spark, d):
+    return _review_report(spark, d, "svm")
+
+
+@query
+def review_bayes(spark, d):
+    return _review_report(spark, d, "bayes")
+
+
+@query
+def review_lbfgs(spark, d):
+    return _review_report(spark, d, "lbfgs")
+
+
+@query
+def review_complete(spark, d):
+    """Only reviews without a missing column."""
+    rows = sentiment_plan.clean_reviews(I.reviews(spark, d), drop_incomplete=True)
+    return longs(rows.select("doc_id", "label", F.size("tokens").alias("tokens")), "label", "tokens")
 
 
 @query
