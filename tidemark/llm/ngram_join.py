@@ -186,17 +186,18 @@ def similar_candidates(docs: DataFrame, items: DataFrame, width: int) -> DataFra
 def size_boundary(rare: DataFrame) -> int:
     """Sets up to this size enumerate pairs of shingles, larger ones scan lists, whichever is less work in all.
 
-    Enumerating costs a set of size s the pairs of its prefix; scanning costs it the lengths of the lists of
-    its prefix. Both are summed by size class of a tenth of a power of two, and the cut with the least sum is taken.
+    Work is counted in rows: enumerating writes one for each pair of a set's prefix; scanning writes one for each
+    shingle of the prefix and meets the first hubs of its list. Both are summed by size class of a tenth of a
+    power of two, and the cut with the least sum is taken.
     """
     prefix = F.col("size") - _sql_least()
+    scan = 1 + F.least(F.col("holders") - 1, F.lit(FIRST_HUBS))
     cost = (
-        rare.withColumn("class", F.floor(F.log2("size") * 10))
-        .groupBy("class")
+        rare.groupBy(F.floor(F.log2("size") * 10).alias("class"))
         .agg(
             F.max("size").alias("size"),
-            F.sum(F.when(F.col("nth") == 1, (prefix + 2) * (prefix + 1) / 2).otherwise(0)).alias("pairs"),
-            F.sum(F.when(F.col("nth") <= prefix + 1, F.col("holders")).otherwise(0)).alias("lists"),
+            F.sum(F.when(F.col("last"), (prefix + 2) * (prefix + 1) / 2).otherwise(0)).alias("pairs"),
+            F.sum(F.when(F.col("nth") <= prefix + 1, scan).otherwise(0)).alias("lists"),
         )
         .orderBy("class")
         .collect()
@@ -224,7 +225,8 @@ def buckets(sets: DataFrame) -> DataFrame:
     common = tokens.join(held, "token")
     own = Window.partitionBy("set_id")
     nth = F.row_number().over(own.orderBy("holders", "token")) + F.col("size") - F.count("*").over(own)
-    rare = stage(common.withColumn("nth", nth).filter(F.col("nth") <= F.col("size") - _sql_least() + 2), "rare")
+    common = common.withColumn("nth", nth).withColumn("last", F.col("nth") == F.least(F.col("size"), F.col("size") - _sql_least() + 2))
+    rare = stage(common.filter(F.col("nth") <= F.col("size") - _sql_least() + 2), "rare")
     boundary = size_boundary(rare)
     first = rare.filter(F.col("nth") <= F.col("size") - _sql_least() + 1)
     lists = first.filter(4 * F.col("size") >= 3 * (boundary + 1)).select(
@@ -246,7 +248,14 @@ def buckets(sets: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar: 100 times what both hold is at least 75 times what either holds."""
+    """The pairs (a, b) whose sets are similar: 100 times what both hold is at least 75 times what either holds.
+
+    Only the sets of the pairs move: their ids are counted first, and up to ``LISTED`` of them pick the sets out
+    where these lie.
+    """
+    pairs = stage(pairs, "pairs")
+    ids = stage(pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct(), "ids")
+    sets = sets.join(F.broadcast(ids) if ids.count() <= LISTED else ids, "set_id", "left_semi")
     left = sets.select(F.col("set_id").alias("a"), F.col("size").alias("size_a"), F.col("tokens").alias("tokens_a"))
     right = sets.select(F.col("set_id").alias("b"), F.col("size").alias("size_b"), F.col("tokens").alias("tokens_b"))
     both = F.size(F.array_intersect("tokens_a", "tokens_b"))
@@ -256,16 +265,19 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def link_sets(sets: DataFrame) -> DataFrame:
     """(set_id, label) of all sets with a link; equal labels are connected.
 
-    All pairs of a bucket are settled, but not all are compared: a pair that is connected by now needs no look. In each round some sets
+    All pairs of a bucket are settled, but not all are compared: a pair that is connected by now needs no look. At first each
+    set meets one other, the first hub of its fullest bucket. In each round then some sets
     of each bucket, drawn by hash, are hubs and meet the other sets of it in other components; the next
     round has ``MORE_HUBS`` times as many, until each set was one. A group of many similar sets joins one
     component by its first hubs, so it never makes all its pairs.
     """
     rows = buckets(sets)
     most = rows.agg(F.max("holders")).first()[0] or 0
-    labels, low, high = None, 0, FIRST_HUBS
+    low, high = 0, FIRST_HUBS
     draw = F.pmod(F.xxhash64("set_id"), F.lit(1 << 40)) / float(1 << 40)
     rows = rows.withColumn("draw", draw).withColumn("place", F.col("draw") * F.col("holders"))
+    links = stage(verified(_first_pairs(rows), sets), "links")
+    labels = None if links.isEmpty() else _merged(None, links)
     while low < most:
         now = rows
         if labels is None:
@@ -279,12 +291,9 @@ def link_sets(sets: DataFrame) -> DataFrame:
             "bucket", *[F.col(c).alias("hub_" + c) for c in ("set_id", "size", "scans", "draw", "label")]
         )
         meet = now.filter(F.col("place") >= low).join(hubs, "bucket").filter(
-            (F.struct("hub_draw", "hub_set_id") < F.struct("draw", "set_id"))
-            & (F.col("hub_label") != F.col("label"))
-            & (4 * F.least("size", "hub_size") >= 3 * F.greatest("size", "hub_size"))
-            & F.coalesce(F.col("scans") | F.col("hub_scans"), F.lit(True))
+            (F.struct("hub_draw", "hub_set_id") < F.struct("draw", "set_id")) & (F.col("hub_label") != F.col("label")) & _may_link()
         )
-        pairs = meet.select(F.least("set_id", "hub_set_id").alias("a"), F.greatest("set_id", "hub_set_id").alias("b")).distinct()
+        pairs = meet.select(*_ordered()).distinct()
         links = stage(verified(pairs, sets), "links")
         if not links.isEmpty():
             labels = _merged(labels, links)
@@ -292,6 +301,26 @@ def link_sets(sets: DataFrame) -> DataFrame:
     return labels if labels is not None else sets.select("set_id", F.col("set_id").alias("label")).limit(0)
 
 
+def _may_link() -> Column:
+    """A set and a hub of like size, of which one scans unless they met by a pair of shingles."""
+    alike = 4 * F.least("size", "hub_size") >= 3 * F.greatest("size", "hub_size")
+    return alike & F.coalesce(F.col("scans") | F.col("hub_scans"), F.lit(True))
+
+
+def _ordered() -> list[Column]:
+    return [F.least("set_id", "hub_set_id").alias("a"), F.greatest("set_id", "hub_set_id").alias("b")]
+
+
+def _first_pairs(rows: DataFrame) -> DataFrame:
+    """Each set with the set of least draw in its bucket of most holders: one pair a set at most."""
+    names = ("draw", "set_id", "size", "scans")
+    hubs = rows.groupBy("bucket").agg(F.min(F.struct(*names)).alias("hub"))
+    hubs = hubs.select("bucket", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in names])
+    fullest = rows.groupBy("set_id").agg(F.max(F.struct("holders", "bucket")).alias("most")).select("set_id", "most.bucket")
+    meet = rows.join(fullest, ["set_id", "bucket"]).join(hubs, "bucket")
+    return meet.filter((F.col("set_id") != F.col("hub_set_id")) & _may_link()).select(*_ordered()).distinct()
+
+
 def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     """The labels after these links: the components of the components."""
     if labels is None:
