@@ -136,14 +136,38 @@ def _owned(batch: pa.RecordBatch, text: str, places: str, width: int) -> Iterato
 
 
 def _window_rows(text: str, places: str, width: int):
-    """The windows whose anchors are among a row's ``places``: whole (the bucket of all their bytes), key, start."""
+    """The windows whose anchors are among a row's ``places``: whole (the bucket of all their bytes), key, first, last, direct.
+
+    Windows that one batch holds several times are repeated whatever the others hold: they leave as ``direct`` runs from first to last
+    of a text, and other batches hear of them by one row without place. All others are rows of one window.
+    """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            parts = []
             for keys, offsets, _, at, _, level in _owned(batch, text, places, width):
                 of = np.searchsorted(offsets, at, side="right") - 1
-                columns = [level[width][at].view(np.int64), keys[of], (at - offsets[of]).astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["whole", "key", "start"])
+                parts.append((level[width][at].view(np.int64), keys[of], (at - offsets[of]).astype(np.int32)))
+            if not parts:
+                continue
+            whole, key, start = (np.concatenate(x) for x in zip(*parts))
+            values, back, times = np.unique(whole, return_inverse=True, return_counts=True)
+            alone, heard = times[back] == 1, values[times > 1]
+            run_key, run_start = key[~alone], start[~alone]
+            fresh = np.concatenate([[True], (run_key[1:] != run_key[:-1]) | (run_start[1:] != run_start[:-1] + 1)]) if len(run_key) else ~alone[:0]
+            first = np.flatnonzero(fresh)
+            last = np.append(first[1:], len(run_key)) - 1 if len(first) else first
+            none = np.zeros(len(heard), np.int64)
+            columns = [
+                np.concatenate([whole[alone], heard, np.zeros(len(first), np.int64)]),
+                np.concatenate([key[alone], none, run_key[first]]),
+                np.concatenate([start[alone], none - 1, run_start[first]]).astype(np.int32),
+                np.concatenate([start[alone], none - 1, run_start[last]]).astype(np.int32),
+                np.arange(alone.sum() + len(heard) + len(first)) >= alone.sum() + len(heard),
+            ]
+            for a in range(0, len(columns[0]), 1 << 16):
+                cut = [pa.array(c[a : a + (1 << 16)]) for c in columns]
+                yield pa.RecordBatch.from_arrays(cut, ["whole", "key", "first", "last", "direct"])
 
     return find
 
@@ -305,9 +329,13 @@ def remove_repeats(docs: DataFrame, width: int = 200, key: str = "doc_id", text:
     open_rows = rows.join(lists.drop("covered"), "key")
     stretches = open_rows.mapInArrow(_stretch_rows("text", "light", width), "seed bigint, key bigint, start int, body binary")
     runs = stretches.repartition("seed").sortWithinPartitions("seed").mapInArrow(_repeated_runs(width), "key bigint, first int, last int")
-    heavy = open_rows.filter(F.size("heavy") > 0).mapInArrow(_window_rows("text", "heavy", width), "whole bigint, key bigint, start int")
-    twice = heavy.groupBy("whole").agg(F.count("*").alias("n")).filter("n > 1").select("whole")
-    runs = runs.union(heavy.join(twice, "whole").select("key", F.col("start").alias("first"), F.col("start").alias("last")))
+    heavy = open_rows.filter(F.size("heavy") > 0).mapInArrow(
+        _window_rows("text", "heavy", width), "whole bigint, key bigint, first int, last int, direct boolean"
+    )
+    single = heavy.filter("not direct")
+    twice = single.groupBy("whole").agg(F.count("*").alias("n")).filter("n > 1").select("whole")
+    again = single.filter("first >= 0").join(twice, "whole")
+    runs = runs.union(heavy.filter("direct").select("key", "first", "last")).union(again.select("key", "first", "last"))
     found = runs.groupBy("key").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
     none = F.array().cast("array<int>")
     whole = rows.join(lists.select("key", "covered"), "key", "left").join(found, "key", "left")
