@@ -32,7 +32,7 @@ HEADLINES = [
     "logit_lbfgs",
     "naive_bayes",
     "mixture_draw",
-    "gibbs_mixture",
+    "gibbs_step",
     "cluster_purity",
     "review_word_counts",
 ]
