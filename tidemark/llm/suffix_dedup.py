@@ -14,7 +14,7 @@ from tidemark.llm.common import Spans, blocks, byte_column, cuts, mix, stage
 #: Groups of suffixes up to this size meet in one task; the windows of larger ones are counted before they are shuffled.
 LIGHT = 2000
 #: Bytes of text that are refined at once; small, as each byte takes some arrays of 64-bit numbers.
-TEXT_BYTES = 1 << 20
+TEXT_BYTES = 1 << 19
 
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
