@@ -4,6 +4,7 @@ import collections
 import hashlib
 import re
 
+import numpy as np
 import pytest
 
 from llm import rows
@@ -181,3 +182,15 @@ def test_benchmark_search(spark, monkeypatch, block):
     assert decontaminate.find_benchmark(rows.empty(spark), bench).count() == 0
     none = decontaminate.find_benchmark(docs, bench.limit(0)).select("doc_id", "n_words", *decontaminate.verdict())
     assert ordered(tuple(r) for r in none.collect()) == ordered(brute_windows(plain, [], 13))
+
+
+def test_signs_never_differ_more_than_the_sets():
+    draw = np.random.default_rng(3)
+    for size in (1, 2, 40, 700):
+        both = draw.integers(0, 1 << 63, size, dtype=np.uint64)
+        for apart in (0, 1, 9, 300):
+            only = draw.integers(0, 1 << 63, apart, dtype=np.uint64)
+            a, b = np.append(both, only[::2]), np.append(both, only[1::2])
+            bits = np.bitwise_count(ngram_join.signs(a) ^ ngram_join.signs(b)).sum()
+            assert bits <= apart
+            assert apart or not bits

@@ -18,6 +18,8 @@ LISTED = 4_000_000
 #: Hubs of a bucket in the first round, and how many times more the next ones have.
 FIRST_HUBS, MORE_HUBS = 4, 8
 _NULL_ID = -(1 << 63)
+#: Columns of 64 parity bits each that sum up a set.
+SIGNS = [f"sign{i}" for i in range(8)]
 
 
 def shingle_hashes(data: np.ndarray, offsets: np.ndarray, width: int) -> Iterator[np.ndarray]:
@@ -47,6 +49,16 @@ def set_id(tokens: np.ndarray) -> int:
     return int(mix(np.array([total]))[0].view(np.int64))
 
 
+def signs(tokens: np.ndarray) -> np.ndarray:
+    """Parity bits of a set: bit i tells whether an odd number of its shingles falls on i.
+
+    A shingle that only one of two sets holds changes one bit, so their bits differ at no more places than there are such shingles.
+    """
+    bits = 64 * len(SIGNS)
+    odd = np.bincount((tokens % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def least_overlap(size):
     """How many shingles a set must share with any set that it links to: 75 percent of its own."""
     return -(-3 * size // 4)
@@ -119,7 +131,7 @@ def _prefixes(width: int):
 
 
 def _whole_sets(width: int, listed):
-    """Set id, size and tokens of the sets that speak: those listed, or with a ``set_id`` column the rows whose set it is."""
+    """Set id, size, tokens and signs of the sets that speak: those listed, or with a ``set_id`` column the rows whose set it is."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, speakers = listed.value if listed else (None, None)
@@ -141,7 +153,8 @@ def _whole_sets(width: int, listed):
                 arrays = [pa.array(list(found), pa.int64()), pa.array([len(t) for t in found.values()], pa.int64())]
                 ends = np.concatenate([[0], np.cumsum([len(t) for t in found.values()])]).astype(np.int32)
                 tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(list(found.values())).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([*arrays, tokens], ["set_id", "size", "tokens"])
+                bits = np.stack([signs(t) for t in found.values()], axis=1)
+                yield pa.RecordBatch.from_arrays([*arrays, tokens, *map(pa.array, bits)], ["set_id", "size", "tokens", *SIGNS])
 
     return find
 
@@ -151,7 +164,7 @@ def _sql_least(size: str = "size") -> Column:
 
 
 def similar_candidates(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
-    """set_id, size and tokens of the sets that may link to another one, each once.
+    """set_id, size, tokens and signs of the sets that may link to another one, each once.
 
     Two linked sets share at least ``least_overlap`` shingles, so among the shingles of least hash, all but
     that many plus a slack, each shows at least the smaller one's slack of shared ones. Sets without them leave.
@@ -173,7 +186,7 @@ def similar_candidates(docs: DataFrame, items: DataFrame, width: int) -> DataFra
         .agg(F.min("doc").alias("doc")),
         "speakers",
     )
-    schema = "set_id bigint, size bigint, tokens array<bigint>"
+    schema = ", ".join(["set_id bigint, size bigint, tokens array<bigint>", *[f"{c} bigint" for c in SIGNS]])
     if speakers.count() <= LISTED:
         ids = speakers.toArrow()
         order = np.argsort(ids.column("set_id").to_numpy())
@@ -213,7 +226,7 @@ def size_boundary(rare: DataFrame) -> int:
 
 
 def buckets(sets: DataFrame) -> DataFrame:
-    """Rows (bucket, set_id, size, scans, holders): linked sets of which one scans, or neither in a pair bucket, meet in one.
+    """Rows (bucket, set_id, size, scans, holders) and signs: linked sets of which one scans, or neither in a pair bucket, meet in one.
 
     Shingles are ordered by how many sets hold them, the rarest first, ties by hash. Linked sets share one
     of their first size - least_overlap + 1 shingles and two of one more than that. Small sets meet by
@@ -244,7 +257,8 @@ def buckets(sets: DataFrame) -> DataFrame:
     ).select("bucket", "set_id", "size", F.lit(None).cast("boolean").alias("scans"))
     rows = lists.union(pairs)
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("holders"), F.max(F.coalesce("scans", F.lit(True))).alias("any"))
-    return stage(rows.join(sizes.filter("holders > 1 and any").drop("any"), "bucket"), "buckets")
+    rows = rows.join(sizes.filter("holders > 1 and any").drop("any"), "bucket")
+    return stage(rows.join(sets.select("set_id", *SIGNS), "set_id"), "buckets")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -266,10 +280,11 @@ def link_sets(sets: DataFrame) -> DataFrame:
     """(set_id, label) of all sets with a link; equal labels are connected.
 
     All pairs of a bucket are settled, but not all are compared: a pair that is connected by now needs no look. At first each
-    set meets one other, the first hub of its fullest bucket. In each round then some sets
+    set meets one other, the most central set of its fullest bucket: the one whose shingles most others hold, to which the
+    others of a group of near copies are closest. In each round then some sets
     of each bucket, drawn by hash, are hubs and meet the other sets of it in other components; the next
     round has ``MORE_HUBS`` times as many, until each set was one. A group of many similar sets joins one
-    component by its first hubs, so it never makes all its pairs.
+    component by its first hubs, and those beside it that link to none are ruled out by their signs, so it never makes all its pairs.
     """
     rows = buckets(sets)
     most = rows.agg(F.max("holders")).first()[0] or 0
@@ -288,7 +303,7 @@ def link_sets(sets: DataFrame) -> DataFrame:
             open_ones = now.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y")
             now = now.join(open_ones.select("bucket"), "bucket")
         hubs = now.filter((F.col("place") >= low) & (F.col("place") < high)).select(
-            "bucket", *[F.col(c).alias("hub_" + c) for c in ("set_id", "size", "scans", "draw", "label")]
+            "bucket", *[F.col(c).alias("hub_" + c) for c in ("set_id", "size", "scans", "draw", "label", *SIGNS)]
         )
         meet = now.filter(F.col("place") >= low).join(hubs, "bucket").filter(
             (F.struct("hub_draw", "hub_set_id") < F.struct("draw", "set_id")) & (F.col("hub_label") != F.col("label")) & _may_link()
@@ -302,9 +317,14 @@ def link_sets(sets: DataFrame) -> DataFrame:
 
 
 def _may_link() -> Column:
-    """A set and a hub of like size, of which one scans unless they met by a pair of shingles."""
+    """A set and a hub of like size and signs, of which one scans unless they met by a pair of shingles.
+
+    Sets link when no more than a seventh of their sizes' sum are shingles that only one holds, which is the same bound as
+    75 percent of the union; their signs cannot differ more.
+    """
     alike = 4 * F.least("size", "hub_size") >= 3 * F.greatest("size", "hub_size")
-    return alike & F.coalesce(F.col("scans") | F.col("hub_scans"), F.lit(True))
+    apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"hub_{c}"))) for c in SIGNS), F.lit(0))
+    return alike & (7 * apart <= F.col("size") + F.col("hub_size")) & F.coalesce(F.col("scans") | F.col("hub_scans"), F.lit(True))
 
 
 def _ordered() -> list[Column]:
@@ -312,12 +332,18 @@ def _ordered() -> list[Column]:
 
 
 def _first_pairs(rows: DataFrame) -> DataFrame:
-    """Each set with the set of least draw in its bucket of most holders: one pair a set at most."""
-    names = ("draw", "set_id", "size", "scans")
-    hubs = rows.groupBy("bucket").agg(F.min(F.struct(*names)).alias("hub"))
+    """Each set with the most central set in its bucket of most holders: one pair a set at most.
+
+    A set is the more central the more sets share its buckets, for its size.
+    """
+    names = ("set_id", "size", "scans", *SIGNS)
+    own = rows.groupBy("set_id").agg(
+        F.max(F.struct("holders", "bucket"))["bucket"].alias("fullest"), (F.sum("holders") / F.first("size")).alias("central")
+    )
+    rows = rows.join(own, "set_id")
+    hubs = rows.groupBy("bucket").agg(F.max_by(F.struct(*names), F.struct("central", "set_id")).alias("hub"))
     hubs = hubs.select("bucket", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in names])
-    fullest = rows.groupBy("set_id").agg(F.max(F.struct("holders", "bucket")).alias("most")).select("set_id", "most.bucket")
-    meet = rows.join(fullest, ["set_id", "bucket"]).join(hubs, "bucket")
+    meet = rows.filter(F.col("bucket") == F.col("fullest")).join(hubs, "bucket")
     return meet.filter((F.col("set_id") != F.col("hub_set_id")) & _may_link()).select(*_ordered()).distinct()
 
 
