@@ -151,6 +151,35 @@ def test_lm_scores(spark, monkeypatch, head, nodes):
         assert r.score == pytest.approx(score, rel=1e-5, abs=1e-5)
 
 
+@pytest.mark.parametrize("frequent", [1 << 22, 400, 0.1])
+def test_lm_scores_without_a_cut(spark, monkeypatch, frequent):
+    monkeypatch.setattr(lm_scoring, "HEAD_GRAMS", frequent)
+    monkeypatch.setattr(lm_scoring, "ASK_BYTES", 4000)
+    docs = rows.documents(spark).withColumn("held_out", lm_scoring.held_out())
+    plain = [(r.doc_id, r.text or "", r.held_out) for r in docs.collect()]
+    train = [t for _, t, h in plain if not h]
+    model, words = lm_scoring.train(docs.filter("not held_out"))
+    assert (len(model.head.grams) == 0) == (frequent < 1)
+    # by row, as ids repeat
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.score) for r in lm_scoring.score_texts(docs, model, words).collect())
+    ppm = brute_ppm(train, [t for _, t, _ in plain], lm_scoring.ORDER, math.inf)
+    want = sorted((d is None, d or 0, score) for (d, _, _), score in zip(plain, ppm))
+    assert [x[:2] for x in got] == [x[:2] for x in want]
+    assert [x[2] for x in got] == pytest.approx([x[2] for x in want], rel=1e-5, abs=1e-5)
+
+
+def test_lm_rare_passage(spark):
+    """A passage that is far below one in 60,000 positions keeps its contexts of six bytes."""
+    draw = random.Random(3)
+    text = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    passage = text(80)
+    train = [text(9000) for _ in range(16)] + [passage]
+    model, words = lm_scoring.train(rows.documents(spark, train))
+    r = lm_scoring.score_texts(rows.documents(spark, [passage]), model, words).first()
+    assert r.score == pytest.approx(brute_ppm(train, [passage], lm_scoring.ORDER, math.inf)[0], rel=1e-5)
+    assert r.score > 0.6 * brute_ppm(train, [passage], lm_scoring.ORDER, 60_000)[0]
+
+
 def test_lm_without_training(spark):
     docs = rows.documents(spark, ["abc", None])
     model, words = lm_scoring.train(docs.limit(0))
