@@ -215,6 +215,19 @@ def test_ranked_rows_stay_near_k(spark, monkeypatch):
         assert seen[0].count() < 3 * 4000 / 4
 
 
+def test_unlinked_documents_take_no_place(spark):
+    """600 documents without a category score highest; the k rows come from the linked ones, zeros included."""
+    docs = spark.range(620).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") >= 20, "cat cat emu emu").when(F.col("id") < 3, "cat dog dog emu dog dog").otherwise("cat dog dog").alias("text"),
+    )
+    links = docs.filter("doc_id < 20").select("doc_id", F.lit("c").alias("category"))
+    queries = spark.createDataFrame([(0, "cat"), (1, "emu")], "query_id BIGINT, text STRING")
+    with search_index(docs, T.tokenize(F.col("text")), 5000, f=5) as index:
+        rows = sorted((r.query_id, r["rank"], r.doc_id, r.score > 0) for r in index.nearest(links, queries, 10).collect())
+    assert rows == [(0, i + 1, i + 3, True) for i in range(10)] + [(1, i + 1, i, i < 3) for i in range(10)]
+
+
 def test_dictionary_orders_few_words(spark):
     """Only the words from the count of the f-th one on reach the ordering, for any number of partitions."""
     text = spark.range(5000).select(F.explode(F.array_repeat(F.concat(F.lit("w"), F.col("id")), F.when(F.col("id") < 40, 3).otherwise(1).cast("int"))).alias("word"))

@@ -62,12 +62,13 @@ def nearest_rows(
     Documents repeat once per category; equal scores go by category, then document.
     Queries without a dictionary word get no rows; documents have a word each.
 
-    The k-th best score among some of the documents is a bound that none of the k best of all falls short of, so only scores that reach
+    Only documents with a category count. The k-th best score among some of those is a bound that none of the k best of all falls short of, so only scores that reach
     it are ranked, and categories are joined to those alone. Documents without a shared word score zero; they are ranked
     only for queries with fewer than k documents above zero.
     """
     scale = float(10**SCORE_DECIMALS)
     scored = similarities(features, vectors, metric).withColumn("score", F.rint(F.col("score") * scale) / scale)
+    scored = scored.join(links, "doc_id", "left_semi")
     some = scored.filter(F.pmod(F.xxhash64("doc_id"), F.lit(BOUND_PARTS)) == 0)
     score = F.col("score").desc_nulls_last()
     bounds = _best(some, k, score).filter((F.col("rank") == k) & (F.col("score") > 0))
