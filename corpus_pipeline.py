@@ -84,7 +84,7 @@ STAGES = [
     ("byte-level BPE", encode),
 ]
 
-#: A trained classifier and a tokenizer are beyond SQL; the tests hold each stage against a brute-force version.
+#: A trained classifier and a tokenizer are beyond SQL. The tests hold the operators against brute force; no test runs these stages.
 ORACLE_SQL = None
 
 
