@@ -137,3 +137,87 @@ WITH RECURSIVE d AS MATERIALIZED (
 )
 SELECT doc_id, coalesce(size, 0)::BIGINT AS n_shingles, component_id FROM d JOIN least USING (r) LEFT JOIN n USING (r)
 """
+
+NEAREST_VECTORS = r"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings
+), usable AS MATERIALIZED (
+  SELECT * FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+), scored AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score
+  FROM usable q JOIN usable c ON c.r <> q.r AND len(c.e) = len(q.e) WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY r ORDER BY score, vec_id NULLS LAST)::INT AS rank, vec_id, score
+FROM scored QUALIFY rank <= 10
+"""
+
+# The edits are found from the last row back: per state (0 nothing, 1 after system, 2 user, 3 assistant) the least (cost, audit) and its lines.
+def _best(state: int, after: str) -> str:
+    """The best way on from ``state`` before a row, given those after it in ``after`` (a list of four), without turns put in first."""
+    to, named = ((2, "user"), (2, "user"), (3, "assistant"), (2, "user"))[state]
+    nexts = {0: "CASE i WHEN 's' THEN 1 WHEN 'u' THEN 2 END", 1: "CASE i WHEN 'u' THEN 2 END", 2: "CASE i WHEN 'a' THEN 3 END", 3: "CASE i WHEN 'u' THEN 2 END"}[state]
+    extra = "(CASE WHEN truncated THEN 3 ELSE 0 END)"
+    return f"""list_sort(list_filter([
+        struct_pack(cost := {after}[{state + 1}].cost + 4, audit := 'D' || {after}[{state + 1}].audit, lines := {after}[{state + 1}].lines),
+        CASE WHEN NOT gone AND ({nexts}) IS NOT NULL THEN struct_pack(cost := {after}[({nexts}) + 1].cost + {extra},
+          audit := 'K' || {after}[({nexts}) + 1].audit, lines := list_prepend(role || ':' || text, {after}[({nexts}) + 1].lines)) END,
+        CASE WHEN NOT gone THEN struct_pack(cost := {after}[{to + 1}].cost + 3 + {extra},
+          audit := 'R' || {after}[{to + 1}].audit, lines := list_prepend('{named}:' || text, {after}[{to + 1}].lines)) END
+      ], lambda x: x IS NOT NULL))[1]"""
+
+
+def _or_put(state: int, plain: str, put: str) -> str:
+    """The better of going on as ``plain`` says and of a turn put in first, after which ``put`` says how to go on."""
+    to, named = ((2, "user"), (2, "user"), (3, "assistant"), (2, "user"))[state]
+    return f"""list_sort([{plain}[{state + 1}],
+        struct_pack(cost := {put}[{to + 1}].cost + 3, audit := 'I' || {put}[{to + 1}].audit, lines := list_prepend('{named}:', {put}[{to + 1}].lines))])[1]"""
+
+
+_FOUR = range(4)
+CONVERSATION_REPAIR = f"""
+WITH RECURSIVE plain AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k
+  FROM conversations
+), hashed AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(k, ''), lambda c: ascii(c)::BIGINT)),
+      lambda h, b: list_reduce(list_prepend(xor(h, b), range(8)), lambda x, _: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 20 AS how
+  FROM plain
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role,
+         CASE how WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(CASE WHEN how = 3 THEN [0, 1] ELSE [0] END) FROM hashed WHERE how <> 0)
+), placed AS MATERIALIZED (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id) AS c, role[1] AS i,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS n
+  FROM damaged
+), told AS MATERIALIZED (
+  SELECT *, blank OR again AS gone, NOT blank AND again AS duplicate, NOT blank AND NOT again AND NOT ended AS truncated,
+         lag(i) OVER (PARTITION BY c ORDER BY n) || i AS pair
+  FROM (SELECT *, NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') AS blank, regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') AS ended,
+               row_number() OVER (PARTITION BY c, role, text ORDER BY n) > 1 AS again FROM placed)
+), walked AS (
+  SELECT c, max(n) + 1 AS n, [
+      struct_pack(cost := 0, audit := '', lines := []::VARCHAR[]), struct_pack(cost := 6, audit := 'II', lines := ['user:', 'assistant:']),
+      struct_pack(cost := 3, audit := 'I', lines := ['assistant:']), struct_pack(cost := 0, audit := '', lines := []::VARCHAR[])] AS best
+  FROM told GROUP BY c
+  UNION ALL
+  SELECT c, n, [{", ".join(_or_put(s, "once", "once") for s in _FOUR)}] FROM (
+    SELECT c, n, bare, [{", ".join(_or_put(s, "bare", "bare") for s in _FOUR)}] AS once FROM (
+      SELECT told.c, told.n, [{", ".join(_best(s, "walked.best") for s in _FOUR)}] AS bare
+      FROM walked JOIN told ON told.c = walked.c AND told.n = walked.n - 1))
+), repaired AS (
+  SELECT c, best[1].cost::BIGINT AS cost, best[1].audit AS audit, sha256(array_to_string(best[1].lines, chr(10))) AS repaired_sha256
+  FROM walked WHERE n = 1
+), counted AS (
+  SELECT conv_id, c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, sum(blank::BIGINT)::BIGINT AS blank,
+         sum(duplicate::BIGINT)::BIGINT AS duplicate, sum(truncated::BIGINT)::BIGINT AS truncated,
+         sum((n > 1 AND pair NOT IN ('su', 'ua', 'au'))::BIGINT)::BIGINT AS illegal
+  FROM told GROUP BY conv_id, c
+)
+SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) ids
+LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM ids.conv_id LEFT JOIN repaired USING (c)
+"""

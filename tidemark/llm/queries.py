@@ -6,7 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, decontaminate, line_dedup, lm_scoring, ngram_join, oracle, quality_rules, sharding, suffix_dedup, toxicity, url_filter
+from tidemark.llm import (
+    byte_bpe,
+    conversations,
+    decontaminate,
+    line_dedup,
+    lm_scoring,
+    nearest_vectors,
+    ngram_join,
+    oracle,
+    quality_rules,
+    sharding,
+    suffix_dedup,
+    token_alignment,
+    toxicity,
+    url_filter,
+)
 from tidemark.llm.common import table
 
 RULES = [
@@ -101,6 +116,25 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", *decontaminate.verdict())
 
 
+def op11_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = nearest_vectors.clean_vectors(table(spark, sf_dir, "embeddings"))
+    return nearest_vectors.nearest(vectors, "vec_id % 100 = 0", k=10).drop("query_row")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversations.repair_report(rows, conversations.repair(conversations.damage(rows)))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left, right = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    aligned = token_alignment.align_tokens(docs, left, right, public_tokenizers.PATTERN)
+    digest = F.when(F.col("n_groups") > 0, F.sha2(F.encode("groups", "UTF-8"), 256)).otherwise("").alias("groups_sha256")
+    aligned = aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", digest, "pairs", "times")
+    return token_alignment.with_link_counts(aligned, token_alignment.piece_count(right))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_sharding": op2_sharding,
@@ -112,6 +146,9 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_toxicity": op9_toxicity,
     "op10_decontaminate": op10_decontaminate,
+    "op11_nearest_vectors": op11_nearest_vectors,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE = {
@@ -119,4 +156,6 @@ ORACLE = {
     "op3_line_dedup": oracle.LINE_DEDUP,
     "op4_ngram_join": oracle.NGRAM_JOIN,
     "op10_decontaminate": oracle.DECONTAMINATE,
+    "op11_nearest_vectors": oracle.NEAREST_VECTORS,
+    "op12_conversation_repair": oracle.CONVERSATION_REPAIR,
 }
