@@ -1,6 +1,7 @@
 """Dictionary, weights and similarity search against brute force on small texts."""
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -8,11 +9,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.catalog import inputs
 from tidemark.functions import text as T
 from tidemark.operators import features as feat
 from tidemark.operators import similarity, words
+from tidemark.operators.numbering import row_numbers
 from tidemark.operators.scoring import dot_products, linear_scores, top_coefficients
-from tidemark.session import cut
 from tidemark.plans.search import search_categories, search_index
 
 TEXTS = {
@@ -147,9 +149,10 @@ def test_class_shares(spark, docs):
 
 
 @pytest.mark.parametrize("metric", ["dot", "cosine"])
-@pytest.mark.parametrize("parts", [1, 2, 16])
-def test_nearest_rows(spark, docs, metric, parts, monkeypatch):
-    monkeypatch.setattr(similarity, "BOUND_PARTS", parts)
+@pytest.mark.parametrize(("first", "size"), [(1, 1), (1, 3), (3, 4)])
+def test_nearest_rows(spark, docs, metric, first, size, monkeypatch):
+    monkeypatch.setattr(similarity, "FIRST_RANGES", first)
+    monkeypatch.setattr(similarity.ranged, "__defaults__", (size,))
     links = spark.createDataFrame(LINKS, "doc_id STRING, category STRING")
     queries = spark.createDataFrame(list(QUERIES.items()), "query_id INT, text STRING")
     with search_index(docs, T.tokenize(F.col("text")), len(TEXTS), f=F_MAX) as index:
@@ -208,13 +211,87 @@ def test_ranked_rows_stay_near_k(spark, monkeypatch):
     links = docs.select("doc_id", F.lit("c").alias("category"))
     queries = spark.createDataFrame([(i, t) for i, t in enumerate(["cat", "dog", "cat dog"])], "query_id BIGINT, text STRING")
     seen = []
-    monkeypatch.setattr(similarity, "cut", lambda df: seen.append(df) or cut(df))
+    monkeypatch.setattr(similarity, "_zero_rows", lambda *a: pytest.fail("every query has k hits"))
+    best = similarity._first_categories
+    monkeypatch.setattr(similarity, "_first_categories", lambda found, *a: seen.append(found) or best(found, *a))
     with search_index(docs, T.tokenize(F.col("text")), 5000, f=5) as index:
         rows = index.nearest(links, queries, 10)
         assert dict(rows.dtypes)["query_id"] == "bigint" and rows.count() == 30
         assert seen[0].count() < 3 * 4000 / 4
 
 
+def scored_pairs(monkeypatch):
+    """The frames of pairs that are scored from now on."""
+    seen, score = [], similarity._range_scores
+    monkeypatch.setattr(similarity, "_range_scores", lambda *a: seen.append(score(*a)) or seen[-1])
+    return seen
+
+
+@pytest.mark.parametrize("metric", ["dot", "cosine"])
+def test_few_pairs_are_scored(spark, monkeypatch, metric):
+    """Of the pairs with a common word in 10,000 documents less than a tenth is scored, and none twice."""
+    folder = "/root/testdata/sf0.1"
+    docs, queries = inputs.documents(spark, folder), inputs.queries(spark, folder)
+    with search_index(docs, T.tokenize(F.col("text")), 10_000) as index:
+        vectors = similarity.query_vectors(queries, index.vocab, index.idf)
+        everything = similarity.similarities(index.features, vectors, metric).cache()
+        seen = scored_pairs(monkeypatch)
+        rows = index.nearest(docs.select("doc_id", F.lit("c").alias("category")), queries, 10, metric)
+        pairs = seen[0].unionByName(seen[1]).select("query_id", "doc_id").cache()
+        assert len(seen) == 2 and pairs.count() == pairs.distinct().count() < everything.count() / 10
+        scale = 10.0**similarity.SCORE_DECIMALS
+        exact = everything.withColumn("score", F.rint(F.col("score") * scale) / scale)
+        best = similarity._best(exact, 10, F.col("score").desc_nulls_last(), "doc_id").filter("score > 0")
+        assert best.select("query_id", "rank", "doc_id").exceptAll(rows.select("query_id", "rank", "doc_id")).count() == 0
+        everything.unpersist()
+        pairs.unpersist()
+
+
+@pytest.mark.parametrize("metric", ["dot", "cosine"])
+def test_search_with_negative_weights(spark, metric):
+    """Words that nearly all documents hold weigh less than nothing, and two such weights make a positive score."""
+    draw = random.Random(3)
+    texts = [(i, " ".join(["cat"] * draw.randint(0, 9) + ["dog"] * draw.randint(0, 9) + draw.choices(["emu", "fox", "gnu"], k=draw.randint(0, 3)))) for i in range(300)]
+    docs = spark.createDataFrame(texts, "doc_id BIGINT, text STRING")
+    queries = spark.createDataFrame(list(enumerate(["cat cat dog", "dog emu", "cat fox fox gnu"])), "query_id BIGINT, text STRING")
+    # so few documents that the idf of cat and dog is negative
+    with search_index(docs, T.tokenize(F.col("text")), 150, f=5) as index:
+        vectors = similarity.query_vectors(queries, index.vocab, index.idf, 5)
+        assert vectors.filter("x < 0").count() > 0
+        every = similarity.similarities(index.features, vectors, metric).filter("score > 0")
+        want = similarity._best(every.withColumn("score", F.round("score", 11)), 10, F.col("score").desc(), "doc_id")
+        rows = index.nearest(docs.select("doc_id", F.lit("c").alias("category")), queries, 10, metric)
+        got = [(r.query_id, r["rank"], r.doc_id) for r in rows.orderBy("query_id", "rank").collect()]
+        assert got == [(r.query_id, r["rank"], r.doc_id) for r in want.orderBy("query_id", "rank").collect()] and len(got) == 30
+
+
+def test_ranges_bound_their_documents(spark):
+    x = spark.range(400).select((F.col("id") % 90).alias("doc_id"), F.floor(F.col("id") / 90).cast("int").alias("pos"), F.sin("id").alias("x"))
+    postings = similarity.ranged(x, 7)
+    sizes = postings.select("range", "doc_id").distinct().groupBy("range").count().orderBy("range")
+    assert [r["count"] for r in sizes.collect()] == [7] * 12 + [6]
+    asked = spark.createDataFrame([(q, p, (q - 1) * (p + 0.5)) for q in range(3) for p in range(5)], "query_id INT, pos INT, qx DOUBLE")
+    reach = similarity.range_reach(similarity.range_weights(postings), asked)
+    scores = postings.join(asked, "pos").groupBy("query_id", "range", "doc_id").agg(F.sum(F.col("x") * F.col("qx")).alias("score"))
+    assert scores.join(reach, ["query_id", "range"]).filter("score > reach + 1e-12").count() == 0
+
+
+@pytest.mark.parametrize("parts", ["1", "7"])
+def test_row_numbers(spark, parts):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        df = spark.range(500).select((F.col("id") * 7 % 50).alias("a"), F.when(F.col("id") % 3 == 0, 1).alias("b"), "id")
+        rows = sorted(map(tuple, row_numbers(df, F.col("a").desc(), "b").collect()), key=lambda r: r[3])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert [r[3] for r in rows] == list(range(500))
+    assert [r[:2] for r in rows] == sorted((r[:2] for r in rows), key=lambda r: (-r[0], r[1] is not None))
+    assert row_numbers(df.limit(0), "a").count() == 0
+    hot = row_numbers(spark.range(3000).select(F.lit(1).alias("a")), "a")
+    assert hot.agg(F.min("n"), F.max("n"), F.count_distinct("n")).first() == (0, 2999, 3000)
+
+
 def test_unlinked_documents_take_no_place(spark):
     """600 documents without a category score highest; the k rows come from the linked ones, zeros included."""
     docs = spark.range(620).select(
