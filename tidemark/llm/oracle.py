@@ -145,7 +145,8 @@ WITH v AS MATERIALIZED (
   SELECT * FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND len(list_filter(e, lambda x: x <> 0)) > 0
 ), scored AS (
-  SELECT q.r, q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score
+  SELECT q.r, q.vec_id AS query_id, c.vec_id,
+         sqrt(list_reduce(list_transform(list_zip(q.e, c.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])), lambda a, b: a + b)) AS score
   FROM usable q JOIN usable c ON c.r <> q.r AND len(c.e) = len(q.e) WHERE q.vec_id % 100 = 0
 )
 SELECT query_id, row_number() OVER (PARTITION BY r ORDER BY score, vec_id NULLS LAST)::INT AS rank, vec_id, score
