@@ -2,7 +2,9 @@
 
 import bz2
 import os
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import trips as trip
@@ -113,3 +115,55 @@ def test_writers(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "many")).count() == 100
     writers.write_lines(df.withColumn("b", F.lit("x")), str(tmp_path / "text"))
     assert readers.read_lines(spark, str(tmp_path / "text")).filter("value = '7,x'").count() == 1
+
+
+def test_report_has_a_bound(spark, tmp_path):
+    writers.write_report(spark.range(7).repartition(3), str(tmp_path / "fits"), most=7)
+    with pytest.raises(Exception, match="at most 6 rows"):
+        writers.write_report(spark.range(7).repartition(3), str(tmp_path / "long"), most=6)
+
+
+HEADER = "_c0,country,description,designation,points,price,region_1,variety"
+
+
+def review_text(draw, n):
+    """Records whose quoted text holds line breaks, doubled quotes, commas, blanks; some over many ranges."""
+    parts = ["word", '""', "\n", ",", "é", " ", "\n\n", '"",""', "日本", ""]
+    rows = []
+    for i in range(n):
+        text = "".join(draw.choices(parts, k=900 if i in (5, 6) else draw.randint(0, 30)))
+        name = draw.choice(["plain", '"two\nlines"', "", '""', '"a ""b"""'])
+        rows.append(f'{i},x,"{text}",{name},{draw.choice(["88", "", "n/a"])},1,r,{draw.choice(["Merlot", ""])}')
+        rows += [""] * draw.choice([0, 0, 0, 1, 2])
+    return "\n".join([HEADER, *rows]) + draw.choice(["", "\n"])
+
+
+@pytest.mark.parametrize("size", [300, 1 << 27])
+def test_reviews_with_line_breaks_are_split(spark, tmp_path, size):
+    """Each file is read in many ranges, and gives the rows of a reader that takes it whole."""
+    draw = random.Random(size)
+    for i in range(3):
+        (tmp_path / f"{i}.csv").write_text(review_text(draw, 30))
+    (tmp_path / "3.csv").write_text(HEADER + "\n")
+    (tmp_path / "4.csv").write_text("")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        rows = readers.read_reviews(spark, str(tmp_path), multi_line=True)
+        got = [tuple(r) for r in rows.collect()]
+        tasks = spark.read.text(str(tmp_path)).rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    assert tasks > 30 if size == 300 else tasks >= 1
+    reader = spark.read.options(header=True, multiLine=True, escape='"', lineSep="\n").csv([str(tmp_path / f"{i}.csv") for i in range(3)])
+    want = [tuple(r) for r in reader.select(*readers.REVIEW_COLUMNS).collect()]
+    key = lambda r: [str(v) for v in r]
+    assert len(got) == 90 and sorted(got, key=key) == sorted(want, key=key)
+
+
+def test_record_starts(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('h,i\n1,"a\n\nb"\n\n2,c\r\n"3\n')
+    rows = readers.csv_records(spark, str(tmp_path / "a.csv")).collect()
+    assert sorted((r.first, r.record) for r in rows) == [(False, '"3'), (False, '1,"a\n\nb"'), (False, "2,c\r"), (True, "h,i")]

@@ -377,6 +377,9 @@ ORACLE["weighted_hinge_gradient"] = _gradient(f"{HINGE[0]} * {CLASS_WEIGHT}", f"
 # Fits: the weights of one step are the working table of a recursive query
 
 
+UNIT, SLOPE_UNIT = "1073741824::DOUBLE", "16777216::DOUBLE"
+
+
 def _fit(
     features: tuple[str, ...],
     loss: tuple[str, str],
@@ -395,8 +398,17 @@ def _fit(
     share: str = "SELECT avg(label) FROM marks",
     after: tuple[str, ...] = (),
     result: str = "",
+    exact: bool = False,
 ) -> str:
-    """A descent and its trace, or ``result`` over it. ``ww`` in ``cost`` is |w|^2."""
+    """A descent and its trace, or ``result`` over it. ``ww`` in ``cost`` is |w|^2. ``exact``: sums of whole numbers, which have no order."""
+    word, theta, slope, square = "x", "sum(x * w)", f"sum(x * ({loss[1]}))", "sum({0} * {0})"
+    data_cost = f"sum({loss[0]})"
+    if exact:
+        word, theta = f"floor(x * {UNIT} + 0.5) AS x", f"sum(floor(x * w + 0.5)::BIGINT)::DOUBLE / {UNIT}"
+        data_cost = f"sum(floor(({loss[0]}) * {SLOPE_UNIT} + 0.5)::BIGINT)::DOUBLE / {SLOPE_UNIT}"
+        slope = f"sum(floor(x * (floor(({loss[1]}) * {SLOPE_UNIT} + 0.5) / {SLOPE_UNIT}) + 0.5)::BIGINT)::DOUBLE / {UNIT}"
+        square = f"sum(floor({{0}} * {{0}} * {UNIT} + 0.5)::BIGINT)"
+    squared = (lambda v, over="": f"({square.format(v)}{over})::DOUBLE / {UNIT}") if exact else (lambda v, over="": f"{square.format(v)}{over}")
     if sgd:
         move = "w * (1 - rate * 0.01) - rate * coalesce(g, 0) / n"
         # The step shrinks with the root of the step number; the stop looks at the moved weights.
@@ -409,7 +421,7 @@ def _fit(
     return _with_recursive(
         *features,
         labels or LABELS,
-        "led AS MATERIALIZED (SELECT doc_id, pos, x, label FROM feats JOIN marks USING (doc_id))",
+        f"led AS MATERIALIZED (SELECT doc_id, pos, {word}, label FROM feats JOIN marks USING (doc_id))",
         "sizes AS MATERIALIZED (SELECT count(DISTINCT doc_id)::DOUBLE AS n,"
         f" ({all_docs})::DOUBLE AS all_docs, ({share})::DOUBLE AS share FROM led)",
         f"""steps AS (
@@ -418,18 +430,18 @@ def _fit(
   UNION ALL
   SELECT i + 1, pos, new_w, {next_rate}, cost, cost, after, rate, {stop}
   FROM (
-    SELECT *, sqrt(sum(new_w * new_w) OVER ()) AS after, sqrt(sum((new_w - w) * (new_w - w)) OVER ()) AS moved
+    SELECT *, sqrt({squared("new_w", " OVER ()")}) AS after, sqrt(sum((new_w - w) * (new_w - w)) OVER ()) AS moved
     FROM (
       SELECT s.i, s.pos, s.w, s.rate, s.last, ww, n, {cost} AS cost, {move} AS new_w
       FROM steps s LEFT JOIN (
-        SELECT pos, sum(x * ({loss[1]})) AS g
-        FROM led JOIN (SELECT doc_id, sum(x * w) AS theta, any_value(share) AS share
+        SELECT pos, {slope} AS g
+        FROM led JOIN (SELECT doc_id, {theta} AS theta, any_value(share) AS share
                        FROM led JOIN steps USING (pos), sizes GROUP BY doc_id) USING (doc_id)
         GROUP BY pos) USING (pos),
-      (SELECT sum({loss[0]}) AS data_cost FROM (
-         SELECT doc_id, any_value(label) AS label, sum(x * w) AS theta, any_value(share) AS share
+      (SELECT {data_cost} AS data_cost FROM (
+         SELECT doc_id, any_value(label) AS label, {theta} AS theta, any_value(share) AS share
          FROM led JOIN steps USING (pos), sizes GROUP BY doc_id)),
-      (SELECT sum(w * w) AS ww FROM steps), sizes
+      (SELECT {squared("w")} AS ww FROM steps), sizes
       WHERE s.i < {steps - 1} AND NOT s.stop))
   WHERE NOT ({halt}))""",
         *after,
@@ -453,7 +465,7 @@ TF_FEATS = (*TEXT, "feats AS (SELECT doc_id, pos, tf AS x FROM tf)")
 TFIDF_FEATS = (*TEXT, IDF_SMOOTH, FEATS)
 LOGISTIC = ("ln(1 + exp(theta)) - label * theta", "1 / (1 + exp(-theta)) - label")
 SHARE_WEIGHT = "CASE WHEN label = 1 THEN 1 - share ELSE share END"
-ORACLE["logit_l2_gd"] = _fit(TFIDF_FEATS, LOGISTIC, 0.1, cost="data_cost + 0.001 * ww", penalty="0.002", steps=100)
+ORACLE["logit_l2_gd"] = _fit(TFIDF_FEATS, LOGISTIC, 0.1, cost="data_cost + 0.001 * ww", penalty="0.002", exact=True)
 ORACLE["logit_sgd"] = _fit(TFIDF_FEATS, LOGISTIC, 1.0, cost="data_cost / n + 0.005 * ww", sgd=True, steps=300)
 ORACLE["svm_sgd"] = _fit(TFIDF_FEATS, HINGE, 1.0, cost="data_cost / n + 0.005 * ww", sgd=True, steps=200)
 ORACLE["svm_hinge"] = _fit(
@@ -483,7 +495,7 @@ def _validated(doc_id: str, result: str, kind: str = "logistic", refit: bool = F
     """Two thirds of the lines train, the rest test; lines that share an id are one document."""
     n_train = "SELECT count(*) FROM lines_ WHERE part < 3"
     fits = {
-        "logistic": (LOGISTIC, 0.1, dict(cost="data_cost + 0.001 * ww", penalty="0.002")),
+        "logistic": (LOGISTIC, 0.1, dict(cost="data_cost + 0.001 * ww", penalty="0.002", exact=True)),
         "svm": (
             HINGE,
             1.0,

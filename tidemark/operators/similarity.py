@@ -115,10 +115,10 @@ def nearest_rows(
     postings = cut(ranged(features).join(words, "pos", "left_semi"))
     reach = cut(range_reach(range_weights(postings), asked_words))
     score = F.col("score").desc_nulls_last()
-    first = cut(_best(reach, FIRST_RANGES * k, F.col("reach").desc(), "range").select("query_id", "range"))
+    first = _best(reach, FIRST_RANGES * k, F.col("reach").desc(), "range").select("query_id", "range")
     some = cut(_range_scores(postings, asked_words, first).join(links, "doc_id", "left_semi"))
     bounds = _best(some, k, score).filter((F.col("rank") == k) & (F.col("score") > 0))
-    bounds = cut(bounds.select("query_id", F.col("score").alias("bound")))
+    bounds = bounds.select("query_id", F.col("score").alias("bound"))
     # sums in another order may differ in their last digits
     near = F.col("reach") + F.abs("reach") * 1e-9 + 10.0**-SCORE_DECIMALS
     open_ranges = reach.join(bounds, "query_id", "left").filter(F.col("bound").isNull() | (near >= F.col("bound")))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions import text as T
 from tidemark.functions.numeric import to_integer, to_number
@@ -86,20 +87,54 @@ def read_links(spark: SparkSession, path: str) -> DataFrame:
     return reader.csv(path)
 
 
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """``file, first, record`` of CSV files: whole records, line breaks inside quotes kept; ``first`` marks that of each file.
+
+    Files are read in byte ranges by as many tasks as Spark deals them to. A line begins a record where the quotes before it
+    in its file are even in number: ranges count theirs, a running sum over the ranges of a file gives the parity at each start,
+    and each range numbers its own records. Only a record that runs on into another range is put together from pieces. Quotes must be doubled
+    inside quoted text and occur nowhere else, as CSV writers do it. Empty lines between records are left out.
+    """
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        *place, F.monotonically_increasing_id().alias("line"), "value", (F.length("value") - F.length(F.replace("value", F.lit('"')))).alias("quotes")
+    )
+    # one row per range
+    ranges = lines.groupBy("file", "block").agg(F.sum("quotes").alias("quotes"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("file", "block", (F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2).alias("open"))
+    inside = Window.partitionBy("file", "block").orderBy("line")
+    after = F.col("open") + F.sum("quotes").over(inside)
+    told = lines.join(ranges, ["file", "block"]).withColumn("after", after % 2)
+    begins = (F.lag("after", 1).over(inside).isNull() & (F.col("open") == 0)) | (F.lag("after", 1).over(inside) == 0)
+    told = told.withColumn("record", F.sum(F.when(begins, 1).otherwise(0)).over(inside))
+    text = F.array_join(F.sort_array(F.collect_list(F.struct("line", "value")))["value"], "\n").alias("text")
+    pieces = told.groupBy("file", "block", "record").agg(text, F.max_by("after", "line").alias("after"))
+    begun = F.col("record") > 0
+    whole = begun & (F.col("after") == 0)
+    # at most two pieces of a range
+    order = Window.partitionBy("file").orderBy("block", "record")
+    split = pieces.filter(~whole).withColumn("owner", F.sum(F.when(begun, 1).otherwise(0)).over(order))
+    joined = F.array_join(F.sort_array(F.collect_list(F.struct("block", "record", "text")))["text"], "\n").alias("text")
+    split = split.groupBy("file", "owner").agg(joined, F.min(F.struct("block", "record")).alias("start"))
+    split = split.select("file", F.col("start.block").alias("block"), F.col("start.record").alias("record"), "text")
+    every = pieces.filter(whole).select("file", "block", "record", "text").unionByName(split)
+    first = (F.col("block") == 0) & (F.col("record") == 1)
+    return every.filter(F.col("text") != "").select("file", first.alias("first"), F.col("text").alias("record"))
+
+
 def read_reviews(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """The six review columns as text, from CSV with a header.
 
-    Set ``multi_line`` when quoted text holds line breaks; such files cannot be
-    split, so keep them small and many.
+    Set ``multi_line`` when quoted text holds line breaks: records then go through one shuffle, see ``csv_records``.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        # Line ends inside quotes stay as they are.
-        .option("lineSep", "\n")
-    )
-    frame = reader.csv(path)
+    options = {"escape": '"', "lineSep": "\n"}  # line ends inside quotes stay as they are
+    frame = spark.read.options(header=True, multiLine=multi_line, **options).csv(path)
+    if multi_line:
+        # the names come from the head of one file
+        names = StructType([StructField(name, StringType()) for name in frame.columns])
+        records = csv_records(spark, path).filter(~F.col("first"))
+        frame = records.select(F.from_csv("record", names.simpleString(), options).alias("r")).select("r.*")
     # A nameless first column is the row number.
     first = frame.columns[0]
     if first != "_c0" and "_c0" not in frame.columns:

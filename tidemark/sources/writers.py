@@ -6,9 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """One part file. For bounded results only (a top-k, a trace, a model report)."""
-    writer = df.coalesce(1).write.mode("errorifexists")
+# Rows of a report, at most.
+REPORT_ROWS = 1_000_000
+
+
+def write_report(df: DataFrame, path: str, fmt: str = "csv", most: int = REPORT_ROWS) -> None:
+    """One part file. For bounded results only (a top-k, a trace, a model report): more than ``most`` rows fail the job."""
+    n = F.monotonically_increasing_id()  # the place of the row, as one task holds them all
+    held = F.when(n < most, True).otherwise(F.raise_error(F.lit(f"a report has at most {most} rows")).cast("boolean"))
+    writer = df.limit(most + 1).coalesce(1).filter(held).write.mode("errorifexists")
     (writer.option("header", True).csv(path) if fmt == "csv" else writer.format(fmt).save(path))
 
 
