@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm import rows
 from tidemark.llm import decontaminate, line_dedup, ngram_join, suffix_dedup
@@ -68,9 +69,9 @@ def brute_components(docs):
     return [(doc, len(s), least[x] if s else doc) for (doc, _), s, x in zip(docs, sets, label)], label, sets
 
 
-@pytest.mark.parametrize("listed,hubs", [(4_000_000, 4), (0, 1)])
-def test_similarity_join(spark, monkeypatch, listed, hubs):
-    monkeypatch.setattr(ngram_join, "LISTED", listed)
+@pytest.mark.parametrize("crowd,hubs", [(4, 4), (1, 1), (1000, 1)])
+def test_similarity_join(spark, monkeypatch, crowd, hubs):
+    monkeypatch.setattr(ngram_join, "CROWD", crowd)
     monkeypatch.setattr(ngram_join, "FIRST_HUBS", hubs)
     docs = rows.documents(spark)
     want, _, _ = brute_components([(r.doc_id, r.text) for r in docs.collect()])
@@ -78,6 +79,39 @@ def test_similarity_join(spark, monkeypatch, listed, hubs):
     assert ngram_join.join_similar(rows.empty(spark)).count() == 0
 
 
+def boilerplate_rows(spark, n, own):
+    """How many rows in buckets ``n`` texts make that share 84 words, each after words of its own."""
+    passage = " ".join(f"p{i}" for i in range(84))
+    texts = [" ".join(f"{k}u{i}" for i in range(own)) + " " + passage for k in range(n)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc long, text string")
+    kinds = "doc bigint, doc_id bigint, text_key bigint, n_shingles bigint, set_id bigint"
+    rows = docs.select("doc", F.col("doc").alias("doc_id"), F.lit(0).cast("long").alias("text_key"), "text")
+    items = rows.mapInArrow(ngram_join._items(5), kinds)
+    sets = ngram_join.similar_candidates(docs, items, 5)
+    return ngram_join.buckets(sets).count(), sets.count()
+
+
+def test_a_shared_passage_makes_no_pairs(spark):
+    """Texts that share a passage but do not link meet in no bucket; those that link meet in few."""
+    for n in (60, 240):
+        found, spoken = boilerplate_rows(spark, n, 20)
+        assert spoken == n and found == 0
+        linked, _ = boilerplate_rows(spark, n, 8)
+        assert n <= linked <= 40 * n
+
+
+def test_sizes_around_the_bound_link(spark):
+    """Every pair of sizes near 3/4 of each other, exactly similar enough or one shingle short of it."""
+    texts = []
+    for size in range(24, 44):
+        common = [f"c{i}" for i in range(size)]
+        for own in range(0, size // 3 + 1, 2):
+            texts.append(" ".join([*common, *[f"{size}x{own}o{i}" for i in range(own)]]))
+    docs = rows.documents(spark, texts)
+    want, _, _ = brute_components([(r.doc_id, r.text) for r in docs.collect()])
+    assert ordered(tuple(r) for r in ngram_join.join_similar(docs).collect()) == ordered(want)
+
+
 def test_chain_and_hot_group(spark):
     """A chain whose ends do not link, and many near copies of one text."""
     words = [f"w{i}" for i in range(80)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,8 +14,11 @@ from pyspark.sql.types import BooleanType, NumericType, StringType
 from tidemark.llm.common import LOWER, Plain, Spans, blocks, mix, stage, word_bounds
 from tidemark.llm.components import components
 
-#: Sets whose ids every task may hold, 16 bytes each; more of them meet the texts in a shuffle.
-LISTED = 4_000_000
+#: A bucket of more sets is split by the sizes of its pairs.
+CROWD = 4
+#: Sizes of a class lie within this ratio; linked sets are at most so many classes apart.
+CLASS_RATIO = 1.05
+CLASSES = math.ceil(math.log(4 / 3) / math.log(CLASS_RATIO)) + 1
 #: Hubs of a bucket in the first round, and how many times more the next ones have.
 FIRST_HUBS, MORE_HUBS = 4, 8
 _NULL_ID = -(1 << 63)
@@ -130,24 +134,15 @@ def _prefixes(width: int):
     return find
 
 
-def _whole_sets(width: int, listed):
-    """Set id, size, tokens and signs of the sets that speak: those listed, or with a ``set_id`` column the rows whose set it is."""
+def _whole_sets(width: int):
+    """Set id, size, tokens and signs of the sets of rows whose ``set_id`` is that of their text."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, speakers = listed.value if listed else (None, None)
         for batch in batches:
-            docs = batch.column("doc").to_numpy()
-            wanted = None if listed else batch.column("set_id").to_numpy()
+            wanted = batch.column("set_id").to_numpy()
             found: dict[int, np.ndarray] = {}
             for row, tokens in _rows_of(batch, width):
-                if not len(tokens):
-                    continue
-                of = set_id(tokens)
-                if listed:
-                    at = int(np.searchsorted(ids, of))
-                    if at < len(ids) and ids[at] == of and speakers[at] == docs[row]:
-                        found[of] = tokens
-                elif of == wanted[row]:
+                if len(tokens) and (of := set_id(tokens)) == wanted[row]:
                     found[of] = tokens
             if found:
                 arrays = [pa.array(list(found), pa.int64()), pa.array([len(t) for t in found.values()], pa.int64())]
@@ -187,13 +182,8 @@ def similar_candidates(docs: DataFrame, items: DataFrame, width: int) -> DataFra
         "speakers",
     )
     schema = ", ".join(["set_id bigint, size bigint, tokens array<bigint>", *[f"{c} bigint" for c in SIGNS]])
-    if speakers.count() <= LISTED:
-        ids = speakers.toArrow()
-        order = np.argsort(ids.column("set_id").to_numpy())
-        listed = docs.sparkSession.sparkContext.broadcast((ids.column("set_id").to_numpy()[order], ids.column("doc").to_numpy()[order]))
-        return stage(docs.mapInArrow(_whole_sets(width, listed), schema), "sets")
-    spoken = docs.join(speakers, "doc").select("doc", "text", "set_id")
-    return stage(spoken.mapInArrow(_whole_sets(width, None), schema), "sets")
+    spoken = docs.join(speakers, "doc").select("text", "set_id")
+    return stage(spoken.mapInArrow(_whole_sets(width), schema), "sets")
 
 
 def size_boundary(rare: DataFrame) -> int:
@@ -226,11 +216,12 @@ def size_boundary(rare: DataFrame) -> int:
 
 
 def buckets(sets: DataFrame) -> DataFrame:
-    """Rows (bucket, set_id, size, scans, holders) and signs: linked sets of which one scans, or neither in a pair bucket, meet in one.
+    """Rows (bucket, set_id, size, scans, side, holders) and signs: linked sets meet in one bucket at least.
 
     Shingles are ordered by how many sets hold them, the rarest first, ties by hash. Linked sets share one
     of their first size - least_overlap + 1 shingles and two of one more than that. Small sets meet by
-    pairs of the latter; large sets look up the lists of the former, in which small ones of nearly their size are, too.
+    pairs of the latter; large sets look up the lists of the former, in which small ones of nearly their size are, too. In a list one
+    set of a pair scans, in the bucket of a pair of shingles ``scans`` is null. Crowded buckets are split, see ``_split``.
     """
     tokens = sets.select("set_id", "size", F.explode("tokens").alias("token"))
     held = tokens.groupBy("token").agg(F.count("*").alias("holders")).filter("holders > 1")
@@ -243,33 +234,62 @@ def buckets(sets: DataFrame) -> DataFrame:
     boundary = size_boundary(rare)
     first = rare.filter(F.col("nth") <= F.col("size") - _sql_least() + 1)
     lists = first.filter(4 * F.col("size") >= 3 * (boundary + 1)).select(
-        F.xxhash64("token").alias("bucket"), "set_id", "size", (F.col("size") > boundary).alias("scans")
+        F.xxhash64("token").alias("bucket"), "set_id", "size", "nth", (F.col("size") > boundary).alias("scans")
     )
     small = rare.filter(F.col("size") <= boundary)
     # both shingles of a pair are in the set's list, which is as long as a small set at most
-    listed = small.groupBy("set_id", "size").agg(F.sort_array(F.collect_list("token")).alias("own"))
+    listed = small.groupBy("set_id", "size").agg(F.sort_array(F.collect_list(F.struct("token", "nth"))).alias("own"))
+    both = lambda x, y: F.struct(F.xxhash64(x["token"], y["token"], F.lit(2)).alias("bucket"), (F.greatest(x["nth"], y["nth"]) - 1).alias("nth"))
     pairs = listed.select(
         "set_id",
         "size",
-        F.explode(
-            F.flatten(F.transform("own", lambda x, i: F.transform(F.slice("own", i + 2, F.size("own")), lambda y: F.xxhash64(x, y, F.lit(2)))))
-        ).alias("bucket"),
-    ).select("bucket", "set_id", "size", F.lit(None).cast("boolean").alias("scans"))
-    rows = lists.union(pairs)
-    sizes = rows.groupBy("bucket").agg(F.count("*").alias("holders"), F.max(F.coalesce("scans", F.lit(True))).alias("any"))
-    rows = rows.join(sizes.filter("holders > 1 and any").drop("any"), "bucket")
-    return stage(rows.join(sets.select("set_id", *SIGNS), "set_id"), "buckets")
+        F.explode(F.flatten(F.transform("own", lambda x, i: F.transform(F.slice("own", i + 2, F.size("own")), lambda y: both(x, y))))).alias("p"),
+    ).select("p.bucket", "set_id", "size", "p.nth", F.lit(None).cast("boolean").alias("scans"))
+    rows = lists.union(pairs).withColumn("side", F.lit(None).cast("int"))
+    rows = stage(_shared(rows), "shared")
+    crowded = F.col("holders") > CROWD
+    split = _shared(_split(rows.filter(crowded).drop("holders")))
+    every = rows.filter(~crowded).unionByName(split).drop("nth")
+    return stage(every.join(sets.select("set_id", *SIGNS), "set_id"), "buckets")
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """The rows of buckets in which a pair can meet, with the number of their sets as ``holders``."""
+    sizes = rows.groupBy("bucket").agg(
+        F.count("*").alias("holders"), F.max(F.coalesce("scans", F.lit(True))).alias("any"), F.min("side").alias("low"), F.max("side").alias("high")
+    )
+    alive = sizes.filter((F.col("holders") > 1) & F.col("any") & (F.col("low").isNull() | (F.col("low") != F.col("high"))))
+    return rows.join(alive.select("bucket", "holders"), "bucket")
+
+
+def _split(rows: DataFrame) -> DataFrame:
+    """Crowded buckets by the size classes of the two sets of a pair: ``side`` 0 and 1 hold the smaller and the larger sets, null both.
+
+    Sets of sizes a and b link when they share 3/7 (a + b) shingles at least, mostly more than 75 percent of either. So with
+    the other's class known the prefix in which they must meet is shorter, and where sets share a passage but not enough, the shingles of their own, which
+    come first, fill it: such sets meet nowhere, however many they are.
+    """
+    step = math.log(CLASS_RATIO)
+    own = F.floor(F.log("size") / step).cast("int")
+    other = F.explode(F.sequence(own - CLASSES, own + CLASSES))
+    rows = rows.withColumn("own", own).withColumn("other", other)
+    # a bound from below of the sizes in that class, whatever way logarithms round
+    low = F.greatest(F.ceil(F.pow(F.lit(CLASS_RATIO), F.col("other"))) - 1, F.lit(1))
+    needed = F.floor((3 * (F.col("size") + low) + 6) / 7)
+    rows = rows.filter(F.col("nth") <= F.col("size") - needed + 1)
+    side = F.when(F.col("own") < F.col("other"), 0).when(F.col("own") > F.col("other"), 1)
+    key = F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other"))
+    return rows.select(key.alias("bucket"), "set_id", "size", "nth", "scans", side.cast("int").alias("side"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets are similar: 100 times what both hold is at least 75 times what either holds.
 
-    Only the sets of the pairs move: their ids are counted first, and up to ``LISTED`` of them pick the sets out
-    where these lie.
+    Only the sets of the pairs meet them.
     """
     pairs = stage(pairs, "pairs")
     ids = stage(pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct(), "ids")
-    sets = sets.join(F.broadcast(ids) if ids.count() <= LISTED else ids, "set_id", "left_semi")
+    sets = sets.join(ids, "set_id", "left_semi")
     left = sets.select(F.col("set_id").alias("a"), F.col("size").alias("size_a"), F.col("tokens").alias("tokens_a"))
     right = sets.select(F.col("set_id").alias("b"), F.col("size").alias("size_b"), F.col("tokens").alias("tokens_b"))
     both = F.size(F.array_intersect("tokens_a", "tokens_b"))
@@ -303,7 +323,7 @@ def link_sets(sets: DataFrame) -> DataFrame:
             open_ones = now.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y")
             now = now.join(open_ones.select("bucket"), "bucket")
         hubs = now.filter((F.col("place") >= low) & (F.col("place") < high)).select(
-            "bucket", *[F.col(c).alias("hub_" + c) for c in ("set_id", "size", "scans", "draw", "label", *SIGNS)]
+            "bucket", *[F.col(c).alias("hub_" + c) for c in ("set_id", "size", "scans", "side", "draw", "label", *SIGNS)]
         )
         meet = now.filter(F.col("place") >= low).join(hubs, "bucket").filter(
             (F.struct("hub_draw", "hub_set_id") < F.struct("draw", "set_id")) & (F.col("hub_label") != F.col("label")) & _may_link()
@@ -317,14 +337,15 @@ def link_sets(sets: DataFrame) -> DataFrame:
 
 
 def _may_link() -> Column:
-    """A set and a hub of like size and signs, of which one scans unless they met by a pair of shingles.
+    """A set and a hub of like size and signs, on two sides of a bucket that has two, and of which one scans unless they met by a pair of shingles.
 
     Sets link when no more than a seventh of their sizes' sum are shingles that only one holds, which is the same bound as
     75 percent of the union; their signs cannot differ more.
     """
     alike = 4 * F.least("size", "hub_size") >= 3 * F.greatest("size", "hub_size")
     apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"hub_{c}"))) for c in SIGNS), F.lit(0))
-    return alike & (7 * apart <= F.col("size") + F.col("hub_size")) & F.coalesce(F.col("scans") | F.col("hub_scans"), F.lit(True))
+    across = F.coalesce(F.col("side") != F.col("hub_side"), F.lit(True))
+    return alike & across & (7 * apart <= F.col("size") + F.col("hub_size")) & F.coalesce(F.col("scans") | F.col("hub_scans"), F.lit(True))
 
 
 def _ordered() -> list[Column]:
@@ -336,9 +357,9 @@ def _first_pairs(rows: DataFrame) -> DataFrame:
 
     A set is the more central the more sets share its buckets, for its size.
     """
-    names = ("set_id", "size", "scans", *SIGNS)
+    names = ("set_id", "size", "scans", "side", *SIGNS)
     own = rows.groupBy("set_id").agg(
-        F.max(F.struct("holders", "bucket"))["bucket"].alias("fullest"), (F.sum("holders") / F.first("size")).alias("central")
+        F.max(F.struct(F.col("side").isNull(), "holders", "bucket"))["bucket"].alias("fullest"), (F.sum("holders") / F.first("size")).alias("central")
     )
     rows = rows.join(own, "set_id")
     hubs = rows.groupBy("bucket").agg(F.max_by(F.struct(*names), F.struct("central", "set_id")).alias("hub"))
