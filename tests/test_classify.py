@@ -243,3 +243,39 @@ def test_split_is_stable_and_disjoint(spark):
     assert evaluate.training_rows(parts).join(evaluate.held_out_rows(parts), "doc_id").count() == 0
     assert 0.3 < evaluate.held_out_rows(parts).count() / 3000 < 0.37
     assert parts.filter(F.col("part").between(1, 3)).count() == 3000
+
+
+def plain_objective(x, y, w, l2):
+    t = x @ w
+    return np.mean(np.logaddexp(0, t) - y * t) + l2 / 2 * w @ w, x.T @ (sigma(t) - y) / len(y) + l2 * w
+
+
+def test_lbfgs_reaches_the_optimum(table, data):
+    fit = classify.fit_lbfgs(table, f=P, l2=0.01)
+    _, gradient = plain_objective(*data, fit.weights, 0.01)
+    assert np.abs(gradient).max() < 1e-7 and len(fit.trace) < 40
+    costs = [t[1] for t in fit.trace]
+    assert costs == sorted(costs, reverse=True)
+    np.testing.assert_allclose(costs[-1], plain_objective(*data, fit.weights, 0.01)[0], rtol=1e-12)
+
+
+def test_lbfgs_ends_where_the_packaged_one_does(spark, table, data):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import Vectors
+
+    x, y = data
+    rows = spark.createDataFrame([(Vectors.dense(a), float(b)) for a, b in zip(x.tolist(), y.tolist())], ["features", "label"])
+    packaged = LogisticRegression(regParam=0.01, fitIntercept=False, standardization=False, tol=1e-10, maxIter=200).fit(rows)
+    np.testing.assert_allclose(classify.fit_lbfgs(table, f=P, l2=0.01).weights, packaged.coefficients.toArray(), atol=1e-5)
+
+
+def test_lbfgs_takes_one_job_a_step(table, monkeypatch):
+    seen, sums = [], classify._sums
+    monkeypatch.setattr(classify, "_sums", lambda *a: seen.append(1) or sums(*a))
+    fit = classify.fit_lbfgs(table, f=P, l2=0.01)
+    assert len(fit.trace) < len(seen) <= len(fit.trace) + 4
+
+
+def test_lbfgs_without_rows(table):
+    fit = classify.fit_lbfgs(table.limit(0), f=P)
+    assert not fit.trace and not fit.weights.any()

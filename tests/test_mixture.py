@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import text as T
 from tidemark.operators import mixture
 from tidemark.operators.words import dictionary, words_of
+from tidemark.functions.draws import log_gamma
 from tidemark.plans.clusters import cluster_documents
 
 K = 3
@@ -145,3 +146,24 @@ def test_purity(spark):
         ("2", 4, 1, "x", 4, 1.0), ("5", 2, 1, "q", 2, 1.0),
         ("7", 10, 1, "x", 5, 0.5), ("7", 10, 2, "y", 3, 0.3), ("7", 10, 3, "w", 1, 0.1),
     ]
+
+
+@pytest.mark.parametrize("shape", [0.1, 0.9, 1.0, 7.5, 4000.0])
+def test_gamma_draws(spark, shape):
+    """Mean, spread and repeatability of draws by key."""
+    draw = log_gamma(F.lit(shape), F.col("id"), F.lit("x"), seed=3).alias("g")
+    rows = spark.range(20000).select("id", draw)
+    g = np.exp([r.g for r in rows.orderBy("id").collect()])
+    np.testing.assert_allclose(g.mean(), shape, rtol=5 / (20000 * shape) ** 0.5)
+    np.testing.assert_allclose(g.var(), shape, rtol=0.2 if shape < 0.5 else 0.08)
+    again = spark.range(20000).repartition(7).select("id", draw)
+    assert rows.exceptAll(again).count() == 0
+
+
+def test_fitted_state_is_a_table(spark):
+    counts = spark.createDataFrame([(0, 1, 50.0), (1, -1, 9.0)], "cluster INT, pos INT, cnt DOUBLE")
+    table = mixture.drawn_state(spark, counts, 3, 2, 0.1, 0.1, 4, 7)
+    assert table.count() == 2 * 4 and table.filter("drawn IS NULL").count() == 0
+    log_mu, log_pi, docs = mixture._state(table.toArrow(), 3, 2)
+    mixture.check_probabilities(log_mu, log_pi)
+    assert docs.tolist() == [0.0, 9.0] and np.exp(log_mu[0, 1]) > 0.8 and np.exp(log_pi[1]) > 0.8

@@ -562,8 +562,47 @@ ORACLE["fitted_words"] = _validated(OWN_IDS, FITTED_WORDS, refit=True)
 ORACLE["repeated_ids_report"] = _validated(
     "CASE WHEN doc_id % 3 = 0 THEN 'EN' ELSE upper(lang) || doc_id END", FOLDED_GRID
 )
-ORACLE["lbfgs_optimum"] = """
-SELECT count(*) AS n, sum(quality)::BIGINT AS positives, true AS optimal FROM labels"""
+
+
+def _optimum(marks: str) -> tuple[str, ...]:
+    """Weights at the optimum of mean logistic loss + 0.005 |w|^2 on tf, by descent with momentum until nothing moves.
+
+    Rows of tf add up to 1, so the curvature lies between 0.01 and 0.26, and each step leaves less than four fifths of the way.
+    """
+    return (
+        *TF_FEATS,
+        marks,
+        "led AS MATERIALIZED (SELECT doc_id, pos, x, label FROM feats JOIN marks USING (doc_id))",
+        "sizes AS MATERIALIZED (SELECT count(DISTINCT doc_id)::DOUBLE AS n FROM led)",
+        "known AS MATERIALIZED (SELECT DISTINCT pos FROM led)",
+        """steps AS (
+  SELECT 0 AS i, pos, 0::DOUBLE AS w, 0::DOUBLE AS moved FROM known
+  UNION ALL
+  SELECT i + 1, pos, w + move, move FROM (
+    SELECT s.i, s.pos, s.w, 0.6 * s.moved - 8 * (g / n + 0.01 * s.w) AS move
+    FROM steps s JOIN (
+      SELECT pos, sum(x * slope) AS g FROM led JOIN (
+        SELECT doc_id, 1 / (1 + exp(-sum(x * w))) - any_value(label) AS slope FROM led JOIN steps USING (pos) GROUP BY doc_id) USING (doc_id)
+      GROUP BY pos) USING (pos), sizes WHERE s.i < 100))""",
+        "best AS MATERIALIZED (SELECT pos, w FROM steps WHERE i = 100)",
+    )
+
+
+ORACLE["lbfgs_optimum"] = _with_recursive(
+    *_optimum(LABELS),
+    "every AS MATERIALIZED (SELECT word, pos, round(coalesce(w, 0), 4) AS weight FROM vocab LEFT JOIN best USING (pos))",
+) + """
+(SELECT * FROM every ORDER BY weight DESC, pos LIMIT 50) UNION ALL (SELECT * FROM every ORDER BY weight, pos LIMIT 50)"""
+PARTS = f"parts AS (SELECT doc_id, quality AS label, floor({_uniform('doc_id', '7')} * 3) + 1 AS part FROM labels)"
+ORACLE["lbfgs_held_out"] = _with_recursive(
+    PARTS,
+    *_optimum("marks AS (SELECT doc_id, label FROM parts WHERE part < 3)"),
+    "scored AS (SELECT doc_id, label, CASE WHEN sum(x * coalesce(w, 0)) < 0 THEN 0 ELSE 1 END AS prediction"
+    " FROM feats JOIN parts USING (doc_id) LEFT JOIN best USING (pos) WHERE part = 3 GROUP BY ALL)",
+    *CLASSES,
+) + """
+SELECT label::BIGINT AS label, round(precision, 12) AS precision, round(recall, 12) AS recall,
+       round(f1, 12) AS f1, support FROM report"""
 
 # Naive Bayes
 
@@ -669,6 +708,73 @@ ORACLE["gibbs_step"] = _with(
 ) + """
 SELECT drawn AS cluster, pos, sum(CASE WHEN pos = -1 THEN 1 ELSE x END) AS cnt
 FROM marked JOIN drawn USING (doc_id) GROUP BY ALL"""
+
+
+def _hex(digest: str, first: int, digits: int) -> str:
+    return f"(('0x' || substr({digest}, {first}, {digits}))::BIGINT::DOUBLE + 0.5) / {16**digits}::DOUBLE"
+
+
+def _drawn(name: str, counts: str, step: int) -> tuple[str, ...]:
+    """ln shares of gamma draws by cluster and position, positions -1 for the clusters' own shares."""
+    key = f"cluster || ':' || pos || ':{step}:'"
+    tries = ", ".join(f"md5({key} || '{n}:7') AS h{n}" for n in range(5))
+    normals = ", ".join(f"sqrt(-2 * ln({_hex(f'h{n}', 1, 13)})) * cos(6.283185307179586 * ({_hex(f'h{n}', 14, 13)})) AS x{n}" for n in range(5))
+    cubes = ", ".join(f"(1 + x{n} / sqrt(9 * d)) * (1 + x{n} / sqrt(9 * d)) * (1 + x{n} / sqrt(9 * d)) AS v{n}" for n in range(5))
+    taken = " ".join(f"WHEN v{n} > 0 AND ln({_hex(f'h{n}', 27, 6)}) < x{n} * x{n} / 2 + d - d * v{n} + d * ln(v{n}) THEN ln(v{n})" for n in range(5))
+    shape = "coalesce(cnt, 0) + 0.1::DOUBLE"
+    return (
+        f"{name}_shapes AS MATERIALIZED (SELECT cluster, pos, {shape} AS a, CASE WHEN {shape} < 1 THEN {shape} + 1 ELSE {shape} END - 1.0::DOUBLE / 3 AS d,"
+        f" md5({key} || '5:7') AS last, {tries} FROM cells LEFT JOIN {counts} USING (cluster, pos))",
+        f"{name}_normals AS MATERIALIZED (SELECT *, {normals} FROM {name}_shapes)",
+        f"{name}_cubes AS MATERIALIZED (SELECT *, {cubes} FROM {name}_normals)",
+        f"{name}_logs AS MATERIALIZED (SELECT cluster, pos, ln(d) + CASE {taken} ELSE 0 END"
+        f" + CASE WHEN a < 1 THEN ln({_hex('last', 1, 13)}) / a ELSE 0 END AS g FROM {name}_cubes)",
+        f"{name} AS MATERIALIZED (SELECT cluster, pos, greatest(g - m - ln(sum(exp(g - m)) OVER w), ln(1e-300::DOUBLE)) AS w FROM"
+        f" (SELECT *, max(g) OVER (PARTITION BY pos < 0, CASE WHEN pos < 0 THEN 0 ELSE cluster END) AS m FROM {name}_logs)"
+        " WINDOW w AS (PARTITION BY pos < 0, CASE WHEN pos < 0 THEN 0 ELSE cluster END))",
+    )
+
+
+def _sweep(n: int) -> tuple[str, ...]:
+    """Labels and counts of sweep n from the shares state{n}, and the next shares."""
+    return (
+        f"scores{n} AS (SELECT t.doc_id, p.cluster, p.w + coalesce(s, 0) AS s FROM lines t CROSS JOIN (SELECT cluster, w FROM state{n} WHERE pos < 0) p"
+        f" LEFT JOIN (SELECT doc_id, cluster, sum(cnt * w) AS s FROM counts JOIN state{n} USING (pos) GROUP BY ALL) q"
+        " ON q.doc_id = t.doc_id AND q.cluster = p.cluster)",
+        f"shares{n} AS (SELECT doc_id, cluster, e / sum(e) OVER (PARTITION BY doc_id) AS p FROM"
+        f" (SELECT doc_id, cluster, exp(s - max(s) OVER (PARTITION BY doc_id)) AS e FROM scores{n}))",
+        f"labels{n} AS MATERIALIZED (SELECT doc_id, count(*) FILTER (cluster < 5 AND c <= {_uniform('doc_id', f'{n}:7')}) AS cluster"
+        f" FROM (SELECT doc_id, cluster, sum(p) OVER (PARTITION BY doc_id ORDER BY cluster) AS c FROM shares{n}) GROUP BY doc_id)",
+        f"counts{n} AS MATERIALIZED (SELECT cluster, pos, sum(cnt)::DOUBLE AS cnt FROM counts JOIN labels{n} USING (doc_id) GROUP BY ALL"
+        f" UNION ALL SELECT cluster, -1, count(*) FROM labels{n} GROUP BY cluster)",
+        *_drawn(f"state{n + 1}", f"counts{n}", n + 1),
+    )
+
+
+ORACLE["fitted_clusters"] = _with(
+    LINES,
+    BODY,
+    CORPUS_WORDS,
+    CORPUS_VOCAB,
+    COUNTED_WORDS,
+    "counts AS MATERIALIZED (SELECT doc_id, pos, count(*) AS cnt FROM counted_words JOIN vocab USING (word) GROUP BY ALL)",
+    "cells AS MATERIALIZED (SELECT j AS cluster, pos FROM unnest(range(6)) AS t(j), (SELECT pos FROM vocab UNION ALL SELECT -1))",
+    "nothing AS (SELECT 0 AS cluster, 0 AS pos, 0::DOUBLE AS cnt WHERE false)",
+    *_drawn("state0", "nothing", 0),
+    *_sweep(0),
+    *_sweep(1),
+    *_sweep(2),
+) + """
+SELECT 'size' AS kind, j::BIGINT AS cluster, s::BIGINT AS place, '' AS name, coalesce(n, 0)::DOUBLE AS value
+FROM unnest(range(6)) AS a(j) CROSS JOIN unnest(range(3)) AS b(s) LEFT JOIN (
+  SELECT 0 AS s, cluster AS j, cnt AS n FROM counts0 WHERE pos < 0 UNION ALL SELECT 1, cluster, cnt FROM counts1 WHERE pos < 0
+  UNION ALL SELECT 2, cluster, cnt FROM counts2 WHERE pos < 0) USING (j, s)
+UNION ALL
+SELECT 'word', cluster, place, word, value FROM (
+  SELECT cluster::BIGINT AS cluster, row_number() OVER (PARTITION BY cluster ORDER BY w DESC, pos) AS place, word, round(w, 6) AS value
+  FROM state3 JOIN vocab USING (pos) WHERE pos >= 0) WHERE place <= 100
+UNION ALL
+SELECT 'label', cluster, 0, doc_id::VARCHAR, 0 FROM labels2"""
 ORACLE["cluster_files"] = _with(CLUSTERS) + (
     "SELECT cluster::VARCHAR AS cluster, count(*) AS n, true AS in_order FROM clusters GROUP BY 1"
 )

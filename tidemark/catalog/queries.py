@@ -692,12 +692,29 @@ def gibbs_step(spark, d):
     return longs(counts, "cluster", "pos")
 
 
+def _fitted_clusters(spark, docs, tokens, vocab_tokens, clusters, sweeps):
+    """Sizes after each sweep, the top words of each cluster, and the documents' last clusters, as kind, cluster, place, name, value."""
+    sizes, words, labels = cluster_plan.cluster_documents(docs, tokens, vocab_tokens, clusters=clusters, sweeps=sweeps)
+    none = F.lit("")
+    told = [
+        sizes.select(F.lit("size").alias("kind"), "cluster", F.col("sweep").alias("place"), none.alias("name"), F.col("n").cast("double").alias("value")),
+        words.select(F.lit("word"), "cluster", "rank", "word", F.round("weight", 6)),
+        labels.select(F.lit("label"), "cluster", F.lit(0), F.col("doc_id").cast("string"), F.lit(0.0)),
+    ]
+    return longs(told[0].union(told[1]).union(told[2]), "cluster", "place")
+
+
+@query
+def fitted_clusters(spark, d):
+    """Three sweeps from the first draw; dictionary and counts come from two tokenizers."""
+    lines = I.tagged_lines(spark, d)
+    return _fitted_clusters(spark, lines, T.counted_tokens(F.col("value")), T.corpus_tokens(F.col("value")), CLUSTERS, 3)
+
+
 @query
 def gibbs_mixture(spark, d):
-    """Cluster sizes after each sweep."""
-    lines = I.documents(spark, d)
-    sizes, _, _ = cluster_plan.cluster_documents(lines, T.tokenize(F.col("text")), clusters=20, sweeps=200)
-    return longs(sizes, "sweep", "cluster", "n")
+    """Two hundred sweeps of twenty clusters."""
+    return _fitted_clusters(spark, I.documents(spark, d), T.tokenize(F.col("text")), None, 20, 200)
 
 
 def _clustered(spark, d):
@@ -786,18 +803,25 @@ def repeated_ids_report(spark, d):
 
 @query
 def lbfgs_optimum(spark, d):
-    """L-BFGS with an L2 term, where the optimum is unique: at it the gradient of the penalised mean loss vanishes."""
-    words = [r["word"] for r in _vocab(spark, d).orderBy("pos").select("word").toLocalIterator()]
-    docs = classify.with_labels(I.documents(spark, d), I.labels(spark, d))
-    rows = docs.select(F.col("label").cast("double").alias("label"), T.tokenize(F.col("text")).alias("tokens"))
-    data = vectors.vectorizer(words).transform(rows).select("label", "features").persist()
-    try:
-        model = vectors.fit_lbfgs(data, 500, l2=0.01)
-        steepest = vectors.logistic_gradient(data, model, 0.01)
-        told = data.agg(F.count(F.lit(1)).alias("n"), F.sum("label").cast("bigint").alias("positives")).first()
-    finally:
-        data.unpersist()
-    return spark.createDataFrame([(*told, steepest < 1e-5)], "n BIGINT, positives BIGINT, optimal BOOLEAN")
+    """L-BFGS with an L2 term, where the optimum is unique: its heaviest words on either side."""
+    fit = _fitted(spark, d, lambda data: classify.fit_lbfgs(data))
+    weights = fit.weights_frame(spark).withColumn("weight", F.round("weight", 4))
+    rows = weights.join(_vocab(spark, d), "pos").select("word", "pos", "weight")
+    heavy = rows.orderBy(F.col("weight").desc(), "pos").limit(50)
+    light = rows.orderBy("weight", "pos").limit(50)
+    return longs(heavy.unionByName(light), "pos")
+
+
+@query
+def lbfgs_held_out(spark, d):
+    """L-BFGS with an L2 term on parts 1 and 2 of the labelled documents, reported on part 3."""
+    marks = evaluate.split_rows(I.labels(spark, d))
+    x = cut(feat.features(_counts(spark, d), _n_docs(spark, d), "tf"))
+    with classify.training_table(classify.with_labels(x, evaluate.training_rows(marks))) as data:
+        fit = classify.fit_lbfgs(data)
+    told = linear_scores(classify.with_labels(x, evaluate.held_out_rows(marks)).drop("label"), fit.weights_frame(spark))
+    told = classify.with_labels(told, marks).select("label", "prediction")
+    return rounded(longs(evaluate.class_report(told), "label"), 12, "precision", "recall", "f1")
 
 
 # Reviews

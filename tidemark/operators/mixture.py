@@ -1,9 +1,9 @@
 """Mixture of multinomials by Gibbs sampling.
 
-State between sweeps is the ln word probabilities (k x f) and ln class shares (k)
-on the driver; documents and labels stay on the executors. A sweep is one job over cached
-documents, one row each: tasks draw the labels of their documents in numpy and send the counts by cluster and position,
-which are summed. The column functions do the same for frames of any layout.
+State between sweeps is the ln word probabilities (k x f) and ln class shares (k). A sweep is one job over cached
+documents, one row each: tasks draw the labels of their documents in numpy and send the counts by cluster and position, which
+are summed; the next probabilities are drawn from them by column expressions, and k x f numbers reach the driver.
+All draws depend on their keys and the seed alone. The column functions do the same for frames of any layout.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.draws import log_gamma
 from tidemark.functions.numeric import uniform
 from tidemark.operators.scoring import dot_products
 from tidemark.operators.words import DICTIONARY_SIZE, count_by, known_words
@@ -193,9 +194,38 @@ def log_mu_frame(spark: SparkSession, log_mu: np.ndarray) -> DataFrame:
     return spark.createDataFrame(pa.table({"pos": np.arange(f, dtype="int32"), "w": values}))
 
 
-def _log_dirichlet(rng: np.random.Generator, weights: np.ndarray) -> np.ndarray:
-    draws = rng.gamma(weights)
-    return np.log(np.maximum(draws / draws.sum(axis=-1, keepdims=True), FLOOR))
+def drawn_state(spark: SparkSession, counts: DataFrame | None, f: int, k: int, alpha: float, beta: float, step: int, seed: int) -> DataFrame:
+    """``cluster, pos, cnt, drawn``: ln of a gamma draw for each word and, at NO_WORD, for the share of each cluster.
+
+    The draws are of shape beta + count and alpha + documents, from the ``counts`` of a sweep (without them all are 0), and
+    fixed by cluster, position, step and seed.
+    """
+    cell = F.col("id")
+    grid = spark.range(k * (f + 1)).select(
+        F.floor(cell / (f + 1)).cast("int").alias("cluster"), (cell % (f + 1) - 1).cast("int").alias("pos")
+    )
+    if counts is None:
+        grid = grid.withColumn("cnt", F.lit(0.0))
+    else:
+        grid = grid.join(counts, ["cluster", "pos"], "left").withColumn("cnt", F.coalesce("cnt", F.lit(0.0)))
+    shape = F.col("cnt") + F.when(F.col("pos") == NO_WORD, float(alpha)).otherwise(float(beta))
+    return grid.withColumn("drawn", log_gamma(shape, F.col("cluster"), F.col("pos"), F.lit(step), seed=seed))
+
+
+def _log_shares(drawn: np.ndarray) -> np.ndarray:
+    """ln of the shares of draws given by their ln, along the last axis; none is below FLOOR."""
+    top = drawn.max(axis=-1, keepdims=True)
+    total = top + np.log(np.exp(drawn - top).sum(axis=-1, keepdims=True))
+    return np.maximum(drawn - total, np.log(FLOOR))
+
+
+def _state(table: pa.Table, f: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """ln word probabilities, ln class shares and documents per cluster."""
+    cluster, pos, cnt, drawn = (table[c].to_numpy() for c in ("cluster", "pos", "cnt", "drawn"))
+    grid, docs = np.empty((k, f + 1)), np.zeros(k)
+    grid[cluster, pos + 1] = drawn
+    docs[cluster[pos == NO_WORD]] = cnt[pos == NO_WORD]
+    return _log_shares(grid[:, 1:]), _log_shares(grid[:, 0]), docs
 
 
 @dataclass
@@ -220,29 +250,22 @@ def fit_mixture(
 ) -> tuple[Mixture, DataFrame]:
     """Run the sweeps over a ``sweep_table``; returns the state and the last labels (lazy).
 
-    ``f`` is the number of dictionary words. The driver holds k x f numbers and
-    draws from seeded generators; labels depend on document, sweep and seed only.
-    With ``resample_pi`` off the class shares keep their first draw.
+    ``f`` is the number of dictionary words. The driver holds k x f numbers, and every draw depends on its keys and
+    the seed only. With ``resample_pi`` off the class shares keep their first draw.
     """
-    rng = np.random.default_rng(seed)
-    log_pi = _log_dirichlet(rng, np.full(k, alpha))
-    log_mu = _log_dirichlet(rng, np.full((k, f), beta))
+    spark = data.sparkSession
+    log_mu, log_pi, _ = _state(drawn_state(spark, None, f, k, alpha, beta, 0, seed).toArrow(), f, k)
     labels, sizes = None, []
     for sweep in range(sweeps):
         if check:
             check_probabilities(log_mu, log_pi)
         if sweep + 1 == sweeps:
             labels = sweep_labels(data, log_mu, log_pi, sweep, seed)
-        table = sweep_counts(data, log_mu, log_pi, sweep, seed).toArrow()
-        cluster, pos, n = (table[c].to_numpy() for c in ("cluster", "pos", "cnt"))
-        counts, docs = np.zeros((k, f)), np.zeros(k)
-        known = pos != NO_WORD
-        counts[cluster[known], pos[known]] = n[known]
-        docs[cluster[~known]] = n[~known]
+        counts = sweep_counts(data, log_mu, log_pi, sweep, seed)
+        log_mu, drawn_pi, docs = _state(drawn_state(spark, counts, f, k, alpha, beta, sweep + 1, seed).toArrow(), f, k)
         sizes.append(docs)
-        log_mu = _log_dirichlet(rng, beta + counts)
         if resample_pi:
-            log_pi = _log_dirichlet(rng, alpha + docs)
+            log_pi = drawn_pi
     return Mixture(log_mu, log_pi, sizes), labels
 
 
