@@ -85,7 +85,7 @@ def boilerplate_rows(spark, n, own):
     texts = [" ".join(f"{k}u{i}" for i in range(own)) + " " + passage for k in range(n)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc long, text string")
     kinds = "doc bigint, doc_id bigint, text_key bigint, n_shingles bigint, set_id bigint"
-    rows = docs.select("doc", F.col("doc").alias("doc_id"), F.lit(0).cast("long").alias("text_key"), "text")
+    rows = docs.select("doc", F.col("doc").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
     items = rows.mapInArrow(ngram_join._items(5), kinds)
     sets = ngram_join.similar_candidates(docs, items, 5)
     return ngram_join.buckets(sets).count(), sets.count()

@@ -8,6 +8,8 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -349,3 +351,45 @@ def test_gradient():
     assert loss() < start
 
 
+
+
+def test_salts_give_buckets_of_their_own():
+    """A word and its heads of the same bytes, and n-grams of host and path, share hardly a bucket."""
+    words = " ".join(f"w{i}"[:4] for i in range(300)).encode()
+    ids, _ = toxicity.word_ids(np.frombuffer(words, np.uint8), np.array([0, len(words)]), 18)
+    for a, b in ((0, 1), (0, 2), (1, 2)):
+        assert (ids[:, a] == ids[:, b]).mean() < 0.05
+    column = pa.array([f"/casino/{i}" for i in range(300)])
+    host, path = (url_filter.grams(column, salt, 16, (3, 4, 5))[0] for salt in (1, 2))
+    assert (host == path).mean() < 0.01
+
+
+def test_toxic_sample_goes_on_after_a_long_text(spark):
+    """A text that takes most of the room comes last; a key with many rows counts once; null keys have a fold."""
+    texts = [(i, "word " * 20, "en") for i in range(60)] + [(3, "x" * 2900, "en")] + [(4, f"other {i}", "en") for i in range(50)] + [(None, "n", "en")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    learned = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows_, share = toxicity.sample(docs, labels, toxicity.Settings(sample_bytes=3000))
+    sizes = [len(r.text) for r in rows_.collect()]
+    assert len(sizes) >= 28 and sum(sizes) <= 3000 and share == sum(i % 2 for i in learned) / len(learned)
+    everything, _ = toxicity.sample(docs, labels, toxicity.Settings())
+    assert everything.count() == len(learned)
+    assert docs.filter("doc_id is null").select(toxicity.held_out().alias("h")).first().h is False
+
+
+@pytest.mark.parametrize("folder,least", [("sf0.1", 0.94)])
+def test_held_out_toxicity(folder, least):
+    """Area under the curve on the held-out fold of the given labels."""
+    tables = [pq.read_table(f"/root/testdata/{folder}/{name}.parquet").to_pandas() for name in ("documents", "labels")]
+    told = tables[0].merge(tables[1], on="doc_id")
+    told["text"] = told["text"].fillna("")
+    texts = [np.frombuffer(t.encode(), np.uint8) for t in told["text"]]
+    ids = [toxicity.word_ids(t, np.array([0, len(t)]), 18)[0] for t in texts]
+    out = np.array([zlib.crc32(str(d).encode()) % 3 == 1 for d in told["doc_id"]])
+    y = told["toxic"].to_numpy()
+    learn, ask = np.flatnonzero(~out), np.flatnonzero(out)
+    net = toxicity.fit([ids[i] for i in learn], y[learn], [told["lang"][i] for i in learn], y[learn].mean(), toxicity.Settings())
+    score = np.array([net.score(ids[i], np.array([0, len(ids[i])]))[0] for i in ask])
+    toxic, clean = score[y[ask] > 0], score[y[ask] == 0]
+    assert (toxic[:, None] > clean).mean() + (toxic[:, None] == clean).mean() / 2 >= least

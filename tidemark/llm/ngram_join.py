@@ -178,11 +178,13 @@ def similar_candidates(docs: DataFrame, items: DataFrame, width: int) -> DataFra
         .join(shared, "doc")
         .filter(F.col("shared") >= slack)
         .groupBy("set_id")
-        .agg(F.min("doc").alias("doc")),
+        .agg(F.min(F.struct("doc", "text_key")).alias("one"))
+        .select("set_id", "one.doc", "one.text_key"),
         "speakers",
     )
     schema = ", ".join(["set_id bigint, size bigint, tokens array<bigint>", *[f"{c} bigint" for c in SIGNS]])
-    spoken = docs.join(speakers, "doc").select("text", "set_id")
+    # texts and ids meet in a shuffle at every size; the text's hash keeps rows of one id apart
+    spoken = docs.withColumn("text_key", F.xxhash64("text")).join(speakers.hint("merge"), ["doc", "text_key"]).select("text", "set_id")
     return stage(spoken.mapInArrow(_whole_sets(width), schema), "sets")
 
 

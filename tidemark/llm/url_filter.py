@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, Plain, Spans, byte_column, row_of
+from tidemark.llm.common import LOWER, Plain, Spans, byte_column, mix, row_of
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -75,7 +75,9 @@ def grams(column: pa.Array, salt: int, bits: int, lengths: Sequence[int]) -> tup
     for length in lengths:
         start = np.arange(len(marked))
         start = start[start + length <= ends[owner]] if n else start
-        buckets.append(((spans(start, start + length) + np.uint64(salt)) >> np.uint64(64 - bits)).astype(np.int64))
+        # mixed again, so that host and path have buckets of their own
+        salted = mix(spans(start, start + length) ^ np.uint64(salt * 0x9E3779B97F4A7C15 % (1 << 64)))
+        buckets.append((salted >> np.uint64(64 - bits)).astype(np.int64))
         of.append(owner[start])
     return np.concatenate(buckets), np.concatenate(of)
 
