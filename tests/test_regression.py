@@ -44,14 +44,14 @@ def collected(trace):
     return [tuple(r) for r in trace.orderBy("iteration").collect()]
 
 
-@pytest.mark.parametrize("method", ["moments", "passes"])
+@pytest.mark.parametrize("method", ["moments", "passes", "factors"])
 def test_line_trace(points, method):
     df, x, y = points
     got = collected(regression.descend_line(df, "a", "y", iterations=15, rate=0.01, method=method))
     np.testing.assert_allclose(got, plain_line(x[:, 0], y, 15, 0.01), rtol=1e-9)
 
 
-@pytest.mark.parametrize("method", ["moments", "passes"])
+@pytest.mark.parametrize("method", ["moments", "passes", "factors"])
 def test_plane_trace(points, method):
     df, x, y = points
     got = collected(regression.descend_plane(df, ["a", "b", "c"], "y", iterations=15, rate=0.05, method=method))
@@ -94,6 +94,18 @@ def test_large_raw_columns_stay_finite(spark):
     assert len(trace) == 100 and all(np.isfinite(r).all() for r in trace)
 
 
+def test_factors_keep_the_digits_of_the_rows(spark):
+    """Columns that differ in their ninth digit: moments lose it, factors do not. Any number of tasks gives the same."""
+    rng = np.random.default_rng(6)
+    x = 1e9 + rng.uniform(0, 1, 400)
+    rows = spark.createDataFrame([(float(a), float(a) + float(b)) for a, b in zip(x, rng.normal(0, 1e-3, 400))], "x DOUBLE, y DOUBLE")
+    exact = np.array([[1.0, a, b] for a, b in rows.collect()]) @ np.array([0.0, -1.0, 1.0])
+    for parts in (1, 7, 400):
+        means = regression._from_factors(rows.repartition(parts), ["x"], "y")
+        r, rr, xr = means(0.0, np.array([1.0]))
+        np.testing.assert_allclose([r, rr], [exact.mean(), (exact**2).mean()], rtol=1e-3, atol=1e-6)
+
+
 def test_unknown_method(points):
     with pytest.raises(ValueError):
         regression.descend_line(points[0], "a", "y", method="x")

@@ -161,6 +161,7 @@ RAW_TRIPS = (
     f" FROM trips WHERE {REGULAR})"
 )
 ORACLE["gd_line_raw"] = _raw_descent(f"{TRIPS},\n{RAW_LINE}", ["m"], 50, 1e-4, half=False)
+ORACLE["gd_multi_factors"] = ORACLE["gd_multi_passes"]
 ORACLE["gd_trip_raw"] = _raw_descent(f"{TRIPS},\n{RAW_TRIPS}", PLANE, 100, 1e-3, half=True)
 
 # Words and features
@@ -333,14 +334,26 @@ ORACLE["f1_weighted"] = _with(*SMOOTH, *SCORED, *CLASSES) + (
 ORACLE["class_report"] = _with(*SMOOTH, *SCORED, *CLASSES) + """
 SELECT label::BIGINT AS label, round(precision, 12) AS precision, round(recall, 12) AS recall,
        round(f1, 12) AS f1, support FROM report"""
-ORACLE["false_positives"] = _with(
-    *SMOOTH,
-    *SCORED,
-    "best AS (SELECT word, pos FROM fixed ORDER BY weight DESC, pos LIMIT 10)",
-    "wrong AS (SELECT doc_id FROM scored WHERE prediction = 1 AND label = 0 ORDER BY doc_id LIMIT 3)",
-) + """
-SELECT doc_id, word, pos, round(coalesce(x, 0), 10) AS x
-FROM wrong CROSS JOIN best LEFT JOIN feats USING (doc_id, pos)"""
+
+
+def _held(*parts: str) -> tuple[str, ...]:
+    """The parts, each worked out once."""
+    return tuple(p if " AS MATERIALIZED (" in p else p.replace(" AS (", " AS MATERIALIZED (", 1) for p in parts)
+
+
+def _first_wrong(weights: str, features: str, weight: str) -> tuple[str, ...]:
+    """The ten heaviest words, the first three false positives, and the features where both meet."""
+    return _held(
+        f"best AS (SELECT word, pos, {weight} AS weight FROM {weights} QUALIFY row_number() OVER (ORDER BY {weight} DESC, pos) <= 10)",
+        "wrong AS (SELECT doc_id FROM scored WHERE prediction = 1 AND label = 0 QUALIFY row_number() OVER (ORDER BY doc_id) <= 3)",
+        "asked AS (SELECT doc_id, word, pos FROM wrong, best)",
+        f"met AS (SELECT doc_id, pos, x FROM {features} WHERE doc_id IN (SELECT doc_id FROM wrong) AND pos IN (SELECT pos FROM best))",
+    )
+
+
+ORACLE["false_positives"] = _with(*_held(*SMOOTH, *SCORED), *_first_wrong("fixed", "feats", "weight")) + (
+    "SELECT doc_id, word, pos, round(coalesce(x, 0), 10) AS x FROM asked LEFT JOIN met USING (doc_id, pos)"
+)
 
 
 def _uniform(key: str, seed: str) -> str:
@@ -430,17 +443,17 @@ def _fit(
   UNION ALL
   SELECT i + 1, pos, new_w, {next_rate}, cost, cost, after, rate, {stop}
   FROM (
+    WITH margins AS MATERIALIZED (
+      SELECT doc_id, any_value(label) AS label, {theta} AS theta, any_value(share) AS share
+      FROM led JOIN steps USING (pos), sizes GROUP BY doc_id)
     SELECT *, sqrt({squared("new_w", " OVER ()")}) AS after, sqrt(sum((new_w - w) * (new_w - w)) OVER ()) AS moved
     FROM (
       SELECT s.i, s.pos, s.w, s.rate, s.last, ww, n, {cost} AS cost, {move} AS new_w
       FROM steps s LEFT JOIN (
         SELECT pos, {slope} AS g
-        FROM led JOIN (SELECT doc_id, {theta} AS theta, any_value(share) AS share
-                       FROM led JOIN steps USING (pos), sizes GROUP BY doc_id) USING (doc_id)
+        FROM led JOIN (SELECT doc_id, theta, share FROM margins) USING (doc_id)
         GROUP BY pos) USING (pos),
-      (SELECT {data_cost} AS data_cost FROM (
-         SELECT doc_id, any_value(label) AS label, {theta} AS theta, any_value(share) AS share
-         FROM led JOIN steps USING (pos), sizes GROUP BY doc_id)),
+      (SELECT {data_cost} AS data_cost FROM margins),
       (SELECT {squared("w")} AS ww FROM steps), sizes
       WHERE s.i < {steps - 1} AND NOT s.stop))
   WHERE NOT ({halt}))""",
@@ -535,11 +548,11 @@ def _validated(doc_id: str, result: str, kind: str = "logistic", refit: bool = F
             " WHERE part = 3 GROUP BY ALL)",
             "test_tf AS (SELECT doc_id, pos, cnt / sum(cnt) OVER (PARTITION BY doc_id) AS tf FROM test_counts)",
             *(TEST_IDF if refit else ()),
-            f"test_feats AS (SELECT doc_id, pos, tf * idf AS x FROM test_tf JOIN {weigh} USING (pos))"
+            f"test_feats AS MATERIALIZED (SELECT doc_id, pos, tf * idf AS x FROM test_tf JOIN {weigh} USING (pos))"
             if weigh
-            else "test_feats AS (SELECT doc_id, pos, tf AS x FROM test_tf)",
-            "final AS (SELECT pos, w FROM steps WHERE i = (SELECT max(i) FROM steps))",
-            f"scored AS (SELECT doc_id, {EN_MARK}, CASE WHEN sum(x * w) < 0 THEN 0 ELSE 1 END"
+            else "test_feats AS MATERIALIZED (SELECT doc_id, pos, tf AS x FROM test_tf)",
+            "final AS MATERIALIZED (SELECT pos, w FROM steps WHERE i = (SELECT max(i) FROM steps))",
+            f"scored AS MATERIALIZED (SELECT doc_id, {EN_MARK}, CASE WHEN sum(x * w) < 0 THEN 0 ELSE 1 END"
             " AS prediction FROM test_feats JOIN final USING (pos) GROUP BY doc_id)",
         ),
         result=result,
@@ -547,13 +560,12 @@ def _validated(doc_id: str, result: str, kind: str = "logistic", refit: bool = F
     )
 
 
-FITTED_WORDS = """,
-best AS (SELECT word, pos, w FROM final JOIN vocab USING (pos) ORDER BY w DESC, pos LIMIT 10),
-wrong AS (SELECT doc_id FROM scored WHERE prediction = 1 AND label = 0 ORDER BY doc_id LIMIT 3)
-SELECT 'top word' AS kind, word, '' AS doc_id, round(w, 4) AS value FROM best
+FITTED_WORDS = ",\n" + ",\n".join(
+    _first_wrong("(SELECT word, pos, w FROM final JOIN vocab USING (pos))", "test_feats", "w")
+) + """
+SELECT 'top word' AS kind, word, '' AS doc_id, round(weight, 4) AS value FROM best
 UNION ALL
-SELECT 'false positive', word, doc_id, round(coalesce(x, 0), 8)
-FROM wrong CROSS JOIN best LEFT JOIN test_feats USING (doc_id, pos)"""
+SELECT 'false positive', word, doc_id, round(coalesce(x, 0), 8) FROM asked LEFT JOIN met USING (doc_id, pos)"""
 OWN_IDS = "upper(lang) || doc_id"
 ORACLE["train_and_validate"] = _validated(OWN_IDS, GRID)
 ORACLE["validate_svm"] = _validated(OWN_IDS, GRID, "svm")
@@ -778,6 +790,10 @@ SELECT 'label', cluster, 0, doc_id::VARCHAR, 0 FROM labels2"""
 ORACLE["cluster_files"] = _with(CLUSTERS) + (
     "SELECT cluster::VARCHAR AS cluster, count(*) AS n, true AS in_order FROM clusters GROUP BY 1"
 )
+ORACLE["zipped_clusters"] = _with(LINES, CLUSTERS) + (
+    "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS n, regexp_extract(value, '<[^>]+>') AS header, cluster"
+    " FROM lines JOIN clusters USING (doc_id)"
+)
 ORACLE["report_file"] = ORACLE["topk_count"]
 ORACLE["table_file"] = ORACLE["document_frequency"]
 

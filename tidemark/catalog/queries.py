@@ -15,6 +15,7 @@ from tidemark.operators import bayes, classify, evaluate, mixture, regression, s
 from tidemark.operators import features as feat
 from tidemark.operators import trips as trip
 from tidemark.operators import words as word
+from tidemark.operators.numbering import row_numbers
 from tidemark.operators.scoring import linear_scores, top_coefficients
 from tidemark.plans import clusters as cluster_plan
 from tidemark.plans import courts as court_plan
@@ -228,6 +229,14 @@ def gd_multi_passes(spark, d):
     return rounded(longs(trace, "iteration"), 9, "cost", "b", "w0", "w1", "w2", "w3")
 
 
+@query
+def gd_multi_factors(spark, d):
+    """The same trace from triangular factors of the rows, which are read once."""
+    xs = ["quantity", "discount", "tax", "line"]
+    trace = regression.descend_plane(_scaled_items(spark, d), xs, "price", method="factors")
+    return rounded(longs(trace, "iteration"), 9, "cost", "b", "w0", "w1", "w2", "w3")
+
+
 def _shown(trace, *columns):
     """Four significant digits as text."""
     shown = {c: F.format_string("%.3e", F.col(c)) for c in columns}
@@ -617,15 +626,18 @@ def _fixed_clusters(spark, d):
     return I.table(spark, d, "documents").select("doc_id", cluster)
 
 
-def _cluster_counts(spark, d):
-    docs = I.documents(spark, d)
-    rows = mixture.count_rows(docs, T.tokenize(F.col("text")), _vocab(spark, d))
+def _count_rows(spark, d, vocab):
+    """Counts of dictionary words, worked out once: a query reads them twice."""
+    return cut(mixture.count_rows(I.documents(spark, d), T.tokenize(F.col("text")), vocab))
+
+
+def _cluster_counts(spark, d, rows):
     return mixture.cluster_word_counts(mixture.led_counts(rows), _fixed_clusters(spark, d))
 
 
-def _cluster_log_mu(spark, d):
+def _cluster_log_mu(spark, d, rows):
     """Mean word probabilities of the fixed clusters, as ``pos, w``."""
-    by_pos = _cluster_counts(spark, d).filter(F.col("pos") != mixture.NO_WORD).groupBy("pos").agg(*[
+    by_pos = _cluster_counts(spark, d, rows).filter(F.col("pos") != mixture.NO_WORD).groupBy("pos").agg(*[
         F.sum(F.when(F.col("cluster") == j, F.col("cnt"))).alias(f"c{j}") for j in range(CLUSTERS)
     ])
     mass = [F.coalesce(F.col(f"c{j}"), F.lit(0.0)) + BETA for j in range(CLUSTERS)]
@@ -634,15 +646,14 @@ def _cluster_log_mu(spark, d):
 
 
 def _probabilities(spark, d):
-    docs = I.documents(spark, d)
-    rows = mixture.count_rows(docs, T.tokenize(F.col("text")), _vocab(spark, d))
+    rows = _count_rows(spark, d, _vocab(spark, d))
     data = mixture.led_counts(rows)
-    return mixture.document_probabilities(data, _cluster_log_mu(spark, d), [0.0] * CLUSTERS, word.DICTIONARY_SIZE)
+    return mixture.document_probabilities(data, _cluster_log_mu(spark, d, rows), [0.0] * CLUSTERS, word.DICTIONARY_SIZE)
 
 
 @query
 def cluster_word_counts(spark, d):
-    return longs(_cluster_counts(spark, d), "cluster", "pos")
+    return longs(_cluster_counts(spark, d, _count_rows(spark, d, _vocab(spark, d))), "cluster", "pos")
 
 
 @query
@@ -669,8 +680,9 @@ def uniform_draw(spark, d):
 
 @query
 def cluster_top_words(spark, d):
-    counts = _cluster_counts(spark, d).filter(F.col("pos") != mixture.NO_WORD)
-    best = mixture.top_words(counts, _vocab(spark, d), 100, by="cnt")
+    vocab = cut(_vocab(spark, d))
+    counts = _cluster_counts(spark, d, _count_rows(spark, d, vocab)).filter(F.col("pos") != mixture.NO_WORD)
+    best = mixture.top_words(counts, vocab, 100, by="cnt")
     return longs(best, "cluster", "rank")
 
 
@@ -683,10 +695,10 @@ def cluster_purity(spark, d):
 @query
 def gibbs_step(spark, d):
     """One sweep from the word probabilities of the fixed clusters: counts by cluster and position, documents at -1."""
-    table = _cluster_log_mu(spark, d).toArrow()
+    rows = _count_rows(spark, d, _vocab(spark, d))
+    table = _cluster_log_mu(spark, d, rows).toArrow()
     log_mu = np.zeros((CLUSTERS, table.num_rows))
     log_mu[:, table["pos"].to_numpy()] = np.stack(table["w"].to_numpy()).T
-    rows = mixture.count_rows(I.documents(spark, d), T.tokenize(F.col("text")), _vocab(spark, d))
     with mixture.sweep_table(rows) as data:
         counts = cut(mixture.sweep_counts(data, log_mu, np.zeros(CLUSTERS), sweep=3, seed=7))
     return longs(counts, "cluster", "pos")
@@ -737,6 +749,15 @@ def cluster_files(spark, d):
     return sizes.select("cluster", "n", in_order.alias("in_order"))
 
 
+@query
+def zipped_clusters(spark, d):
+    """Two frames without a common key, the headers and their clusters, put side by side by row number."""
+    lines = I.tagged_lines(spark, d)
+    heads = row_numbers(lines.select("doc_id", T.header(F.col("value")).alias("header")), "doc_id").select("n", "header")
+    drawn = row_numbers(_fixed_clusters(spark, d), "doc_id").select("n", "cluster")
+    return longs(heads.join(drawn, "n"), "cluster")
+
+
 @query
 def report_file(spark, d):
     """A top-k report written as one CSV file and read back."""

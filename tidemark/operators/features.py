@@ -75,14 +75,16 @@ def class_shares(
 
     Words no document holds get a share of 0. The denominator counts documents with a token at least.
     Each line becomes one row of flags before anything is shuffled; lines that share an id are
-    one document, and several labels of an id count as the largest.
+    one document, and several labels of an id count as the largest. Documents without a label leave before the shuffle.
     """
+    labels = labels.groupBy(key).agg(F.max("label").alias("label"))
+    docs = docs.join(labels, key, "left_semi")
     flagged = docs.select(key, tokens.alias("tokens")).filter(F.size("tokens") > 0)
     flagged = flagged.select(
         key, *[F.array_contains("tokens", w).cast("int").alias(f"w{i}") for i, w in enumerate(chosen)]
     )
     once = flagged.groupBy(key).agg(*[F.max(f"w{i}").alias(f"w{i}") for i in range(len(chosen))])
-    docs = once.join(labels.groupBy(key).agg(F.max("label").alias("label")), key)
+    docs = once.join(labels, key)
     totals = [F.sum(f"w{i}").alias(f"w{i}") for i in range(len(chosen))]
     classes = docs.groupBy("label").agg(F.count(F.lit(1)).alias("size"), *totals)
     pairs = F.array(*[

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -106,6 +109,58 @@ def _from_passes(df: DataFrame, xs: list[str], y: str, standardize: bool):
     return residual_means
 
 
+def _triangle(rows: np.ndarray) -> np.ndarray:
+    """The triangular factor of a matrix, square also where the matrix has few rows."""
+    width = rows.shape[1]
+    return np.linalg.qr(np.vstack([rows, np.zeros((width, width))]), mode="r")
+
+
+def _merged_triangles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for a task: the factor of the stacked factors ``r``, and the number of rows behind them."""
+    held, n = None, 0
+    for batch in batches:
+        for r in batch.column("r").to_pylist():
+            r = np.array(r).reshape(round(len(r) ** 0.5), -1)
+            held = r if held is None else _triangle(np.vstack([held, r]))
+        n += pc.sum(batch.column("n")).as_py() or 0
+    if held is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([held.ravel().tolist()]), pa.array([n])], ["r", "n"])
+
+
+def _row_triangles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for a task: the factor of its rows, with ones as the first column."""
+    held, n = None, 0
+    for batch in batches:
+        columns = [np.ones(batch.num_rows), *[c.to_numpy(zero_copy_only=False) for c in batch.columns]]
+        rows = np.stack(columns, axis=1)
+        held = _triangle(rows if held is None else np.vstack([held, rows]))
+        n += batch.num_rows
+    if held is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([held.ravel().tolist()]), pa.array([n])], ["r", "n"])
+
+
+def _from_factors(df: DataFrame, xs: list[str], y: str):
+    """The same means from a triangular factor of the rows (1, x, y), which one job builds as a tree of tasks.
+
+    The factor has the rows' own digits, where moments have only those of their squares. Tasks send one factor each, which about the root of the number of
+    shuffle partitions merge before the driver does.
+    """
+    schema = "r array<double>, n bigint"
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in (*xs, y)])
+    middle = math.isqrt(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = numbers.mapInArrow(_row_triangles, schema).repartition(max(1, middle)).mapInArrow(_merged_triangles, schema).collect()
+    width = len(xs) + 2
+    r = _triangle(np.vstack([np.zeros((1, width)), *[np.array(p.r).reshape(width, width) for p in parts]]))
+    n = sum(p.n for p in parts)
+
+    def residual_means(b: float, w: np.ndarray):
+        rest = r @ np.array([-b, *-np.asarray(w), 1.0])
+        means = r.T @ rest / n
+        return means[0], rest @ rest / n, means[1:-1]
+
+    return residual_means
+
+
 def _descend(residual_means, d: int, iterations: int, rate: BoldRate, half: bool, start: float) -> Iterator[tuple]:
     """Rows of iteration, cost before the update, intercept and weights after it."""
     b, w = start, np.full(d, start)
@@ -123,6 +178,8 @@ def _trace(df: DataFrame, xs: list[str], y: str, method: str, standardize: bool,
     known = df.select(*xs, y).dropna()
     if method == "moments":
         rows = list(_descend(_from_moments(known, xs, y, standardize), len(xs), **kw))
+    elif method == "factors" and not standardize:
+        rows = list(_descend(_from_factors(known, xs, y), len(xs), **kw))
     elif method == "passes":
         known = known.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -149,7 +206,7 @@ def descend_line(
 
     ``passes`` runs one job per iteration on the residuals themselves; ``moments`` reads the rows
     once, whatever the number of iterations, and is meant for columns of similar scale: where the
-    descent diverges, its rounding errors do too.
+    descent diverges, its rounding errors do too. ``factors`` reads the rows once as well and is for columns as they are.
     """
     kw = dict(iterations=iterations, rate=BoldRate(rate), half=False, start=start)
     return _trace(df, [x], y, method, standardize, ["b", "m"], **kw)
