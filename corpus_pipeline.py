@@ -84,7 +84,7 @@ STAGES = [
     ("byte-level BPE", encode),
 ]
 
-#: A trained classifier and a tokenizer are beyond SQL. The tests hold the operators against brute force; no test runs these stages.
+#: A trained classifier and a tokenizer are beyond SQL. The tests hold the stages after the first against brute force, and run() against its stages in turn.
 ORACLE_SQL = None
 
 
