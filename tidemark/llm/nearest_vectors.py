@@ -2,7 +2,7 @@
 
 Queries and candidates are packed into blocks of some thousand vectors, and the blocks are dealt to the cells of a grid, so each task
 holds one bounded group of queries and one of candidates. A vector x is kept as s * a with integers a from -127 to 127 and
-the error e = \\|x - s * a\\|; a tile of integer products gives the distance of two such vectors, and the true one lies within the sum of their
+the error e = |x - s * a|; a tile of integer products gives the distance of two such vectors, and the true one lies within the sum of their
 errors of it. Pairs whose lower bound is above the k-th best upper bound of their query are out; the others are measured on the original vectors.
 """
 
