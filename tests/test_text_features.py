@@ -91,6 +91,88 @@ def test_short_corpus_gives_short_dictionary(parts):
     assert words.dictionary(parts[0], 1000).count() == len({w for t in TEXTS.values() for w in tokens(t)})
 
 
+def _zipf(spark, n=40_000, distinct=3000, seed=5):
+    """Words with counts that fall with their number, a third of them one word, over eight partitions."""
+    draw = F.pow(F.lit(float(distinct)), F.rand(seed)).cast("int")
+    word = F.when(F.col("id") % 3 == 0, F.lit("w0")).otherwise(F.concat(F.lit("w"), draw.cast("string")))
+    return spark.range(0, n, 1, 8).select((F.col("id") % 500).alias("doc_id"), word.alias("word"))
+
+
+@pytest.mark.parametrize("size", [1, 20, 400, 1500, 100_000])
+def test_summaries_give_the_dictionary(spark, size):
+    """Few held words fall back to all, some give candidates that are counted again, many hold all: always the same rows."""
+    rows = _zipf(spark)
+    wanted = [tuple(r) for r in words.dictionary(rows, 50).orderBy("pos").collect()]
+    assert [tuple(r) for r in words.frequent_words(rows, 50, size).orderBy("pos").collect()] == wanted
+
+
+@pytest.mark.parametrize("size,counted", [(20, "all"), (400, "candidates"), (100_000, "none")])
+def test_summaries_shuffle_no_more_than_they_hold(spark, monkeypatch, size, counted):
+    seen = []
+    for name in ("dictionary", "_may_hold"):
+        inner = getattr(words, name)
+        monkeypatch.setattr(words, name, lambda *a, n=name, i=inner: seen.append(n) or i(*a))
+    rows = _zipf(spark)
+    words.frequent_words(rows, 50, size).collect()
+    assert seen == {"all": ["dictionary"], "candidates": ["_may_hold"], "none": []}[counted]
+    held = rows.select("word").mapInArrow(words._summaries(size), "word string, cnt bigint, lost bigint").collect()
+    true = Counter(r.word for r in rows.collect())
+    low = Counter()
+    for r in held:
+        low[r.word] += r.cnt if r.lost is None else 0
+    lost = sum(r.lost or 0 for r in held)
+    assert sum(r.lost is None for r in held) <= 8 * size
+    assert all(0 <= true[w] - low[w] <= lost for w in true) and lost <= sum(true.values()) / size
+
+
+def test_summaries_of_nothing_ties_and_short_corpora(spark):
+    none = spark.createDataFrame([], "doc_id STRING, word STRING")
+    assert words.frequent_words(none, 5, 2).count() == 0
+    tied = spark.createDataFrame([("d", w) for w in "edcbaedcba"], "doc_id STRING, word STRING")
+    for size in (1, 3, 10):
+        assert [tuple(r) for r in words.frequent_words(tied, 3, size).orderBy("pos").collect()] == [("a", 0, 2), ("b", 1, 2), ("c", 2, 2)]
+        assert words.frequent_words(tied, 100, size).count() == 5
+
+
+@pytest.mark.parametrize("head", [0, 1, 40, 10_000])
+def test_split_dictionary_gives_the_same_counts(spark, head):
+    rows = _zipf(spark)
+    vocab = words.dictionary(rows, 300)
+    wanted = sorted(tuple(r) for r in words.term_counts(rows, vocab, 300).collect())
+    assert sorted(tuple(r) for r in words.term_counts(rows, vocab, 300, head=head).collect()) == wanted
+
+
+def test_long_dictionaries_are_numbered_by_ranges(spark, monkeypatch):
+    rows = _zipf(spark)
+    wanted = sorted(tuple(r) for r in words.dictionary(rows, 300).collect())
+    monkeypatch.setattr(words, "HEAD", 100)
+    assert sorted(tuple(r) for r in words.dictionary(rows, 300).collect()) == wanted
+
+
+def test_filter_keeps_every_key_and_few_others(spark):
+    keys = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("word")).select(*words._prints())
+    rows = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("word")).select("word", *words._prints())
+    kept = {r.word for r in words._may_hold(rows, keys).collect()}
+    assert {f"k{i}" for i in range(5000)} <= kept and len(kept) < 5000 + 15_000 * 0.05
+
+
+@pytest.mark.parametrize("head", [10, 0])
+def test_word_with_a_third_of_all_rows_is_no_single_task(spark, head):
+    """In the head it is not shuffled; a word that only the held-out rows repeat is dealt over several tasks."""
+    rows = _zipf(spark)
+    vocab = words.dictionary(rows, 300)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        met = words.known_words(rows, vocab, 300, head)
+        sizes = sorted(r["count"] for r in met.groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sizes[-1] < 2 * sizes[len(sizes) // 2]
+
+
 def test_empty_tokens_count(spark):
     df = spark.createDataFrame([("a  b",), ("",)], "value STRING")
     assert {r.word: r.cnt for r in words.line_word_counts(df).collect()} == {"a": 1, "b": 1, "": 2}

@@ -191,6 +191,8 @@ ORACLE["stop_word_counts"] = _with(WORDS) + (
     + ") GROUP BY word"
 )
 ORACLE["vocab_topf"] = _with(WORDS, VOCAB) + "SELECT word, pos, cnt FROM vocab"
+ORACLE["vocab_summaries"] = _with(WORDS, VOCAB) + "SELECT word, pos, cnt FROM vocab WHERE pos < 500"
+ORACLE["term_count_split"] = _with(WORDS, VOCAB.replace("20000", str(1 << 23)), COUNTS) + "SELECT doc_id, pos, cnt FROM counts"
 ORACLE["term_count"] = _with(WORDS, VOCAB, COUNTS) + "SELECT doc_id, pos, cnt FROM counts"
 ORACLE["term_frequency"] = _with(WORDS, VOCAB, COUNTS, TF) + "SELECT doc_id, pos, tf FROM tf"
 ORACLE["document_frequency"] = _with(WORDS, VOCAB, COUNTS, DF) + "SELECT pos, df FROM df"

@@ -300,11 +300,24 @@ def vocab_topf(spark, d):
     return longs(_vocab(spark, d), "pos")
 
 
+@query
+def vocab_summaries(spark, d):
+    """The dictionary's 500 most frequent words by summaries that hold fewer words than a task reads."""
+    return longs(word.frequent_words(_words(spark, d), 500, size=1000), "pos")
+
+
 @query
 def term_count(spark, d):
     return longs(_counts(spark, d), "pos")
 
 
+@query
+def term_count_split(spark, d):
+    """Counts over a dictionary too long to be broadcast: all words, of which the 64 most frequent ones are not shuffled."""
+    words, f = _words(spark, d), 1 << 23
+    return longs(word.term_counts(words, word.dictionary(words, f), f, head=64), "pos")
+
+
 @query
 def term_frequency(spark, d):
     return longs(feat.term_frequency(_counts(spark, d)).select("doc_id", "pos", "tf"), "pos")

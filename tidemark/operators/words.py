@@ -2,15 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
+from tidemark.operators.numbering import row_numbers
 from tidemark.operators.trips import count_by, top_k
-from tidemark.session import small_side
+from tidemark.session import BROADCAST_BYTES, cut, small_side
 
 # Fixed value: words kept in a dictionary.
 DICTIONARY_SIZE = 20_000
+# Words that a dictionary beyond the broadcast bound still broadcasts.
+HEAD = 1 << 20
+# Tasks that share one of its other words.
+SALTS = 8
+# Words that a task's summary holds, and bytes of words that are counted before they are merged into it.
+SUMMARY_SIZE = 1 << 20
+SUMMARY_BYTES = 64 * 1024 * 1024
+# Bytes of a broadcast row of fingerprints.
+ROW_BYTES = 64
+# Blocks of a Bloom filter in one row, a power of two.
+CHUNK = 256
+PRINTS = ["h1", "h2"]
 
 
 def words_of(docs: DataFrame, tokens: Column, key: str = "doc_id", keep: list[str] = ()) -> DataFrame:
@@ -35,32 +53,144 @@ def dictionary(words: DataFrame, f: int = DICTIONARY_SIZE) -> DataFrame:
     dictionary. The count of the f-th word is found first, from the numbers of words by
     count, so that only f words and those tied with the last one are ordered.
     """
-    counts = word_counts(words)
+    return _ranked(word_counts(words), f)
+
+
+def _reach(counts: DataFrame, f: int, cnt: str = "cnt") -> DataFrame:
+    """One row ``reach``: the f-th largest count, null with fewer words."""
     # How many words are at least as frequent, by count: one row per distinct count.
-    tallies = counts.groupBy("cnt").agg(F.count(F.lit(1)).alias("n"))
-    reached = F.sum("n").over(Window.orderBy(F.col("cnt").desc()))
-    least = tallies.withColumn("reached", reached).filter(F.col("reached") >= f).agg(F.max("cnt")).scalar()
-    best = top_k(counts.filter(F.col("cnt") >= F.coalesce(least, F.lit(0))), f, "cnt", "word")
+    tallies = counts.groupBy(cnt).agg(F.count(F.lit(1)).alias("n"))
+    reached = F.sum("n").over(Window.orderBy(F.col(cnt).desc()))
+    return tallies.withColumn("reached", reached).filter(F.col("reached") >= f).agg(F.max(cnt).alias("reach"))
+
+
+def _ranked(counts: DataFrame, f: int) -> DataFrame:
+    """The f rows with the largest counts, numbered; the numbers of a long dictionary come from ranges, not from one task."""
+    at_least = counts.filter(F.col("cnt") >= F.coalesce(_reach(counts, f).scalar(), F.lit(0)))
+    if f > HEAD:
+        numbered = row_numbers(at_least, F.col("cnt").desc(), F.col("word"), name="pos").filter(F.col("pos") < f)
+        return numbered.select("word", F.col("pos").cast("int").alias("pos"), "cnt")
     rank = F.row_number().over(Window.orderBy(F.col("cnt").desc(), "word")) - 1
-    return best.select("word", rank.alias("pos"), "cnt")
+    return top_k(at_least, f, "cnt", "word").select("word", rank.alias("pos"), "cnt")
 
 
-def term_counts(words: DataFrame, vocab: DataFrame, f: int = DICTIONARY_SIZE, key: str = "doc_id") -> DataFrame:
+def _summaries(size: int):
+    """Per task: at most ``size`` words with a count that is too low by no more than ``lost``, which ends the task's rows.
+
+    What was counted since the last merge is added to the words held; if these are more than ``size``, the count of the first
+    word beyond them is taken off all counts, and words left without a count go.
+    """
+
+    def merged(parts: list[pa.Table]) -> tuple[pa.Table, int]:
+        held = pa.concat_tables(parts).combine_chunks().group_by("word").aggregate([("cnt", "sum")])
+        counts = held.column("cnt_sum").to_numpy()
+        off = 0
+        if len(counts) > size:
+            off = int(np.partition(counts, len(counts) - size - 1)[len(counts) - size - 1])
+        above = counts > off
+        return pa.table({"word": held.column("word").filter(pa.array(above)), "cnt": counts[above] - off}), off
+
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[pa.Table] = []
+        lost = 0
+        for batch in batches:
+            pairs = pc.value_counts(batch.column(0).cast(pa.large_string()))
+            parts.append(pa.table({"word": pairs.field("values"), "cnt": pairs.field("counts")}))
+            if sum(len(p) for p in parts[1:]) >= size or sum(p.nbytes for p in parts[1:]) > SUMMARY_BYTES:
+                held, off = merged(parts)
+                parts, lost = [held], lost + off
+        if parts:
+            held, off = merged(parts)
+            none = pa.nulls(len(held), pa.int64())
+            rows = pa.table({"word": held.column("word").cast(pa.string()), "cnt": held.column("cnt"), "lost": none})
+            yield from rows.to_batches(max_chunksize=1 << 16)
+            end = [pa.nulls(1, pa.string()), pa.array([0], pa.int64()), pa.array([lost + off], pa.int64())]
+            yield pa.RecordBatch.from_arrays(end, ["word", "cnt", "lost"])
+
+    return summarise
+
+
+def frequent_words(words: DataFrame, f: int = DICTIONARY_SIZE, size: int = SUMMARY_SIZE) -> DataFrame:
+    """The rows of ``dictionary``, from Misra-Gries summaries of each task: for corpora with far more words than ``size``.
+
+    1. Each task keeps ``size`` words with counts that are too low by at most what the task took off; the sums of these counts
+       are too low by at most ``lost``, the sum over the tasks. No more than tasks x ``size`` rows are shuffled.
+    2. Words whose count may reach the f-th largest sum are candidates, and only they are counted again, behind a Bloom filter;
+       what else passes the filter is counted rightly too, so it does no harm.
+    Where no task took anything off, the sums are the counts. Where ``lost`` is not below the f-th largest sum, a
+    word that no summary holds might belong in: then all words are counted as in ``dictionary``. The result is the same each time.
+    """
+    found = cut(words.select("word").mapInArrow(_summaries(size), "word string, cnt bigint, lost bigint"))
+    held = found.filter(F.col("lost").isNull()).groupBy("word").agg(F.sum("cnt").alias("cnt"))
+    lost = found.agg(F.coalesce(F.sum("lost"), F.lit(0)).alias("lost")).scalar()
+    lost, reach = _reach(held, f).select(lost.alias("lost"), "reach").first()
+    if lost == 0:
+        return _ranked(held, f)
+    if reach is None or reach <= lost:
+        return dictionary(words, f)
+    candidates = cut(held.filter(F.col("cnt") + lost >= reach).select(*_prints()))
+    passed = _may_hold(words.select("word", *_prints()), candidates).select("word")
+    return _ranked(word_counts(passed), f)
+
+
+def term_counts(
+    words: DataFrame, vocab: DataFrame, f: int = DICTIONARY_SIZE, key: str = "doc_id", head: int | None = None
+) -> DataFrame:
     """Dictionary words per document: ``key, pos, cnt``.
 
     Documents without a dictionary word vanish. A document adds at most f rows
     to the shuffle, however often its words repeat.
     """
-    return count_by(known_words(words, vocab, f), key, "pos", name="cnt")
+    return count_by(known_words(words, vocab, f, head), key, "pos", name="cnt")
 
 
-def known_words(words: DataFrame, vocab: DataFrame, f: int = DICTIONARY_SIZE) -> DataFrame:
+def known_words(words: DataFrame, vocab: DataFrame, f: int = DICTIONARY_SIZE, head: int | None = None) -> DataFrame:
     """The rows of ``words`` whose word is in the dictionary, with its ``pos`` in the word's place.
 
     Words meet the dictionary by 128 bits of fingerprint, so the side that is broadcast has f rows of numbers,
-    whatever the words' lengths.
+    whatever the words' lengths. A dictionary beyond the broadcast bound is split: its ``head`` most frequent words (a number also given
+    to split a shorter one) are broadcast, so no frequent word is shuffled. What is left passes a Bloom filter of the
+    other words and meets these in a shuffle, in which ``SALTS`` tasks share a word, dealt by the other columns: a word that is
+    frequent in ``words`` and rare in the dictionary is no single task either.
     """
-    prints = [F.xxhash64("word").alias("h1"), F.xxhash64(F.lit(1), F.col("word")).alias("h2")]
-    side = small_side(vocab.filter(F.col("pos") < f).select(*prints, "pos"), f)
+    side = vocab.filter(F.col("pos") < f).select(*_prints(), "pos")
     others = [c for c in words.columns if c != "word"]
-    return words.select(*others, *prints).join(side, ["h1", "h2"]).select(*others, "pos")
+    rows = words.select(*others, *_prints())
+    if head is None and f * ROW_BYTES <= BROADCAST_BYTES:
+        return rows.join(small_side(side, f, ROW_BYTES), PRINTS).select(*others, "pos")
+    head = HEAD if head is None else head
+    side = cut(side)
+    heads = small_side(side.filter(F.col("pos") < head), head, ROW_BYTES)
+    tails = side.filter(F.col("pos") >= head)
+    near = rows.join(heads, PRINTS).select(*others, "pos")
+    rest = _may_hold(rows.join(heads, PRINTS, "left_anti"), tails)
+    salt = F.pmod(F.xxhash64(*others), F.lit(SALTS)).cast("int") if others else F.lit(0)
+    salts = F.array(*[F.lit(i) for i in range(SALTS if others else 1)])
+    tails = tails.withColumn("salt", F.explode(salts))
+    far = rest.withColumn("salt", salt).join(tails.hint("shuffle_merge"), [*PRINTS, "salt"]).select(*others, "pos")
+    return near.union(far)
+
+
+def _prints() -> list[Column]:
+    return [F.xxhash64("word").alias("h1"), F.xxhash64(F.lit(1), F.col("word")).alias("h2")]
+
+
+def _may_hold(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The ``rows`` whose fingerprints ``h1, h2`` may be among those of ``keys``, a staged table.
+
+    A Bloom filter in blocks of 64 bits, of which a key sets up to four, with two bytes a key: ``h1`` names the block, ``h2`` the bits. It is
+    broadcast in chunks of ``CHUNK`` blocks; a filter beyond the broadcast bound is left out, as it only saves shuffled rows.
+    """
+    blocks = max(CHUNK, 1 << (keys.count() // 4).bit_length())
+    if blocks * 8 > BROADCAST_BYTES:
+        return rows
+    block = F.pmod("h1", F.lit(blocks))
+    bits = F.expr(" | ".join(f"shiftleft(1L, cast(shiftright(h2, {6 * i}) & 63 as int))" for i in range(4)))
+    empty = keys.sparkSession.range(blocks).select(F.col("id").alias("block"), F.lit(0).cast("bigint").alias("bits"))
+    filled = keys.select(block.alias("block"), bits.alias("bits")).union(empty).groupBy("block").agg(F.bit_or("bits").alias("bits"))
+    in_order = F.array_sort(F.collect_list(F.struct("block", "bits")))
+    chunks = filled.groupBy(F.expr(f"block div {CHUNK}").alias("chunk")).agg(in_order["bits"].alias("filter"))
+    asked = rows.withColumns({"chunk": F.expr(f"pmod(h1, {blocks}L) div {CHUNK}"), "block": F.pmod("h1", F.lit(CHUNK)), "bits": bits})
+    met = asked.join(F.broadcast(chunks), "chunk")
+    hit = F.get("filter", F.col("block").cast("int")).bitwiseAND(F.col("bits")) == F.col("bits")
+    return met.filter(hit).select(*rows.columns)
