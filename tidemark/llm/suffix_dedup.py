@@ -13,6 +13,8 @@ from tidemark.llm.common import Spans, blocks, byte_column, cuts, mix, stage
 
 #: Groups of suffixes up to this size meet in one task; the windows of larger ones are counted before they are shuffled.
 LIGHT = 2000
+#: Tasks that share the anchors of one bucket when they learn whether it is large.
+SALTS = 16
 #: Bytes of text that are refined at once; small, as each byte takes some arrays of 64-bit numbers.
 TEXT_BYTES = 1 << 19
 
@@ -315,8 +317,12 @@ def remove_repeats(docs: DataFrame, width: int = 200, key: str = "doc_id", text:
         shared.join(classes, "around", "left").select("key", "pos", "seed", F.col("n").isNotNull().alias("twin"), goes_on.alias("goes_on")), "told"
     )
     groups = told.filter("goes_on").groupBy("seed").agg(F.count("*").alias("n"))
-    large = groups.filter(F.col("n") > LIGHT).select("seed", F.lit(True).alias("large"))
-    sized = told.join(large, "seed", "left")
+    # only anchors that go on ask for the size of their bucket, dealt out so that no bucket is one task; few buckets are large
+    salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("salt")
+    large = groups.filter(F.col("n") > LIGHT).select("seed", F.lit(True).alias("large"), salts)
+    salt = F.pmod(F.xxhash64("key", "pos"), F.lit(SALTS)).cast("int")
+    asking = told.filter("goes_on").withColumn("salt", salt).join(large, ["seed", "salt"], "left").drop("salt")
+    sized = asking.unionByName(told.filter("not goes_on").withColumn("large", F.lit(None).cast("boolean")))
     pick = lambda c: F.collect_set(F.when(c, F.col("pos")))
     lists = stage(
         sized.groupBy("key").agg(
