@@ -1,24 +1,26 @@
 """Mixture of multinomials by Gibbs sampling.
 
-State between sweeps is the ln word probabilities (k x f) and ln class shares (k). A sweep is one job over cached
-documents, one row each: tasks draw the labels of their documents in numpy and send the counts by cluster and position, which
-are summed; the next probabilities are drawn from them by column expressions, and k x f numbers reach the driver.
+State between sweeps is the ln word probabilities (k x f) and ln class shares (k). A sweep is one job over cached slices of
+documents: tasks draw the labels of their documents in numpy and send a row of counts per cluster; these are
+summed by cluster, the next probabilities are drawn where the sums lie, and k x f numbers reach the driver.
 All draws depend on their keys and the seed alone. The column functions do the same for frames of any layout.
 """
 
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.draws import log_gamma
+from tidemark.functions.draws import TRIES, log_gamma
 from tidemark.functions.numeric import uniform
 from tidemark.operators.scoring import dot_products
 from tidemark.operators.words import DICTIONARY_SIZE, count_by, known_words
@@ -62,41 +64,119 @@ def counts_table(counts: DataFrame) -> Iterator[DataFrame]:
 
 @contextmanager
 def sweep_table(counts: DataFrame) -> Iterator[DataFrame]:
-    """``doc_id, pos, x`` with the arrays of a document (empty without a dictionary word), cached while sweeps read them."""
+    """``doc_id, pos, x`` with the arrays of a document (empty without a dictionary word), staged; a fit caches them as slices."""
     word = F.when(F.col("pos") != NO_WORD, F.struct("pos", F.col("cnt").cast("double").alias("x")))
     docs = counts.groupBy("doc_id").agg(F.sort_array(F.collect_list(word)).alias("cells"))
-    data = keep(cut(docs.select("doc_id", F.col("cells.pos").alias("pos"), F.col("cells.x").alias("x"))))
-    try:
-        yield data
-    finally:
-        data.unpersist()
+    yield cut(docs.select("doc_id", F.col("cells.pos").alias("pos"), F.col("cells.x").alias("x")))
 
 
 #: Documents whose words are weighed at once within a task.
-SWEPT_ROWS = 256
+SWEPT_ROWS = 64
 
 
-def _drawn(batches: Iterator[pa.RecordBatch], log_mu: np.ndarray, log_pi: np.ndarray, sweep: int, seed: int):
-    """Per slice of documents: their ids, drawn clusters, and the row, position and count of each word.
+def _labels(ids: list, sizes: np.ndarray, pos: np.ndarray, x: np.ndarray, by_pos: np.ndarray, log_pi: np.ndarray, sweep: int, seed: int) -> np.ndarray:
+    """The drawn cluster of each document, the same as ``draw_labels`` draws: by a digest of document, sweep and seed."""
+    scores = np.tile(log_pi, (len(sizes), 1))
+    filled = np.flatnonzero(sizes)
+    if len(filled):
+        first = (np.cumsum(sizes) - sizes)[filled]
+        scores[filled] += np.add.reduceat(x[:, None] * by_pos[pos], first, axis=0)
+    raised = np.exp(scores - scores.max(axis=1, keepdims=True))
+    running = np.cumsum(raised / raised.sum(axis=1, keepdims=True), axis=1)
+    digests = [hashlib.md5(f"{i}:{sweep}:{seed}".encode()).hexdigest()[:13] for i in ids]
+    at = np.array([int(h, 16) for h in digests]) / 2.0**52
+    return (running[:, :-1] <= at[:, None]).sum(axis=1).astype(np.int32)
 
-    The same draws as ``draw_labels``: a digest of document, sweep and seed.
-    """
-    by_pos = np.ascontiguousarray(log_mu.T)
+
+def _slices(batches: Iterator[pa.RecordBatch]):
+    """Per slice of documents: their ids, numbers of words, positions and counts."""
     for whole in batches:
         for first in range(0, whole.num_rows, SWEPT_ROWS):
             batch = whole.slice(first, SWEPT_ROWS)
-            n = batch.num_rows
             lists = batch.column("pos")
-            row = np.repeat(np.arange(n), lists.value_lengths().to_numpy())
-            pos, x = lists.flatten().to_numpy(), batch.column("x").flatten().to_numpy()
-            scores = np.tile(log_pi, (n, 1))
-            np.add.at(scores, row, x[:, None] * by_pos[pos])
-            raised = np.exp(scores - scores.max(axis=1, keepdims=True))
-            running = np.cumsum(raised / raised.sum(axis=1, keepdims=True), axis=1)
-            ids = batch.column("doc_id")
-            digests = [hashlib.md5(f"{i}:{sweep}:{seed}".encode()).hexdigest()[:13] for i in ids.to_pylist()]
-            at = np.array([int(h, 16) for h in digests]) / 2.0**52
-            yield ids, (running[:, :-1] <= at[:, None]).sum(axis=1).astype(np.int32), row, pos, x
+            yield batch.column("doc_id"), lists.value_lengths().to_numpy(), lists.flatten().to_numpy(), batch.column("x").flatten().to_numpy()
+
+
+def _drawn(batches: Iterator[pa.RecordBatch], log_mu: np.ndarray, log_pi: np.ndarray, sweep: int, seed: int):
+    """Per slice of documents: their ids, drawn clusters, and the row, position and count of each word."""
+    by_pos = np.ascontiguousarray(log_mu.T)
+    for ids, sizes, pos, x in _slices(batches):
+        label = _labels(ids.to_pylist(), sizes, pos, x, by_pos, log_pi, sweep, seed)
+        yield ids, label, np.repeat(np.arange(len(sizes)), sizes), pos, x
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of documents as bytes, which pass between Spark and Python without a look at each value."""
+    for ids, sizes, pos, x in _slices(batches):
+        parts = pickle.dumps(ids.to_pylist()), sizes.astype(np.int32).tobytes(), pos.astype(np.int32).tobytes(), x.tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in parts], ["ids", "sizes", "pos", "x"])
+
+
+@contextmanager
+def packed(data: DataFrame) -> Iterator[RDD]:
+    """A ``sweep_table`` as slices of documents, cached while sweeps read them, in no more partitions than two a core."""
+    rows = data.select("doc_id", "pos", "x").mapInArrow(_pack, "ids binary, sizes binary, pos binary, x binary").rdd.map(tuple)
+    slices = rows.coalesce(2 * data.sparkSession.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield slices
+    finally:
+        slices.unpersist()
+
+
+def drawn_logs(shape: np.ndarray, cluster: int, pos: np.ndarray, step: int, seed: int) -> np.ndarray:
+    """``log_gamma`` of the shapes for the keys cluster, position and step, on arrays: the same digests and proposals."""
+
+    def digests(n: int, at: np.ndarray) -> np.ndarray:
+        joined = b"".join([hashlib.md5(f"{cluster}:{i}:{step}:{n}:{seed}".encode()).digest() for i in pos[at].tolist()])
+        return np.frombuffer(joined, ">u8").reshape(-1, 2).astype(np.uint64)
+
+    def part(whole: np.ndarray, bits: int) -> np.ndarray:
+        return (whole.astype(np.float64) + 0.5) / 2.0**bits
+
+    low = shape < 1
+    d = np.where(low, shape + 1, shape) - 1.0 / 3
+    log_cube = np.zeros(len(shape))
+    left = np.arange(len(shape))
+    for n in range(TRIES):
+        high, rest = digests(n, left).T
+        near = part(high >> np.uint64(12), 52)
+        turn = part((high & np.uint64(0xFFF)) << np.uint64(40) | rest >> np.uint64(24), 52)
+        x, u, own = np.sqrt(-2 * np.log(near)) * np.cos(6.283185307179586 * turn), np.log(part(rest & np.uint64(0xFFFFFF), 24)), d[left]
+        root = 1 + x / np.sqrt(9 * own)
+        cube = root * root * root
+        log = np.log(np.where(cube > 0, cube, 1.0))
+        taken = (cube > 0) & (u < x * x / 2 + own - own * cube + own * log)
+        log_cube[left[taken]] = log[taken]
+        left = left[~taken]
+    drawn = np.log(d) + log_cube
+    few = np.flatnonzero(low)
+    drawn[few] += np.log(part(digests(TRIES, few)[:, 0] >> np.uint64(12), 52)) / shape[few]
+    return drawn
+
+
+def _redrawn(cluster: int, counts: np.ndarray, alpha: float, beta: float, step: int, seed: int) -> tuple[int, np.ndarray, float]:
+    """A cluster, its row of ``drawn_state`` and its documents, from its counts: documents first, then words by position."""
+    shape = counts + np.where(np.arange(len(counts)) == 0, float(alpha), float(beta))
+    return cluster, drawn_logs(shape, cluster, np.arange(len(counts)) - 1, step, seed), float(counts[0])
+
+
+def swept(slices: RDD, log_mu: np.ndarray, log_pi: np.ndarray, sweep: int, alpha: float, beta: float, seed: int) -> RDD:
+    """One sweep and the draw after it, ``(cluster, drawn, documents)``: a row of counts per task and cluster is shuffled."""
+    state = slices.context.broadcast((log_mu, log_pi))
+
+    def count(rows):
+        mu, pi = state.value
+        k, f = mu.shape
+        by_pos, total = np.ascontiguousarray(mu.T), np.zeros(k * (f + 1))
+        for ids, sizes, pos, x in rows:
+            sizes, pos, x = np.frombuffer(sizes, np.int32), np.frombuffer(pos, np.int32), np.frombuffer(x)
+            label = _labels(pickle.loads(ids), sizes, pos, x, by_pos, pi, sweep, seed)
+            np.add.at(total, np.repeat(label, sizes) * (f + 1) + 1 + pos, x)
+            np.add.at(total, label * (f + 1), 1.0)
+        return enumerate(total.reshape(k, f + 1))
+
+    sums = slices.mapPartitions(count).reduceByKey(lambda a, b: a + b, min(len(log_pi), slices.context.defaultParallelism))
+    return sums.map(lambda row: _redrawn(*row, alpha, beta, sweep + 1, seed))
 
 
 def sweep_counts(data: DataFrame, log_mu: np.ndarray, log_pi: np.ndarray, sweep: int, seed: int) -> DataFrame:
@@ -228,6 +308,13 @@ def _state(table: pa.Table, f: int, k: int) -> tuple[np.ndarray, np.ndarray, np.
     return _log_shares(grid[:, 1:]), _log_shares(grid[:, 0]), docs
 
 
+def _gathered(rows: list[tuple[int, np.ndarray, float]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``_state``, from one row per cluster."""
+    _, drawn, docs = zip(*sorted(rows, key=lambda row: row[0]))
+    grid = np.stack(drawn)
+    return _log_shares(grid[:, 1:]), _log_shares(grid[:, 0]), np.array(docs)
+
+
 @dataclass
 class Mixture:
     """The last draw: ln word probabilities, ln class shares, and cluster counts per sweep."""
@@ -253,19 +340,25 @@ def fit_mixture(
     ``f`` is the number of dictionary words. The driver holds k x f numbers, and every draw depends on its keys and
     the seed only. With ``resample_pi`` off the class shares keep their first draw.
     """
-    spark = data.sparkSession
-    log_mu, log_pi, _ = _state(drawn_state(spark, None, f, k, alpha, beta, 0, seed).toArrow(), f, k)
+    context = data.sparkSession.sparkContext
+
+    def unseen(step: int) -> RDD:
+        """The draws without a document."""
+        return context.parallelize(range(k), k).map(lambda j: _redrawn(j, np.zeros(f + 1), alpha, beta, step, seed))
+
+    log_mu, log_pi, _ = _gathered(unseen(0).collect())
     labels, sizes = None, []
-    for sweep in range(sweeps):
-        if check:
-            check_probabilities(log_mu, log_pi)
-        if sweep + 1 == sweeps:
-            labels = sweep_labels(data, log_mu, log_pi, sweep, seed)
-        counts = sweep_counts(data, log_mu, log_pi, sweep, seed)
-        log_mu, drawn_pi, docs = _state(drawn_state(spark, counts, f, k, alpha, beta, sweep + 1, seed).toArrow(), f, k)
-        sizes.append(docs)
-        if resample_pi:
-            log_pi = drawn_pi
+    with packed(data) as slices:
+        for sweep in range(sweeps):
+            if check:
+                check_probabilities(log_mu, log_pi)
+            if sweep + 1 == sweeps:
+                labels = sweep_labels(data, log_mu, log_pi, sweep, seed)
+            drawn = swept(slices, log_mu, log_pi, sweep, alpha, beta, seed) if slices.getNumPartitions() else unseen(sweep + 1)
+            log_mu, drawn_pi, docs = _gathered(drawn.collect())
+            sizes.append(docs)
+            if resample_pi:
+                log_pi = drawn_pi
     return Mixture(log_mu, log_pi, sizes), labels
 
 
