@@ -36,3 +36,14 @@ def test_fingerprints_that_share_a_slot(spark):
 def test_weights_need_one_shuffle_of_the_counts(spark, tables):
     plan = outer_plan(QUERIES["tfidf"](spark, tables))
     assert "Exchange hashpartitioning(doc_id" in plan and not any("hashpartitioning(doc_id" in p and "pos" in p for p in plan.split("\n"))
+
+
+def test_search_index_by_letters_and_by_tokens(spark):
+    from tidemark.plans.search import search_index
+
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)] + [(0, "cat tail")], "doc_id INT, text STRING")
+    found = []
+    for tokens in (None, T.tokenize(F.col("text"))):
+        with search_index(docs, tokens, len(TEXTS), f=50) as index:
+            found.append((index.vocab.collect(), sorted(index.idf.collect()), sorted(index.features.collect())))
+    assert found[0] == found[1]

@@ -7,12 +7,10 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidemark.functions import text as T
 from tidemark.operators import features as feat
 from tidemark.operators import similarity
-from tidemark.operators.words import DICTIONARY_SIZE, dictionary, term_counts, words_of
+from tidemark.operators.words import DICTIONARY_SIZE, dictionary, letter_dictionary, letter_term_counts, term_counts, words_of
 from tidemark.session import cut, keep
 from tidemark.sources import readers
 
@@ -35,17 +33,28 @@ class SearchIndex:
 @contextmanager
 def search_index(
     docs: DataFrame,
-    tokens: Column,
+    tokens: Column | None,
     n_docs: Column | int,
     smooth: bool = False,
     f: int = DICTIONARY_SIZE,
 ) -> Iterator[SearchIndex]:
-    """Index ``docs``: every later query reads the cached vectors instead of the texts."""
-    words = words_of(docs, tokens)
-    vocab = cut(dictionary(words, f))
-    counts = cut(term_counts(words, vocab, f))
-    idf = cut(feat.inverse_document_frequency(feat.document_frequency(counts), n_docs, smooth))
-    x = keep(feat.features(counts.repartition("doc_id"), n_docs, idf=idf, f=f))
+    """Index ``docs``: every later query reads the cached vectors instead of the texts.
+
+    Without ``tokens`` the words are those of ``text.tokenize``, counted in the tasks that read the texts: then the counts are shuffled once, by
+    document, and the vectors are made where they lie.
+    """
+    if tokens is None:
+        vocab = cut(letter_dictionary(docs, f))
+        counts = keep(letter_term_counts(docs, vocab, f))
+    else:
+        words = words_of(docs, tokens)
+        vocab = cut(dictionary(words, f))
+        counts = keep(term_counts(words, vocab, f).repartition("doc_id"))
+    try:
+        idf = cut(feat.inverse_document_frequency(feat.document_frequency(counts), n_docs, smooth))
+        x = keep(feat.features(counts, n_docs, idf=idf, f=f))
+    finally:
+        counts.unpersist()
     try:
         yield SearchIndex(vocab, idf, x, f)
     finally:
@@ -67,6 +76,6 @@ def search_categories(
     lines = readers.read_lines(spark, documents_path)
     docs = readers.parse_documents(lines)
     queries = spark.createDataFrame(list(enumerate(texts)), "query_id INT, text STRING")
-    with search_index(docs, T.tokenize(F.col("text")), feat.row_count(lines), f=f) as index:
+    with search_index(docs, None, feat.row_count(lines), f=f) as index:
         rows = index.nearest(readers.read_links(spark, links_path), queries, k)
     return similarity.category_vote(rows, k)
