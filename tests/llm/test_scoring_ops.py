@@ -393,3 +393,28 @@ def test_held_out_toxicity(folder, least):
     score = np.array([net.score(ids[i], np.array([0, len(ids[i])]))[0] for i in ask])
     toxic, clean = score[y[ask] > 0], score[y[ask] == 0]
     assert (toxic[:, None] > clean).mean() + (toxic[:, None] == clean).mean() / 2 >= least
+
+
+def test_toxicity_learns_from_all_labelled_rows(spark, monkeypatch):
+    """Rows beyond the bounds of the trial set count, in one shard and in several, whatever the partitioning."""
+    docs, labels, truth = toxic_corpus(spark)
+    monkeypatch.setattr(toxicity, "sample", None)
+    for more in ({}, {"least_steps": 30, "epochs": 12}):
+        settings = toxicity.Settings(toxic_docs=2, other_docs=2, sample_bytes=100, **more)
+        found = []
+        for rows_ in (docs, docs.union(docs.limit(5)).repartition(7)):
+            net = toxicity.train(rows_, labels, settings)
+            scores = {r.doc_id: r.score for r in toxicity.score_texts(docs, net).withColumn("held", toxicity.held_out()).filter("held").collect()}
+            found.append(scores)
+        assert found[0] == found[1]
+        assert sum((s >= 0.5) == bool(truth[d]) for d, s in found[0].items()) / len(scores) > 0.9
+
+
+def test_moves_are_means_over_the_shards_that_moved(spark):
+    settings = toxicity.Settings(bits=6, width=3, filters=2)
+    a = np.array([3, 5]), np.array([[2, 4], [6, 8]]), np.array([1, 1])
+    b = np.array([5, 9]), np.array([[10, 2], [1, 1]]), np.array([1, 1])
+    places, sums, shards = toxicity._plus(a, b)
+    assert places.tolist() == [3, 5, 9] and sums.tolist() == [[2, 4], [16, 10], [1, 1]] and shards.tolist() == [1, 2, 1]
+    net = toxicity.Network.fresh(settings)
+    assert list(toxicity._learn(iter([]), net, net.memory(), 1, [1])) == []
