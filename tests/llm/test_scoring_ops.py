@@ -5,6 +5,7 @@ import collections
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -418,3 +419,19 @@ def test_moves_are_means_over_the_shards_that_moved(spark):
     assert places.tolist() == [3, 5, 9] and sums.tolist() == [[2, 4], [16, 10], [1, 1]] and shards.tolist() == [1, 2, 1]
     net = toxicity.Network.fresh(settings)
     assert list(toxicity._learn(iter([]), net, net.memory(), 1, [1])) == []
+
+
+def test_bpe_memory():
+    """Many new pieces at once do not swell a worker: what they need beside their codes is that of a small queue."""
+    ranks = {bytes([b]): b for b in range(256)}
+    for token in (b"ab", b"cd", b"abcd", b"ef", b"gh", b"efgh"):
+        ranks[token] = len(ranks)
+    encoder = byte_bpe.Encoder(ranks, r"\S+|\s+")
+    text = " ".join(f"abcdefgh{i:x}" for i in range(100_000))
+    tracemalloc.start()
+    try:
+        encoder.encode_all([text])
+        left, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert peak - left < 60 << 20

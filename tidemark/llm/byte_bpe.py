@@ -13,10 +13,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Plain, cuts
+from tidemark.llm.common import Plain, cuts, released
 
 #: Bytes of text whose new pieces are encoded together.
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 4 << 20
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -87,7 +87,7 @@ class Encoder:
     #: Pieces whose codes are remembered, beside those of the last texts; results do not depend on it.
     REMEMBERED = 150_000
     #: Bytes of pieces that share a queue; a longer piece has a queue of its own.
-    QUEUE_BYTES = 2 << 20
+    QUEUE_BYTES = 256 << 10
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
@@ -286,4 +286,4 @@ def _encoded(docs: DataFrame, path: str, pattern: str, text: str, more: list[tup
                 columns = rows(encoder, encoder.encode_all(texts))
                 yield pa.RecordBatch.from_arrays([*part.columns, *columns], [*part.schema.names, *names])
 
-    return docs.mapInArrow(encode, schema).select(*plain.rest, *names)
+    return docs.mapInArrow(lambda batches: released(encode(batches)), schema).select(*plain.rest, *names)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,6 +58,18 @@ class Plain:
         return self._inner[name.lower()]
 
 
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task; at its end, what it has freed goes back to the system.
+
+    A Python worker stays for the next tasks, also those of other stages, and what its allocators hold would count beside theirs.
+    """
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+    if trim is not None:
+        trim(0)
+
+
 def byte_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text column on end and the offsets of its rows; null counts as empty."""
     arr = pc.fill_null(column.cast(pa.large_binary()), b"")

@@ -13,7 +13,7 @@ from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, Plain, Spans, blocks, mix, row_of, word_bounds
+from tidemark.llm.common import LOWER, Plain, Spans, blocks, mix, released, row_of, word_bounds
 from tidemark.session import small_side
 
 #: Letters, digits and all bytes beyond ASCII make words here.
@@ -324,7 +324,7 @@ def _pack(bits: int):
                     ]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, PACKED.types)], schema=PACKED)
 
-    return pack
+    return lambda batches: released(pack(batches))
 
 
 PACKED = pa.schema([("calibrates", pa.bool_()), ("label", pa.binary()), ("lang", pa.list_(pa.string())), ("sizes", pa.binary()), ("words", pa.binary())])
@@ -525,13 +525,15 @@ def score_texts(docs: DataFrame, net: Network, text: str = "text", lang: str = "
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.value.score(*word_ids(data, offsets, net_bits)) for _, data, offsets in blocks(batch, text, 1 << 20)]
-            scores = np.concatenate(found) if found else np.empty(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"])
+            # block by block: beside the batch only a block is on its way back
+            for start, data, offsets in blocks(batch, text, 1 << 20):
+                scores = model.value.score(*word_ids(data, offsets, net_bits))
+                part = batch.slice(start, len(scores))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"])
 
     net_bits = net.settings.bits
     threshold = F.lit(net.threshold)
     for name, value in net.thresholds.items():
         threshold = F.when(F.col(lang) == name, value).otherwise(threshold)
-    out = docs.mapInArrow(score, schema).withColumn("threshold", threshold)
+    out = docs.mapInArrow(lambda batches: released(score(batches)), schema).withColumn("threshold", threshold)
     return out.select(*plain.rest, "score", "threshold", (F.col("score") >= F.col("threshold")).alias("rejected"))
