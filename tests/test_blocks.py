@@ -5,8 +5,12 @@ import os
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
+from tidemark.functions import text as T
 from tidemark.operators import blocks as B
-from tidemark.operators import classify
+from tidemark.operators import classify, mixture, words
+from tidemark.plans.clusters import cluster_documents
 
 
 def arrays(spark, parts=5):
@@ -71,3 +75,48 @@ def test_narrow_blocks_take_six_bytes_a_word():
     assert classify._narrow((pos, pos, pos + 65_500, x * 4), True)[2].dtype == np.int32
     assert classify._narrow((pos, pos, pos, x * 4), True)[3].dtype == np.float64
     assert classify._narrow((pos, pos, pos, x), False)[3] is x
+
+
+def test_sweeps_read_narrow_blocks(spark):
+    """Documents without a word, counts beyond 16 bits, and ids that are null or text draw as ``sweep_counts`` does."""
+    cells = [(None, [0, 3], [1.0, 70_000.0]), ("", [], []), ("é1", [1, 2, 4], [3.0, 1.0, 2.0]), ("b", [4], [0.5])]
+    rows = spark.createDataFrame([(i if i is None else f"{i}{n}" if n else i, p, x) for n in range(30) for i, p, x in cells], "doc_id STRING, pos ARRAY<INT>, x ARRAY<DOUBLE>")
+    rng = np.random.default_rng(3)
+    log_mu, log_pi = np.log(rng.dirichlet(np.full(5, 30.0), 3)), np.log([0.5, 0.3, 0.2])
+    wanted = mixture.drawn_state(spark, mixture.sweep_counts(rows, log_mu, log_pi, 2, 7), 5, 3, 0.1, 0.1, 3, 7)
+    with mixture.packed(rows.repartition(4)) as blocks:
+        got = mixture._gathered(mixture.swept(blocks, log_mu, log_pi, 2, 0.1, 0.1, 7).collect())
+        for path, _ in blocks.files.take(1):
+            os.remove(path)
+        again = mixture._gathered(blocks.run(lambda b: mixture.swept(b, log_mu, log_pi, 2, 0.1, 0.1, 7).collect()))
+    for a, b, c in zip(got, mixture._state(wanted.toArrow(), 5, 3), again):
+        np.testing.assert_allclose(a, b, rtol=1e-9)
+        np.testing.assert_allclose(a, c, rtol=1e-9)
+    assert got[2].sum() == 120
+
+
+def test_scores_are_sums_of_weights(monkeypatch):
+    rng = np.random.default_rng(5)
+    sizes = np.array([0, 3, 0, 40, 1, 7, 0], np.int32)
+    pos, x, by_pos = rng.integers(0, 9, 51).astype(np.uint16), rng.integers(1, 5, 51).astype(np.uint16), rng.normal(size=(9, 4))
+    ends = np.cumsum(sizes)
+    wanted = [(x[b - n : b, None] * by_pos[pos[b - n : b]]).sum(axis=0) for n, b in zip(sizes, ends)]
+    for words_at_once in (1, 8, 1 << 13):
+        monkeypatch.setattr(mixture, "GATHERED", words_at_once)
+        np.testing.assert_allclose(mixture._scores(sizes, pos, x, by_pos), wanted, atol=1e-12)
+
+
+def test_clusters_of_words_counted_by_letters(spark):
+    texts = ["red green Blue", "cat dog cow cat", None, "12 ...", "sun moon star", "Red cat"]
+    docs = spark.createDataFrame([(None if i == 7 else i % 50, t) for i, t in enumerate(texts * 20)], "doc_id INT, text STRING").repartition(3)
+    tokens = T.tokenize(F.col("text"))
+    vocab = words.dictionary(words.words_of(docs, tokens), 6)
+    wanted = mixture.count_rows(docs, tokens, vocab, 6)
+    for bound in (words.BROADCAST_BYTES, 0):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(words, "BROADCAST_BYTES", bound)
+            got = words.letter_term_counts(docs, vocab, 6, mark=mixture.NO_WORD).groupBy("doc_id", "pos").agg(F.sum("cnt").alias("cnt"))
+            assert got.count() == wanted.count() and not got.exceptAll(wanted).count()
+    found = [cluster_documents(docs, t, clusters=3, sweeps=3, f=6) for t in (None, tokens)]
+    for a, b in zip(*found):
+        assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))

@@ -1,7 +1,7 @@
 """Mixture of multinomials by Gibbs sampling.
 
-State between sweeps is the ln word probabilities (k x f) and ln class shares (k). A sweep is one job over cached slices of
-documents: tasks draw the labels of their documents in numpy and send a row of counts per cluster; these are
+State between sweeps is the ln word probabilities (k x f) and ln class shares (k). A sweep is one job over blocks of
+documents in files beside the tasks: tasks draw the labels of their documents in numpy and send a row of counts per cluster; these are
 summed by cluster, the next probabilities are drawn where the sums lie, and k x f numbers reach the driver.
 All draws depend on their keys and the seed alone. The column functions do the same for frames of any layout.
 """
@@ -9,19 +9,19 @@ All draws depend on their keys and the seed alone. The column functions do the s
 from __future__ import annotations
 
 import hashlib
-import pickle
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import RDD, StorageLevel
+from pyspark import RDD
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.draws import TRIES, log_gamma
 from tidemark.functions.numeric import uniform
+from tidemark.operators.blocks import Blocks, held
 from tidemark.operators.scoring import dot_products
 from tidemark.operators.words import DICTIONARY_SIZE, count_by, known_words
 from tidemark.session import cut, keep, small_side
@@ -64,35 +64,57 @@ def counts_table(counts: DataFrame) -> Iterator[DataFrame]:
 
 @contextmanager
 def sweep_table(counts: DataFrame) -> Iterator[DataFrame]:
-    """``doc_id, pos, x`` with the arrays of a document (empty without a dictionary word), staged; a fit caches them as slices."""
+    """``doc_id, pos, x`` with the arrays of a document (empty without a dictionary word), staged; a fit keeps them as blocks."""
     word = F.when(F.col("pos") != NO_WORD, F.struct("pos", F.col("cnt").cast("double").alias("x")))
     docs = counts.groupBy("doc_id").agg(F.sort_array(F.collect_list(word)).alias("cells"))
     yield cut(docs.select("doc_id", F.col("cells.pos").alias("pos"), F.col("cells.x").alias("x")))
 
 
-#: Documents whose words are weighed at once within a task.
-SWEPT_ROWS = 64
-
-
-def _labels(ids: list, sizes: np.ndarray, pos: np.ndarray, x: np.ndarray, by_pos: np.ndarray, log_pi: np.ndarray, sweep: int, seed: int) -> np.ndarray:
+#: Documents that a block holds, and words whose weights are gathered at once within a task; a document is never split.
+BLOCK_ROWS = 1024
+GATHERED = 1 << 13
+
+
+def _scores(sizes: np.ndarray, pos: np.ndarray, x: np.ndarray, by_pos: np.ndarray) -> np.ndarray:
+    """For each document and cluster: the sum of its words' values times weights. A document's weights lie together, so it is one product."""
+    scores = np.zeros((len(sizes), by_pos.shape[1]))
+    ends = np.cumsum(sizes, dtype=np.int64)
+    pos, x = pos.astype(np.intp), x.astype(np.float64)
+    space = np.empty((min(len(pos), max(GATHERED, int(sizes.max(initial=0)))), by_pos.shape[1]))
+    first = 0
+    while first < len(sizes):
+        start = int(ends[first] - sizes[first])
+        end = max(int(np.searchsorted(ends, start + GATHERED, side="right")), first + 1)
+        bounds = ends[first:end].tolist()
+        weights = np.take(by_pos, pos[start : bounds[-1]], axis=0, out=space[: bounds[-1] - start], mode="clip")
+        at = start
+        for row, stop in enumerate(bounds, first):
+            np.dot(x[at:stop], weights[at - start : stop - start], out=scores[row])
+            at = stop
+        first = end
+    return scores
+
+
+def _labels(ids: list[bytes], sizes: np.ndarray, pos: np.ndarray, x: np.ndarray, by_pos: np.ndarray, log_pi: np.ndarray, sweep: int, seed: int) -> np.ndarray:
     """The drawn cluster of each document, the same as ``draw_labels`` draws: by a digest of document, sweep and seed."""
-    scores = np.tile(log_pi, (len(sizes), 1))
-    filled = np.flatnonzero(sizes)
-    if len(filled):
-        first = (np.cumsum(sizes) - sizes)[filled]
-        scores[filled] += np.add.reduceat(x[:, None] * by_pos[pos], first, axis=0)
+    scores = _scores(sizes, pos, x, by_pos) + log_pi
     raised = np.exp(scores - scores.max(axis=1, keepdims=True))
     running = np.cumsum(raised / raised.sum(axis=1, keepdims=True), axis=1)
-    digests = [hashlib.md5(f"{i}:{sweep}:{seed}".encode()).hexdigest()[:13] for i in ids]
-    at = np.array([int(h, 16) for h in digests]) / 2.0**52
+    end = f":{sweep}:{seed}".encode()
+    digests = np.frombuffer(b"".join([hashlib.md5(i + end).digest()[:8] for i in ids]), ">u8")
+    at = (digests.astype(np.uint64) >> np.uint64(12)).astype(np.float64) / 2.0**52
     return (running[:, :-1] <= at[:, None]).sum(axis=1).astype(np.int32)
 
 
+def _named(ids: pa.Array) -> list[bytes]:
+    return [str(i).encode() for i in ids.to_pylist()]
+
+
 def _slices(batches: Iterator[pa.RecordBatch]):
-    """Per slice of documents: their ids, numbers of words, positions and counts."""
+    """Per ``BLOCK_ROWS`` documents: their ids, numbers of words, positions and counts."""
     for whole in batches:
-        for first in range(0, whole.num_rows, SWEPT_ROWS):
-            batch = whole.slice(first, SWEPT_ROWS)
+        for first in range(0, whole.num_rows, BLOCK_ROWS):
+            batch = whole.slice(first, BLOCK_ROWS)
             lists = batch.column("pos")
             yield batch.column("doc_id"), lists.value_lengths().to_numpy(), lists.flatten().to_numpy(), batch.column("x").flatten().to_numpy()
 
@@ -101,26 +123,35 @@ def _drawn(batches: Iterator[pa.RecordBatch], log_mu: np.ndarray, log_pi: np.nda
     """Per slice of documents: their ids, drawn clusters, and the row, position and count of each word."""
     by_pos = np.ascontiguousarray(log_mu.T)
     for ids, sizes, pos, x in _slices(batches):
-        label = _labels(ids.to_pylist(), sizes, pos, x, by_pos, log_pi, sweep, seed)
+        label = _labels(_named(ids), sizes, pos, x, by_pos, log_pi, sweep, seed)
         yield ids, label, np.repeat(np.arange(len(sizes)), sizes), pos, x
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Slices of documents as bytes, which pass between Spark and Python without a look at each value."""
+    """Blocks of documents as bytes: ids and their lengths, numbers of words, positions and counts."""
     for ids, sizes, pos, x in _slices(batches):
-        parts = pickle.dumps(ids.to_pylist()), sizes.astype(np.int32).tobytes(), pos.astype(np.int32).tobytes(), x.tobytes()
-        yield pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in parts], ["ids", "sizes", "pos", "x"])
+        names = _named(ids)
+        lengths = np.array([len(i) for i in names], np.int32)
+        parts = b"".join(names), lengths.tobytes(), sizes.astype(np.int32).tobytes(), pos.astype(np.int32).tobytes(), x.tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in parts], ["ids", "lengths", "sizes", "pos", "x"])
+
+
+def _unpacked(row: tuple) -> tuple[np.ndarray, ...]:
+    """The arrays of a block; positions and counts take 16 bits where these do."""
+    ids, lengths, sizes, pos, x = (np.frombuffer(part, kind) for part, kind in zip(row, (np.uint8, np.int32, np.int32, np.int32, np.float64)))
+    if (pos <= 0xFFFF).all():
+        pos = pos.astype(np.uint16)
+    if (np.floor(np.clip(x, 0, 0xFFFF)) == x).all():
+        x = x.astype(np.uint16)
+    return ids, lengths, sizes, pos, x
 
 
 @contextmanager
-def packed(data: DataFrame) -> Iterator[RDD]:
-    """A ``sweep_table`` as slices of documents, cached while sweeps read them, in no more partitions than two a core."""
-    rows = data.select("doc_id", "pos", "x").mapInArrow(_pack, "ids binary, sizes binary, pos binary, x binary").rdd.map(tuple)
-    slices = rows.coalesce(2 * data.sparkSession.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield slices
-    finally:
-        slices.unpersist()
+def packed(data: DataFrame) -> Iterator[Blocks]:
+    """A ``sweep_table`` as blocks of documents, kept in files while sweeps read them, in a partition a core."""
+    rows = data.select("doc_id", "pos", "x").mapInArrow(_pack, "ids binary, lengths binary, sizes binary, pos binary, x binary").rdd
+    with held(rows.map(lambda row: _unpacked(tuple(row)))) as blocks:
+        yield blocks
 
 
 def drawn_logs(shape: np.ndarray, cluster: int, pos: np.ndarray, step: int, seed: int) -> np.ndarray:
@@ -160,22 +191,23 @@ def _redrawn(cluster: int, counts: np.ndarray, alpha: float, beta: float, step:
     return cluster, drawn_logs(shape, cluster, np.arange(len(counts)) - 1, step, seed), float(counts[0])
 
 
-def swept(slices: RDD, log_mu: np.ndarray, log_pi: np.ndarray, sweep: int, alpha: float, beta: float, seed: int) -> RDD:
+def swept(blocks: Blocks | RDD, log_mu: np.ndarray, log_pi: np.ndarray, sweep: int, alpha: float, beta: float, seed: int) -> RDD:
     """One sweep and the draw after it, ``(cluster, drawn, documents)``: a row of counts per task and cluster is shuffled."""
-    state = slices.context.broadcast((log_mu, log_pi))
+    state = blocks.context.broadcast((log_mu, log_pi))
 
     def count(rows):
         mu, pi = state.value
         k, f = mu.shape
         by_pos, total = np.ascontiguousarray(mu.T), np.zeros(k * (f + 1))
-        for ids, sizes, pos, x in rows:
-            sizes, pos, x = np.frombuffer(sizes, np.int32), np.frombuffer(pos, np.int32), np.frombuffer(x)
-            label = _labels(pickle.loads(ids), sizes, pos, x, by_pos, pi, sweep, seed)
-            np.add.at(total, np.repeat(label, sizes) * (f + 1) + 1 + pos, x)
-            np.add.at(total, label * (f + 1), 1.0)
+        for ids, lengths, sizes, pos, x in rows:
+            ends, name = np.cumsum(lengths).tolist(), ids.tobytes()
+            names = [name[a:b] for a, b in zip([0, *ends], ends)]
+            label = _labels(names, sizes, pos, x, by_pos, pi, sweep, seed)
+            np.add.at(total, np.repeat(label.astype(np.int64) * (f + 1) + 1, sizes) + pos, x.astype(np.float64))
+            np.add.at(total, label.astype(np.int64) * (f + 1), 1.0)
         return enumerate(total.reshape(k, f + 1))
 
-    sums = slices.mapPartitions(count).reduceByKey(lambda a, b: a + b, min(len(log_pi), slices.context.defaultParallelism))
+    sums = blocks.mapPartitions(count).reduceByKey(lambda a, b: a + b, min(len(log_pi), blocks.context.defaultParallelism))
     return sums.map(lambda row: _redrawn(*row, alpha, beta, sweep + 1, seed))
 
 
@@ -348,14 +380,17 @@ def fit_mixture(
 
     log_mu, log_pi, _ = _gathered(unseen(0).collect())
     labels, sizes = None, []
-    with packed(data) as slices:
+    with packed(data) as blocks:
         for sweep in range(sweeps):
             if check:
                 check_probabilities(log_mu, log_pi)
             if sweep + 1 == sweeps:
                 labels = sweep_labels(data, log_mu, log_pi, sweep, seed)
-            drawn = swept(slices, log_mu, log_pi, sweep, alpha, beta, seed) if slices.getNumPartitions() else unseen(sweep + 1)
-            log_mu, drawn_pi, docs = _gathered(drawn.collect())
+            if blocks.getNumPartitions():
+                rows = blocks.run(lambda b: swept(b, log_mu, log_pi, sweep, alpha, beta, seed).collect())
+            else:
+                rows = unseen(sweep + 1).collect()
+            log_mu, drawn_pi, docs = _gathered(rows)
             sizes.append(docs)
             if resample_pi:
                 log_pi = drawn_pi

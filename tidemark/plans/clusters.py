@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import text as T
 from tidemark.operators import mixture
-from tidemark.operators.words import DICTIONARY_SIZE, dictionary, words_of
+from tidemark.operators.words import DICTIONARY_SIZE, dictionary, letter_dictionary, letter_term_counts, words_of
 from tidemark.session import cut, keep
 
 
 def cluster_documents(
     docs: DataFrame,
-    tokens: Column,
+    tokens: Column | None = None,
     vocab_tokens: Column | None = None,
     clusters: int = 20,
     sweeps: int = 200,
@@ -24,13 +25,18 @@ def cluster_documents(
     """Gibbs sampling over ``docs`` (doc_id and text columns).
 
     Returns sizes (sweep, cluster, n), top words (cluster, rank, word, weight) and
-    the last labels (doc_id, cluster). The dictionary may use another tokenizer.
+    the last labels (doc_id, cluster). The dictionary may use another tokenizer. Without ``tokens`` the words are those of
+    ``text.tokenize``, counted in the tasks that read the texts.
     """
     spark = docs.sparkSession
-    vocab = keep(dictionary(words_of(docs, tokens if vocab_tokens is None else vocab_tokens), f))
+    by_letters = tokens is None and vocab_tokens is None
+    tokens = T.tokenize(F.col("text")) if tokens is None else tokens
+    words = words_of(docs, tokens if vocab_tokens is None else vocab_tokens)
+    vocab = keep(letter_dictionary(docs, f) if by_letters else dictionary(words, f))
     try:
         size = vocab.count()
-        with mixture.sweep_table(mixture.count_rows(docs, tokens, vocab, f)) as data:
+        counts = letter_term_counts(docs, vocab, f, mark=mixture.NO_WORD) if by_letters else mixture.count_rows(docs, tokens, vocab, f)
+        with mixture.sweep_table(counts) as data:
             state, labels = mixture.fit_mixture(
                 data, size, k=clusters, sweeps=sweeps, seed=seed, resample_pi=resample_pi, check=check
             )
